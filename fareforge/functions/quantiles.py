@@ -51,7 +51,7 @@ def _bracketed(base: DataFrame, groups: list[str], probs: dict[str, float]) -> D
         F.percentile_approx("_v", low, SKETCH_ACCURACY).alias("_lo"),
         F.percentile_approx("_v", high, SKETCH_ACCURACY).alias("_hi"),
     )
-    joined = lookup_join(base, sketch, keys, "inner")
+    joined = lookup_join(base, sketch, keys, "inner", null_safe=True)
     # one row per wanted quantile; values outside the bracket collapse into two counters
     spread = joined.select(*keys, "_n", "_v", F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"),

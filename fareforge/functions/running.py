@@ -17,18 +17,29 @@ def hour_bucket(ts: str) -> Column:
 
 
 def largest_key(df: DataFrame, keys: list[str]) -> int:
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    """Rows of the most frequent key; null keys are an error, since rows without a key have no order."""
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    sizes = df.groupBy(*keys).count()
+    row = sizes.agg(F.max("count").alias("largest"), F.count_if(null_key).alias("nulls")).first()
+    if row.nulls:
+        raise ValueError(f"null key among {keys}")
+    return row.largest or 0
 
 
 def running_before(df: DataFrame, keys: list[str], order: list, sums: dict[str, Column],
-                   bucket: Column, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+                   bucket: Column, max_key_rows: int = MAX_KEY_ROWS, largest: int | None = None) -> DataFrame:
     """Add, per name, the sum of its expression over earlier rows of the same keys (0 when none).
 
-    `order` must be total within the keys, and `bucket` must be monotone in its first column.
+    `order` must be total within the keys, and `bucket` must be monotone in its first column. `largest` is an
+    upper bound of the rows per key where the caller knows one; otherwise it is counted.
     """
     earlier = (Window.unboundedPreceding, -1)
     zero = F.lit(0)
-    if largest_key(df, keys) <= max_key_rows:
+    if largest is None:
+        largest = largest_key(df, keys)
+    if largest <= max_key_rows:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*earlier)
         return df.select("*", *[F.coalesce(F.sum(e).over(w), zero).alias(n) for n, e in sums.items()])
     rows = df.select("*", bucket.alias("_bucket"), *[e.alias(f"_v_{n}") for n, e in sums.items()])

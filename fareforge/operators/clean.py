@@ -5,8 +5,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.bounded import lookup_join
-from ..functions.quantiles import group_quantiles, quantile_rows
+from ..functions.bounded import lookup_join, settle
+from ..functions.quantiles import group_quantiles
 from ..functions.running import first_per_key
 from ..functions.scalar import abs_seconds, all_present, count_if, is_blank, rounded, rows
 from .checks import require
@@ -80,15 +80,24 @@ class Thresholds:
 
 def thresholds(df: DataFrame, medians: list[str], group: str = "CategoryID", target: str = "Price",
                waiting: str = "WaitingTime") -> Thresholds:
-    """Medians, the global cap and the per-group caps, all over rows with a positive target."""
-    valid = df.where(F.col(target) > 0)
-    long = quantile_rows(valid, medians + ([] if waiting in medians else [waiting]),
-                         {"median": 0.5, "cap": fixed.WAITING_CAP_QUANTILE})
-    overall = long.agg(
-        *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"{c}_median") for c in medians],
-        F.max(F.when(F.col("column") == waiting, F.col("cap"))).alias(f"{waiting}_cap"))
-    by_group = group_quantiles(valid, [group], target, {f"{target}_cap": fixed.TARGET_CAP_QUANTILE})
-    return Thresholds(overall, by_group, medians)
+    """Medians, the global cap and the per-group caps, all over rows with a positive target.
+
+    One quantile pass over (feature, group, value) rows; the few result rows are settled once.
+    """
+    overall = list(dict.fromkeys([*medians, waiting]))
+    everywhere = F.lit(None).cast(df.schema[group].dataType)
+    values = [F.struct(F.lit(c).alias("feature"), everywhere.alias(group), F.col(c).cast("double").alias("value"))
+              for c in overall]
+    values.append(F.struct(F.lit(target).alias("feature"), F.col(group).alias(group),
+                           F.col(target).cast("double").alias("value")))
+    long = df.where(F.col(target) > 0).select(F.explode(F.array(*values)).alias("_r")).select("_r.*")
+    q = settle(group_quantiles(long, ["feature", group], "value", {
+        "median": 0.5, "waiting_cap": fixed.WAITING_CAP_QUANTILE, "target_cap": fixed.TARGET_CAP_QUANTILE}), "limits")
+    of = lambda c, name: F.max(F.when(F.col("feature") == c, F.col(name)))
+    one = q.agg(*[of(c, "median").alias(f"{c}_median") for c in medians], of(waiting, "waiting_cap").alias(f"{waiting}_cap"))
+    by_group = q.where((F.col("feature") == target) & F.col(group).isNotNull()).select(
+        group, F.col("target_cap").alias(f"{target}_cap"))
+    return Thresholds(one, by_group, medians)
 
 
 def uncapped_groups(df: DataFrame, caps: DataFrame, group: str) -> DataFrame:

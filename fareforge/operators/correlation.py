@@ -11,28 +11,27 @@ from .profiling import column_cardinality, value_counts
 
 
 def correlation_long(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
-    """All pairs in one aggregate: (left_pos, right_pos, feature_left, feature_right, corr, corr_raw).
+    """All pairs in one aggregate: (feature_left, feature_right, corr, corr_raw).
 
     Each pair uses the rows where both columns are present. Pairs are a function of the columns, not of the rows.
     """
-    pairs = list(combinations(range(len(columns)), 2))
     one = df.agg(F.array(*[
-        F.struct(F.lit(i).alias("left_pos"), F.lit(j).alias("right_pos"),
-                 F.lit(columns[i]).alias("feature_left"), F.lit(columns[j]).alias("feature_right"),
-                 F.corr(columns[i], columns[j]).alias("corr_raw"))
-        for i, j in pairs]).alias("_p"))
+        F.struct(F.lit(a).alias("feature_left"), F.lit(b).alias("feature_right"), F.corr(a, b).alias("corr_raw"))
+        for a, b in combinations(columns, 2)]).alias("_p"))
     return one.select(F.inline("_p")).withColumn("corr", rounded(F.col("corr_raw"), digits))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Symmetric long form with a unit diagonal."""
+    """Symmetric long form with a unit diagonal, still one pass over the data."""
     upper = correlation_long(df, columns).select("feature_left", "feature_right", "corr")
-    both = F.array(F.struct(F.col("feature_left").alias("feature"), F.col("feature_right").alias("other"), "corr"),
-                   F.struct(F.col("feature_right").alias("feature"), F.col("feature_left").alias("other"), "corr"))
-    spread = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(c).alias("other"),
-                                F.lit(1.0).alias("corr")) for c in columns])
-    diagonal = df.agg(rows().alias("n")).where("n > 0").select(F.inline(spread))
-    return upper.select(F.inline(both)).unionByName(diagonal)
+    cell = lambda a, b, r: F.struct(F.col(a).alias("feature"), F.col(b).alias("other"), r.alias("corr"))
+    left, right, r = "feature_left", "feature_right", F.col("corr")
+    # the first column pairs with every other one, so its rows carry the diagonal
+    first = F.col(left) == columns[0]
+    extra = F.when(first & (F.col(right) == columns[1]), F.array(cell(left, left, F.lit(1.0)), cell(right, right, F.lit(1.0)))) \
+        .when(first, F.array(cell(right, right, F.lit(1.0)))).otherwise(F.array().cast("array<struct<feature:string,other:string,corr:double>>"))
+    cells = F.concat(F.array(cell(left, right, r), cell(right, left, r)), extra)
+    return upper.select(F.inline(cells))
 
 
 def column_metadata(df: DataFrame, columns: list[str], excluded: dict[str, str], leakage: list[str],

@@ -9,8 +9,6 @@ from .. import fixed
 from ..functions.scalar import count_if, rows
 from .checks import ContractError, require
 
-MAX_DATES = 200_000
-
 
 @dataclass(frozen=True)
 class SplitConfig:
@@ -93,16 +91,15 @@ def split_windows_frame(positions: DataFrame, config: SplitConfig) -> DataFrame:
             train[0].alias("train_start"), train[1].alias("train_end"),
             gap[0].alias("gap_start"), gap[1].alias("gap_end"),
             evaluation[0].alias("evaluation_start"), evaluation[1].alias("evaluation_end")))
-    return positions.agg(F.array(*lines).alias("_a")).select(F.inline("_a"))
+    return positions.agg(F.array(*lines).alias("_a"), rows().alias("dates")).select(F.inline("_a"), "dates")
 
 
 def split_windows(frame: DataFrame, config: SplitConfig = SplitConfig(), column: str = "CreateDate") -> list[SplitWindow]:
     """The windows as a short driver-side list, so that folds become date literals in later plans."""
-    positions = date_positions(frame, column)
-    dates = positions.count()
-    if dates < config.min_dates:
-        raise ContractError(f"{dates} dates observed, {config.min_dates} needed")
-    return [SplitWindow(*row) for row in split_windows_frame(positions, config).collect()]
+    found = split_windows_frame(date_positions(frame, column), config).collect()
+    if found[0].dates < config.min_dates:
+        raise ContractError(f"{found[0].dates} dates observed, {config.min_dates} needed")
+    return [SplitWindow(*row[:-1]) for row in found]
 
 
 def train_from(windows: list[SplitWindow], column: str = "CreateDate") -> Column:
@@ -223,7 +220,8 @@ def fold_checks(summary: DataFrame) -> DataFrame:
     return out.withColumn("fold_valid", valid)
 
 
-def require_usable(summary: DataFrame) -> None:
-    """Both sides hold rows, and no ride is on both."""
-    require(summary.where("train_rows = 0 or evaluation_rows = 0").select("split_name"), "empty fold side")
-    require(summary.where("ride_overlap > 0").select("split_name"), "ride on both sides of a fold")
+def guarded(summary: DataFrame) -> DataFrame:
+    """The summary itself, failing while it is computed when a side is empty or a ride is on both sides."""
+    broken = F.raise_error(F.concat(F.lit("fold cannot be used: "), F.col("split_name"))).cast("bigint")
+    usable = (F.col("train_rows") > 0) & (F.col("evaluation_rows") > 0) & (F.col("ride_overlap") == 0)
+    return summary.withColumn("ride_overlap", F.when(usable, F.col("ride_overlap")).otherwise(broken))

@@ -4,9 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import add_temporal_features
 from ..functions.quantiles import group_quantiles
-from ..functions.running import first_per_key, hour_bucket, running_before
+from ..functions.running import first_per_key, hour_bucket, largest_key, running_before
 from ..functions.scalar import all_present, count_if, pct, rows
-from .checks import require
 
 RIDE_HISTORY = ["UserPriorRideCount", "UserPriorPaidPriceMean"]
 CATEGORY_HISTORY = ["UserPriorCategoryRideCount", "UserPriorCategoryPriceMean"]
@@ -89,7 +88,6 @@ def user_history(rides: DataFrame, **kw) -> DataFrame:
 
     Unpaid rides count as rides but not in the mean.
     """
-    require(rides.select("UserID").where("UserID is null"), "null UserID")
     paid = F.when(F.col("RidePrice") > 0, F.col("RidePrice"))
     out = running_before(
         rides, ["UserID"], ["Create", "RideID"],
@@ -139,9 +137,19 @@ def attach_user_history(df: DataFrame, by_ride: DataFrame, by_category: DataFram
             .join(by_category.select("RideID", "CategoryID", *CATEGORY_HISTORY), ["RideID", "CategoryID"], "left"))
 
 
-def missing_history(enriched: DataFrame) -> DataFrame:
-    """Rows whose counts are null after the joins; must be empty."""
-    return enriched.where(F.col("UserPriorRideCount").isNull() | F.col("UserPriorCategoryRideCount").isNull())
+def attach_histories(df: DataFrame, curated: DataFrame) -> DataFrame:
+    """Both histories from the curated rows. Rows per user bound the rows of either window, so they are
+    counted once. `curated` is read several times and should be a stored layer."""
+    largest = largest_key(curated, ["UserID"])
+    return attach_user_history(df, user_history(ride_base(curated), largest=largest),
+                               user_category_history(category_base(curated), largest=largest))
+
+
+def require_history(enriched: DataFrame) -> DataFrame:
+    """The rows themselves, failing while they are computed when a count is missing after the joins."""
+    broken = F.raise_error(F.lit("row without user history")).cast("bigint")
+    counts = ["UserPriorRideCount", "UserPriorCategoryRideCount"]
+    return enriched.withColumns({c: F.coalesce(F.col(c), broken) for c in counts})
 
 
 def build_features(curated: DataFrame, products: list, product: str = "ProductID",
@@ -150,8 +158,7 @@ def build_features(curated: DataFrame, products: list, product: str = "ProductID
     """The feature layer: calendar columns, cross prices and user history on every curated row."""
     calendar = add_temporal_features(curated, timestamps, first_year, last_year)
     enriched = attach_cross_prices(calendar, cross_prices(curated, products, product))
-    return attach_user_history(enriched, user_history(ride_base(curated)),
-                               user_category_history(category_base(curated)))
+    return attach_histories(enriched, curated)
 
 
 def history_coverage(enriched: DataFrame, categories: dict, group: str = "CategoryID") -> DataFrame:

@@ -27,11 +27,17 @@ def attach_dimension(fact: DataFrame, dim: DataFrame, key: str, small: bool = Fa
     return joined.withColumn("_matched", F.coalesce("_matched", F.lit(False)))
 
 
+def dimension_violations(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Keys that repeat in the dimension, keys it lacks, and null keys of the fact table."""
+    tagged = lambda df, text: df.select(key, F.lit(text).alias("violation"))
+    return (tagged(repeated_keys(dim, [key]), "repeated in dimension")
+            .unionByName(tagged(uncovered_keys(fact, dim, key), "missing in dimension"))
+            .unionByName(tagged(fact.where(F.col(key).isNull()), "null key")))
+
+
 def merge_dimension(fact: DataFrame, dim: DataFrame, key: str, name: str, small: bool = False) -> DataFrame:
     """Many-to-one left join; fails when the key repeats in the dimension or a fact row has no match."""
-    require(repeated_keys(dim, [key]), f"{name}: key {key} is not unique")
-    require(uncovered_keys(fact, dim, key).orderBy(key), f"{name}: {key} without match")
-    require(fact.select(key).where(F.col(key).isNull()), f"{name}: null {key}")
+    require(dimension_violations(fact, dim, key), name)
     return attach_dimension(fact, dim, key, small).drop("_matched")
 
 
@@ -56,9 +62,10 @@ def split_addresses(addresses: DataFrame, key: str = "RideID", kind: str = "Ride
 
 
 def require_addresses(addresses: DataFrame, key: str = "RideID", kind: str = "RideAddressTypeID") -> DataFrame:
-    require(domain_violations(addresses, kind, [1, 2]), "unexpected address type")
     typed = addresses.where(F.col(kind).isNotNull())
-    require(repeated_keys(typed, [key, kind]), "address type repeats within a ride")
+    odd = domain_violations(addresses, kind, [1, 2]).select(F.lit(None).cast("bigint").alias(key), kind)
+    require(odd.unionByName(repeated_keys(typed, [key, kind]).select(key, kind)),
+            "unexpected or repeated address type")
     return addresses
 
 

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.running import first_per_key, hour_bucket, running_before
+from ..functions.running import first_per_key, hour_bucket, largest_key, running_before
 from ..functions.scalar import all_present, count_if, pct, rows
 from .history import price_column
 
@@ -78,6 +78,7 @@ def history_consistency(df: DataFrame, **kw) -> DataFrame:
         .alias("rows_with_prior_category_count_and_null_mean"),
         count_if((n > 0) & F.col("UserPriorPaidPriceMean").isNull())
         .alias("rows_with_prior_ride_count_and_null_paid_mean"))
+    kw.setdefault("largest", largest_key(df, ["UserID"]))
     full = one.withColumns({
         "ride_level_prior_count_inconsistencies": _varying(df, ["RideID"], "UserPriorRideCount"),
         "category_level_prior_count_inconsistencies":

@@ -6,6 +6,7 @@ from ..functions import calendar
 from ..functions.scalar import abs_seconds, count_if, is_blank, label, normalize_key, rounded, rows
 from ..operators import clean, joins, leakage
 from ..operators.checks import missing_columns
+from ..session import materialize
 from . import views as v
 from .registry import big, pct, query, rnd
 
@@ -71,7 +72,7 @@ def sentinel_impute(spark, sf_dir):
 SELECT RideEstimativeID, {rnd('coalesce(WaitingTime, wmed)')} AS WaitingTime, {rnd('coalesce(Fee, fmed)')} AS Fee,
        WaitingTime IS NULL AS WaitingTimeWasImputed FROM va CROSS JOIN vm""")
 def median_impute(spark, sf_dir):
-    df = v.analytical(spark, sf_dir)
+    df = v.priced(spark, sf_dir)
     overall = clean.thresholds(df, v.MEDIANS).overall
     median = lambda c: overall.select(f"{c}_median").scalar()
     return df.select("RideEstimativeID", *[
@@ -89,7 +90,7 @@ def fill_missing_label(spark, sf_dir):
 SELECT RideEstimativeID, {rnd('CASE WHEN WaitingTime > wcap THEN wcap ELSE WaitingTime END')} AS WaitingTime,
        coalesce(WaitingTime > wcap, false) AS WaitingTimeWasCapped FROM va CROSS JOIN vm""")
 def cap_global(spark, sf_dir):
-    df = v.analytical(spark, sf_dir)
+    df = v.priced(spark, sf_dir)
     cap = clean.thresholds(df, v.MEDIANS).overall.select("WaitingTime_cap").scalar()
     w = F.col("WaitingTime")
     return df.select("RideEstimativeID", rounded(clean.cap_upper(w, cap)).alias("WaitingTime"),
@@ -100,7 +101,7 @@ def cap_global(spark, sf_dir):
 SELECT RideEstimativeID, CategoryID, {rnd('CASE WHEN Price > Price_cap THEN Price_cap ELSE Price END')} AS Price,
        coalesce(Price > Price_cap, false) AS PriceWasCapped FROM va LEFT JOIN vcap USING (CategoryID)""")
 def cap_by_group(spark, sf_dir):
-    df = v.analytical(spark, sf_dir)
+    df = v.priced(spark, sf_dir)
     caps = clean.thresholds(df, v.MEDIANS).by_group
     out = clean.cap_by_group(df.select("RideEstimativeID", "CategoryID", "Price"), caps)
     return out.withColumn("Price", rounded(F.col("Price")))
@@ -252,7 +253,8 @@ def _counts():
 def treatment_metrics(spark, sf_dir):
     source = v.analytical(spark, sf_dir)
     stages = clean.staged(source, v.COORDINATES, v.DEDUP_KEY, v.DEDUP_ORDER)
-    treated = clean.treat(stages.where("removed_by is null"), clean.thresholds(source, v.MEDIANS))
+    stages = materialize(stages, "staged")
+    treated = clean.treat(stages.where("removed_by is null"), clean.thresholds(v.priced(spark, sf_dir), v.MEDIANS))
     return clean.as_metric_rows(clean.treatment_counts(source, stages, treated))
 
 
@@ -260,7 +262,7 @@ def treatment_metrics(spark, sf_dir):
 SELECT 'WaitingTime' AS feature, 'ALL' AS group_key, 0.99::DOUBLE AS quantile, {rnd('wcap')} AS upper_cap FROM vm
 UNION ALL SELECT 'Price', CategoryID, 0.995::DOUBLE, {rnd('Price_cap')} FROM vcap""")
 def treatment_thresholds(spark, sf_dir):
-    limits = clean.thresholds(v.analytical(spark, sf_dir), v.MEDIANS)
+    limits = clean.thresholds(v.priced(spark, sf_dir), v.MEDIANS)
     overall = limits.overall.select(F.lit("WaitingTime").alias("feature"), F.lit("ALL").alias("group_key"),
                                     F.lit(0.99).alias("quantile"), rounded(F.col("WaitingTime_cap")).alias("upper_cap"))
     grouped = limits.by_group.select(F.lit("Price").alias("feature"), F.col("CategoryID").alias("group_key"),

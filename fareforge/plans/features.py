@@ -1,14 +1,16 @@
 """Cross prices, user history, leakage checks and the feature layer."""
 from pyspark.sql import functions as F
 
-from ..functions.running import hour_bucket, running_before
+from ..functions.running import hour_bucket, largest_key, running_before
 from ..functions.scalar import rounded
 from ..operators import history, leakage
+from ..session import materialize
 from . import views as v
 from .registry import big, pct, query, rnd
 from .temporal import calendar_sql
 
 PRICES = [f"Price_{p}" for p in v.TARGETS]
+HISTORY_COLUMNS = ["RideEstimativeID", "RideID", "CategoryID", "UserID", "Create", "RidePrice", "Price"]
 
 
 @query("user_prior_ride_count", f"""
@@ -89,7 +91,7 @@ def _coverage_sql():
 
 @query("cross_price_coverage", f", cx AS (SELECT vc.CategoryID, xp.* FROM vc LEFT JOIN xp USING (RideID)) {_coverage_sql()}")
 def cross_price_coverage(spark, sf_dir):
-    base = v.curated(spark, sf_dir).select("RideEstimativeID", "RideID", "CategoryID", "Price")
+    base = v.curated_layer(spark, sf_dir, ["RideEstimativeID", "RideID", "CategoryID", "Price"])
     enriched = history.attach_cross_prices(base, history.cross_prices(base, v.TARGETS, "CategoryID"))
     return history.cross_price_coverage(enriched, v.TARGETS, "CategoryID")
 
@@ -121,9 +123,10 @@ def _metrics_sql(scope, table, count, mean):
 @query("history_metrics", _metrics_sql("ride", "rh", "UserPriorRideCount", "UserPriorPaidPriceMean") + "\nUNION ALL "
        + _metrics_sql("ride_category", "ch", "UserPriorCategoryRideCount", "UserPriorCategoryPriceMean"))
 def history_metrics(spark, sf_dir):
-    raw = v.curated(spark, sf_dir)
-    by_ride = history.user_history(history.ride_base(raw))
-    by_category = history.user_category_history(history.category_base(raw))
+    raw = v.curated_layer(spark, sf_dir, HISTORY_COLUMNS)
+    largest = largest_key(raw, ["UserID"])
+    by_ride = history.user_history(history.ride_base(raw), largest=largest)
+    by_category = history.user_category_history(history.category_base(raw), largest=largest)
     one = history.history_metrics(raw, by_ride, *history.RIDE_HISTORY).withColumn("scope", F.lit("ride"))
     two = history.history_metrics(raw, by_category, *history.CATEGORY_HISTORY).withColumn("scope", F.lit("ride_category"))
     return one.unionByName(two)
@@ -147,7 +150,7 @@ CX = ", cx AS (SELECT vc.*, xp.* EXCLUDE (RideID) FROM vc LEFT JOIN xp USING (Ri
 
 
 def _priced(spark, sf_dir):
-    base = v.curated(spark, sf_dir)
+    base = v.curated_layer(spark, sf_dir)
     return history.attach_cross_prices(base, history.cross_prices(base, v.TARGETS, "CategoryID"))
 
 
@@ -204,7 +207,7 @@ UNION ALL SELECT 'prior_category_count_mismatch_rows', {big('count(*) FILTER (WH
   (SELECT UserPriorCategoryRideCount, row_number() OVER (PARTITION BY UserID, CategoryID ORDER BY "Create", RideID) - 1 AS e
    FROM (SELECT DISTINCT RideID, CategoryID, UserID, "Create", UserPriorCategoryRideCount FROM vx))""")
 def history_consistency(spark, sf_dir):
-    return leakage.history_consistency(v.enriched(spark, sf_dir))
+    return leakage.history_consistency(materialize(v.enriched(spark, sf_dir), "features"))
 
 
 KEPT = ["RideEstimativeID", "RideID", "CategoryID", "UserID", "Price", "UserPriorRideCount", "UserPriorPaidPriceMean",
@@ -218,6 +221,6 @@ STAMPS = ("Schedule", "Create", "Updated")
     + ", " + ", ".join(calendar_sql(t) for t in STAMPS) + " FROM vx")
 def feature_layer(spark, sf_dir):
     """Flagship: star join, cleaning, calendar, cross prices and user history in one plan."""
-    out = history.build_features(v.curated(spark, sf_dir), v.TARGETS, "CategoryID", STAMPS, *v.YEARS)
+    out = history.build_features(v.curated_layer(spark, sf_dir), v.TARGETS, "CategoryID", STAMPS, *v.YEARS)
     calendar_names = [t + s for t in STAMPS for s in ("Hour", "DayOfWeek", "DayOfWeekName", "Month", "Quarter", "IsHolidayBR", "DayPeriod")]
     return out.select(*[rounded(F.col(c)).alias(c) if c in REALS else F.col(c) for c in KEPT], *calendar_names)

@@ -85,7 +85,7 @@ def domain_violations(spark, sf_dir):
 SELECT RideEstimativeID, {rnd('Price_ECONOMY')} AS Price_ECONOMY, {rnd('Price_STANDARD')} AS Price_STANDARD,
        {rnd('Price_PROMO')} AS Price_PROMO FROM vc LEFT JOIN xp USING (RideID)""")
 def join_cross_price(spark, sf_dir):
-    base = v.curated(spark, sf_dir).select("RideEstimativeID", "RideID", "CategoryID", "Price")
+    base = v.curated_layer(spark, sf_dir, ["RideEstimativeID", "RideID", "CategoryID", "Price"])
     out = history.attach_cross_prices(base, history.cross_prices(base, v.TARGETS, "CategoryID"))
     return out.select("RideEstimativeID", *[rounded(F.col(f"Price_{p}")).alias(f"Price_{p}") for p in v.TARGETS])
 
@@ -96,11 +96,9 @@ SELECT RideEstimativeID, {big('UserPriorRideCount')} AS UserPriorRideCount,
        {big('UserPriorCategoryRideCount')} AS UserPriorCategoryRideCount,
        {rnd('UserPriorCategoryPriceMean')} AS UserPriorCategoryPriceMean FROM vx""")
 def join_user_history(spark, sf_dir):
-    base = v.curated(spark, sf_dir).select(
-        "RideEstimativeID", "RideID", "CategoryID", "UserID", "Create", "RidePrice", "Price")
-    out = history.attach_user_history(base, history.user_history(history.ride_base(base)),
-                                      history.user_category_history(history.category_base(base)))
-    checks.require(history.missing_history(out).select("RideEstimativeID"), "rows without user history")
+    base = v.curated_layer(spark, sf_dir, ["RideEstimativeID", "RideID", "CategoryID", "UserID", "Create",
+                                           "RidePrice", "Price"])
+    out = history.require_history(history.attach_histories(base, base))
     means = ["UserPriorPaidPriceMean", "UserPriorCategoryPriceMean"]
     return out.select("RideEstimativeID", "UserPriorRideCount", "UserPriorCategoryRideCount",
                       *[rounded(F.col(c)).alias(c) for c in means])

@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.scalar import pct as pct_col
-from ..functions.scalar import rounded, rows
+from ..functions.scalar import rounded, rows, seconds_between
 from ..operators import correlation, profiling, target
 from . import views as v
 from .registry import big, pct, query, rnd
@@ -96,7 +96,7 @@ def constant_columns(spark, sf_dir):
     return profiling.constant_columns(v.rides(spark, sf_dir).withColumn("ScheduledFlag", F.lit(0)))
 
 
-OUTLIER_COLUMNS = ["Price", "WaitingTime", "OriginLat", "Fee", "LineNo"]
+OUTLIER_COLUMNS = ["Price", "Hour", "Weekday", "Lead"]
 
 
 def _iqr_sql(c):
@@ -108,27 +108,35 @@ def _iqr_sql(c):
   {big(f'count(*) FILTER (WHERE q3 <> q1 AND ("{c}" < q1 - 1.5 * (q3 - q1) OR "{c}" > q3 + 1.5 * (q3 - q1)))')} AS outlier_count,
   {pct(f'count(*) FILTER (WHERE q3 <> q1 AND ("{c}" < q1 - 1.5 * (q3 - q1) OR "{c}" > q3 + 1.5 * (q3 - q1)))', f'count("{c}")', 2)} AS outlier_pct,
   count(DISTINCT "{c}") AS u
-FROM ve, (SELECT quantile_cont("{c}", 0.25) AS q1, quantile_cont("{c}", 0.5) AS q2, quantile_cont("{c}", 0.75) AS q3 FROM ve)"""
+FROM oc, (SELECT quantile_cont("{c}", 0.25) AS q1, quantile_cont("{c}", 0.5) AS q2, quantile_cont("{c}", 0.75) AS q3 FROM oc)"""
 
 
+OC = """, oc AS (SELECT Price, hour("Create") AS Hour, isodow("Create") - 1 AS Weekday,
+  (epoch_us("Create") - epoch_us("Schedule")) / 1e6 AS Lead FROM vk) """
 IQR = f"SELECT * EXCLUDE (u) FROM ({_stack(_iqr_sql, OUTLIER_COLUMNS)}) WHERE u > 10"
 
 
-@query("iqr_outliers", IQR)
+def _outlier_frame(spark, sf_dir):
+    ts = F.col("Create")
+    return v.clock(spark, sf_dir).select(
+        "RideID", "UserID", "Price", F.hour(ts).alias("Hour"), F.weekday(ts).alias("Weekday"),
+        seconds_between(F.col("Schedule"), ts).alias("Lead"))
+
+
+@query("iqr_outliers", OC + IQR)
 def iqr_outliers(spark, sf_dir):
-    df = v.estimates(spark, sf_dir).select("RideEstimativeID", *OUTLIER_COLUMNS)
-    return profiling.iqr_outliers(df, profiling.outlier_candidates(df, "RideEstimativeID"))
+    df = _outlier_frame(spark, sf_dir)
+    return profiling.iqr_outliers(df, profiling.outlier_candidates(df, "RideID"))
 
 
-@query("high_outlier_columns", f'SELECT "column", outlier_count, outlier_pct FROM ({IQR}) WHERE outlier_pct >= 0.5')
+@query("high_outlier_columns", f'{OC} SELECT "column", outlier_count, outlier_pct FROM ({IQR}) WHERE outlier_pct >= 1.0')
 def high_outlier_columns(spark, sf_dir):
-    df = v.estimates(spark, sf_dir).select("RideEstimativeID", *OUTLIER_COLUMNS)
-    found = profiling.iqr_outliers(df, profiling.outlier_candidates(df, "RideEstimativeID"))
-    return profiling.high_outlier_columns(found, 0.5)
+    df = _outlier_frame(spark, sf_dir)
+    return profiling.high_outlier_columns(profiling.iqr_outliers(df, profiling.outlier_candidates(df, "RideID")))
 
 
 QUARTILES = """tq AS (SELECT CategoryID, quantile_cont(Price, 0.25) AS q1, quantile_cont(Price, 0.5) AS q2,
-  quantile_cont(Price, 0.75) AS q3 FROM va GROUP BY 1)"""
+  quantile_cont(Price, 0.75) AS q3 FROM vk GROUP BY 1)"""
 
 
 def _outside(k):
@@ -146,12 +154,12 @@ STATS = f"""SELECT CategoryID, count(*) AS rows, {rnd('avg(Price)')} AS mean, {r
   {pct(f'count(*) FILTER (WHERE {_outside(1.5)})', 'count(*)', 2)} AS mild_pct,
   {pct(f'count(*) FILTER (WHERE {_outside(3.0)})', 'count(*)', 2)} AS extreme_pct,
   {pct('count(*) FILTER (WHERE Price = 0)', 'count(*)', 2)} AS zero_pct
-FROM va JOIN tq USING (CategoryID) GROUP BY 1"""
+FROM vk JOIN tq USING (CategoryID) GROUP BY 1"""
 
 
 @query("target_stats", f", {QUARTILES} {STATS}")
 def target_stats(spark, sf_dir):
-    return target.target_stats(v.analytical(spark, sf_dir))
+    return target.target_stats(v.clock(spark, sf_dir))
 
 
 @query("shape_class", f""", {QUARTILES}
@@ -159,7 +167,7 @@ SELECT CategoryID, CASE WHEN abs(skewness) < 0.5 THEN 'near_symmetric' WHEN abs(
                         ELSE 'strong' END AS shape,
        CASE WHEN extreme_pct < 0.5 AND abs(skewness) < 1 THEN 'light' ELSE 'robust' END AS treatment FROM ({STATS})""")
 def shape_class(spark, sf_dir):
-    stats = target.target_stats(v.analytical(spark, sf_dir))
+    stats = target.target_stats(v.clock(spark, sf_dir))
     skew = F.col("skewness")
     return stats.select("CategoryID", target.shape_class(skew).alias("shape"),
                         target.treatment_note(F.col("extreme_pct"), skew).alias("treatment"))
@@ -170,28 +178,28 @@ LEVELS = {"p1": 0.01, "p5": 0.05, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.
 
 
 @query("target_percentiles", "SELECT CategoryID, " + ", ".join(
-    f"{rnd(f'quantile_cont(Price, {p})')} AS {n}" for n, p in LEVELS.items()) + " FROM va GROUP BY 1")
+    f"{rnd(f'quantile_cont(Price, {p})')} AS {n}" for n, p in LEVELS.items()) + " FROM vk GROUP BY 1")
 def target_percentiles(spark, sf_dir):
-    return target.target_percentiles(v.analytical(spark, sf_dir))
+    return target.target_percentiles(v.clock(spark, sf_dir))
 
 
 @query("target_histogram", f"""
 SELECT CategoryID, bin, {rnd('lo + (bin - 1) * width')} AS bin_start, {rnd('lo + bin * width')} AS bin_end, count FROM (
   SELECT CategoryID, lo, width, CAST(CASE WHEN width = 0 THEN 1 ELSE least(floor((Price - lo) / width) + 1, 80) END AS BIGINT) AS bin,
          count(*) AS count
-  FROM va JOIN (SELECT CategoryID, min(Price) AS lo, (max(Price) - min(Price)) / 80 AS width FROM va GROUP BY 1) USING (CategoryID)
+  FROM vk JOIN (SELECT CategoryID, min(Price) AS lo, (max(Price) - min(Price)) / 80 AS width FROM vk GROUP BY 1) USING (CategoryID)
   GROUP BY ALL)""")
 def target_histogram(spark, sf_dir):
-    return target.target_histogram(v.analytical(spark, sf_dir))
+    return target.target_histogram(v.clock(spark, sf_dir))
 
 
 @query("target_boxplot", f""", {QUARTILES}
 SELECT CategoryID, {rnd(f'min(Price) FILTER (WHERE NOT {_outside(1.5)})')} AS whisker_low, {rnd('any_value(q1)')} AS q1,
        {rnd('any_value(q2)')} AS median, {rnd('any_value(q3)')} AS q3,
        {rnd(f'max(Price) FILTER (WHERE NOT {_outside(1.5)})')} AS whisker_high
-FROM va JOIN tq USING (CategoryID) GROUP BY 1""")
+FROM vk JOIN tq USING (CategoryID) GROUP BY 1""")
 def target_boxplot(spark, sf_dir):
-    return target.target_boxplot(v.analytical(spark, sf_dir))
+    return target.target_boxplot(v.clock(spark, sf_dir))
 
 
 NUMBERS = ["Price", "WaitingTime", "Fee", "OriginLat", "DestinationLat", "RidePrice", "LineNo"]

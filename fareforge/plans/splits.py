@@ -32,13 +32,13 @@ WINDOW = """split_name, split_type, CAST(number AS INTEGER) AS number, train_sta
 @query("holdout_window", f"SELECT {WINDOW} FROM fw WHERE split_type = 'holdout'")
 def holdout_window(spark, sf_dir):
     positions = folds.date_positions(v.fold_frame(spark, sf_dir))
-    return folds.split_windows_frame(positions, v.CONFIG).where("split_type = 'holdout'")
+    return folds.split_windows_frame(positions, v.CONFIG).where("split_type = 'holdout'").drop("dates")
 
 
 @query("expanding_folds", f"SELECT {WINDOW} FROM fw WHERE split_type = 'cv'")
 def expanding_folds(spark, sf_dir):
     positions = folds.date_positions(v.fold_frame(spark, sf_dir))
-    return folds.split_windows_frame(positions, v.CONFIG).where("split_type = 'cv'")
+    return folds.split_windows_frame(positions, v.CONFIG).where("split_type = 'cv'").drop("dates")
 
 
 def _windows(frame):
@@ -48,7 +48,7 @@ def _windows(frame):
 @query("assign_folds", """
 SELECT split_name, role, count(*) AS rows FROM fa WHERE role IS NOT NULL GROUP BY 1, 2""")
 def assign_folds(spark, sf_dir):
-    frame = v.fold_frame(spark, sf_dir)
+    frame = v.fold_layer(spark, sf_dir)
     return folds.role_counts(frame, _windows(frame))
 
 
@@ -69,7 +69,7 @@ SUMMARY = (_summary_sql("'ALL'").replace("{where}", "") + "\nUNION ALL "
 
 
 def _both(spark, sf_dir):
-    frame = v.fold_frame(spark, sf_dir)
+    frame = v.fold_layer(spark, sf_dir)
     windows = _windows(frame)
     overall = folds.split_summary(frame, windows).withColumn("CategoryID", F.lit("ALL"))
     return overall.unionByName(folds.split_summary(frame, windows, v.TARGETS))
@@ -77,9 +77,7 @@ def _both(spark, sf_dir):
 
 @query("split_summary", SUMMARY)
 def split_summary(spark, sf_dir):
-    out = _both(spark, sf_dir)
-    folds.require_usable(out)
-    return out.select("CategoryID", *folds.SUMMARY_COLUMNS)
+    return folds.guarded(_both(spark, sf_dir)).select("CategoryID", *folds.SUMMARY_COLUMNS)
 
 
 CHECKS = """SELECT CategoryID, split_name, train_rows, evaluation_rows, ride_overlap, CAST(0 AS BIGINT) AS index_overlap,

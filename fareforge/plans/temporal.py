@@ -2,6 +2,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import calendar
+from ..functions.bounded import settle
 from ..functions.scalar import rounded, rows
 from ..operators import history, temporal
 from . import views as v
@@ -45,7 +46,15 @@ dm AS (SELECT *, avg(unique_rides) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING
 
 
 def _daily(spark, sf_dir):
-    return temporal.daily_metrics(v.analytical(spark, sf_dir).select("Create", "RideID", "Price"))
+    # rides carry the date, so neither products nor other ride columns are read
+    dated = v.estimates(spark, sf_dir).select("RideID", "Price").join(
+        v.rides(spark, sf_dir).select("RideID", "Create"), "RideID", "left")
+    return temporal.daily_metrics(dated)
+
+
+def _settled_daily(spark, sf_dir):
+    """One row per calendar day, computed once for several aggregates."""
+    return settle(_daily(spark, sf_dir), "daily")
 
 
 def _round_all(df, names):
@@ -90,7 +99,7 @@ FROM (SELECT unnest(range(7)) AS n, unnest(['Monday', 'Tuesday', 'Wednesday', 'T
 LEFT JOIN (SELECT * FROM dm WHERE weekday <> 'Sunday') d ON d.weekday = w.weekday GROUP BY ALL""")
 def weekday_seasonality(spark, sf_dir):
     """Sundays are left out of the data, so that their row shows the kept nulls."""
-    daily = _daily(spark, sf_dir).where("weekday <> 'Sunday'")
+    daily = _settled_daily(spark, sf_dir).where("weekday <> 'Sunday'")
     return _round_all(temporal.weekday_seasonality(daily), ["mean_daily_rides", "mean_daily_price", "median_daily_rides"])
 
 
@@ -99,7 +108,7 @@ SELECT month, count(*) AS active_days, {big('sum(unique_rides)')} AS total_rides
        {rnd('avg(mean_price)')} AS mean_daily_price, {rnd('quantile_cont(unique_rides, 0.5)')} AS median_daily_rides
 FROM dm GROUP BY 1""")
 def monthly_metrics(spark, sf_dir):
-    return _round_all(temporal.monthly_metrics(_daily(spark, sf_dir)),
+    return _round_all(temporal.monthly_metrics(_settled_daily(spark, sf_dir)),
                       ["mean_daily_rides", "mean_daily_price", "median_daily_rides"])
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.running import first_per_key  # noqa: F401  (re-exported for plans)
 from ..operators import clean, folds, history
-from ..session import tune
+from ..session import materialize, tune
 
 TARGETS = ["ECONOMY", "STANDARD", "PROMO"]
 COORDINATES = ["OriginLat", "DestinationLat"]
@@ -86,19 +86,34 @@ def curated_rows(spark, sf_dir) -> DataFrame:
     return staged(spark, sf_dir).where("removed_by is null").drop("removed_by", *clean.chronology_flags())
 
 
+def priced(spark, sf_dir) -> DataFrame:
+    """Estimates with their category only: what thresholds and price statistics need."""
+    return estimates(spark, sf_dir).join(products(spark, sf_dir).select("ProductID", "CategoryID"), "ProductID", "left")
+
+
 def curated(spark, sf_dir) -> DataFrame:
-    return clean.curate(analytical(spark, sf_dir), COORDINATES, DEDUP_KEY, DEDUP_ORDER, MEDIANS)
+    return clean.curate(analytical(spark, sf_dir), COORDINATES, DEDUP_KEY, DEDUP_ORDER, MEDIANS,
+                        fit_on=priced(spark, sf_dir))
+
+
+def curated_layer(spark, sf_dir, columns=None) -> DataFrame:
+    """The curated layer as stored: feature steps read it several times."""
+    rows = curated(spark, sf_dir)
+    return materialize(rows.select(*columns) if columns else rows, "curated")
 
 
 def enriched(spark, sf_dir) -> DataFrame:
     """Curated rows with cross prices and user history."""
-    base = curated(spark, sf_dir)
-    priced = history.attach_cross_prices(base, history.cross_prices(base, TARGETS, "CategoryID"))
-    return history.attach_user_history(
-        priced, history.user_history(history.ride_base(base)),
-        history.user_category_history(history.category_base(base)))
+    base = curated_layer(spark, sf_dir)
+    with_prices = history.attach_cross_prices(base, history.cross_prices(base, TARGETS, "CategoryID"))
+    return history.attach_histories(with_prices, base)
 
 
 def fold_frame(spark, sf_dir, *extra) -> DataFrame:
     rows = curated_rows(spark, sf_dir)
     return folds.temporal_frame(rows, ["RideEstimativeID", "RideID", "CategoryID", "Create", *extra], REGIME)
+
+
+def fold_layer(spark, sf_dir, *extra) -> DataFrame:
+    """The fold frame as stored: windows and every summary read it."""
+    return materialize(fold_frame(spark, sf_dir, *extra), "folds")
