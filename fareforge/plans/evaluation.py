@@ -13,10 +13,13 @@ MODELS = [("CategoryMean", "baseline", 0), ("WaitingMean", "baseline", 1),
           ("ProductMean", "advanced", 1), ("UserHistory", "advanced", 1)]
 COLUMNS = ["RideEstimativeID", "CategoryID", "ProductID", "WaitingTime", "Price", "UserPriorCategoryPriceMean", "Create"]
 
+SOURCE_COLUMNS = ["RideEstimativeID", "RideID", "CategoryID", "ProductID", "UserID", "WaitingTime", "Price", "Create"]
+
 
 def _marked(spark, sf_dir):
     """Rows of the target categories with fold numbers, and the windows (from the dates of all categories)."""
-    frame = v.materialize(folds.temporal_frame(v.enriched(spark, sf_dir), COLUMNS, v.REGIME), "evaluation")
+    rows = v.with_category_history(spark, sf_dir, SOURCE_COLUMNS)
+    frame = v.materialize(folds.temporal_frame(rows, COLUMNS, v.REGIME), "evaluation")
     windows = folds.split_windows(frame, v.CONFIG)
     return folds.mark_folds(frame.where(F.col("CategoryID").isin(v.TARGETS)), windows), windows
 

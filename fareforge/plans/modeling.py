@@ -1,0 +1,219 @@
+"""Model preparation, training and scoring."""
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..functions.bounded import lookup_join
+from ..functions.scalar import rounded, rows
+from ..operators import evaluate, folds, history, modeling
+from ..session import materialize, scratch_path
+from . import views as v
+from .registry import query, rnd
+from .temporal import calendar_sql
+
+CALENDAR = [t + p for t in ("Schedule", "Create") for p in ("Hour", "DayOfWeek", "Month", "Quarter")]
+NUMERIC = ["WaitingTime", "Fee", "OriginLat", "DestinationLat", *CALENDAR, "UserPriorRideCount", "UserPriorPaidPriceMean",
+           "UserPriorCategoryRideCount", "UserPriorCategoryPriceMean"]
+BOOLEAN = ["ScheduleIsHolidayBR", "CreateIsHolidayBR", "FareIDWasImputed", "WaitingTimeWasCapped"]
+
+
+def feature_set(category):
+    """The feature list of the reference over the columns that exist here, without the own price."""
+    return modeling.FeatureSet([*NUMERIC, *[f"Price_{p}" for p in v.TARGETS if p != category]], BOOLEAN)
+
+
+def _frame(spark, sf_dir):
+    """The feature layer of the regime, stored once per plan."""
+    layer = history.build_features(v.curated_layer(spark, sf_dir), v.TARGETS, "CategoryID", ("Schedule", "Create"), *v.YEARS)
+    regime = layer.where(F.col("Create") >= F.lit(v.REGIME).cast("timestamp_ntz")).withColumn("CreateDate", F.to_date("Create"))
+    return materialize(regime, "model-frame")
+
+
+def _setup(spark, sf_dir):
+    frame = _frame(spark, sf_dir)
+    windows = folds.split_windows(frame, v.CONFIG)
+    features = {c: feature_set(c) for c in v.TARGETS}
+    frames = {c: modeling.feature_matrix(frame.where(F.col("CategoryID") == c), features[c]) for c in v.TARGETS}
+    return frames, windows, features
+
+
+REGIME_ROWS = """"Create" >= TIMESTAMP '1999-01-01'"""
+CAL = f"{calendar_sql('Schedule')}, {calendar_sql('Create')}"
+
+
+@query("feature_matrix", f""", fxm AS (SELECT *, CAST("Create" AS DATE) AS CreateDate, {CAL} FROM vx WHERE CategoryID = 'ECONOMY' AND {REGIME_ROWS})
+SELECT RideEstimativeID, RideID, CreateDate, {', '.join(f"{rnd(c)} AS {c}" for c in ['Price', *NUMERIC, 'Price_STANDARD', 'Price_PROMO'])},
+       {', '.join(f'CAST({c} AS INTEGER) AS {c}' for c in BOOLEAN)}, CAST(ProductID AS VARCHAR) AS ProductID FROM fxm""")
+def feature_matrix(spark, sf_dir):
+    frame = _frame(spark, sf_dir).where("CategoryID = 'ECONOMY'")
+    out = modeling.feature_matrix(frame, feature_set("ECONOMY"))
+    return out.withColumns({c: rounded(F.col(c)) for c in ["Price", *NUMERIC, "Price_STANDARD", "Price_PROMO"]})
+
+
+FOLD_1 = """, w1 AS (SELECT * FROM fw WHERE number = 1),
+b1 AS (SELECT vx.*, CAST("Create" AS DATE) AS d FROM vx),
+t1 AS (SELECT b1.* FROM b1, w1 WHERE d BETWEEN train_start AND train_end),
+e1 AS (SELECT b1.* FROM b1, w1 WHERE d BETWEEN evaluation_start AND evaluation_end)"""
+HIST = "UserPriorCategoryPriceMean"
+
+
+def _fold_1(spark, sf_dir):
+    source = ["RideEstimativeID", "RideID", "CategoryID", "ProductID", "UserID", "Price", "Create"]
+    rows_ = v.with_category_history(spark, sf_dir, source)
+    frame = materialize(folds.temporal_frame(rows_, ["RideEstimativeID", "ProductID", HIST, "Create"], v.REGIME), "fold-1")
+    first = folds.split_windows(frame, v.CONFIG)[0]
+    return folds.train_rows(frame, first), folds.evaluation_rows(frame, first)
+
+
+@query("impute_train_only", f"""{FOLD_1}
+SELECT RideEstimativeID, {rnd(f'coalesce({HIST}, (SELECT quantile_cont({HIST}, 0.5) FROM t1))')} AS {HIST} FROM e1""")
+def impute_train_only(spark, sf_dir):
+    train, held = _fold_1(spark, sf_dir)
+    median = modeling.median_row(train, [HIST])[HIST]
+    return held.select("RideEstimativeID", rounded(F.coalesce(F.col(HIST), F.lit(median))).alias(HIST))
+
+
+@query("standardize", f"""{FOLD_1}, md AS (SELECT quantile_cont({HIST}, 0.5) AS m FROM t1),
+st AS (SELECT avg(coalesce({HIST}, m)) AS mean, stddev_pop(coalesce({HIST}, m)) AS sd FROM t1, md)
+SELECT RideEstimativeID, {rnd(f'(coalesce({HIST}, m) - mean) / sd')} AS {HIST} FROM e1, md, st""")
+def standardize(spark, sf_dir):
+    train, held = _fold_1(spark, sf_dir)
+    medians = modeling.median_row(train, [HIST])
+    mean, std = modeling.scale_row(train, medians)[HIST]
+    out = modeling.standardized(held.select("RideEstimativeID", HIST), HIST, medians[HIST], mean, std)
+    return out.withColumn(HIST, rounded(F.col(HIST)))
+
+
+@query("mode_impute", """
+, md AS (SELECT FareID FROM ve WHERE FareID IS NOT NULL AND trim(FareID) <> '' GROUP BY 1 ORDER BY count(*) DESC, FareID LIMIT 1)
+SELECT RideEstimativeID, coalesce(CASE WHEN trim(FareID) <> '' THEN FareID END, (SELECT FareID FROM md)) AS FareID FROM ve""")
+def mode_impute(spark, sf_dir):
+    fare = F.when(F.trim("FareID") != "", F.col("FareID"))
+    df = v.estimates(spark, sf_dir).select("RideEstimativeID", fare.alias("FareID"))
+    mode = modeling.most_frequent(df, "FareID").select("FareID").scalar()
+    return df.withColumn("FareID", F.coalesce(F.col("FareID"), mode))
+
+
+@query("one_hot", f"""{FOLD_1}, vo AS (SELECT ProductID, count(*) AS n FROM t1 GROUP BY 1)
+SELECT RideEstimativeID, CASE WHEN n < 5 THEN 'infrequent' WHEN n >= 5 THEN CAST(e1.ProductID AS VARCHAR) END AS ProductID
+FROM e1 LEFT JOIN vo ON vo.ProductID = e1.ProductID""")
+def one_hot(spark, sf_dir):
+    """The one-hot column of every evaluation row: its own, the shared one for rare values, or none."""
+    train, held = _fold_1(spark, sf_dir)
+    vocab = modeling.vocabulary(train, "ProductID", 5)
+    return modeling.encode_labels(held.select("RideEstimativeID", "ProductID"), vocab, "ProductID")
+
+
+def _largest_window(spark, sf_dir):
+    frames, windows, features = _setup(spark, sf_dir)
+    return frames, [w for w in windows if w.split_type == "cv"][-1], features
+
+
+@query("fit_preprocessing")
+def fit_preprocessing(spark, sf_dir):
+    """Prepared evaluation rows of the last fold: width and non-zero entries of the assembled vector."""
+    frames, window, features = _largest_window(spark, sf_dir)
+    out = []
+    for c, frame in frames.items():
+        train, held = folds.train_rows(frame, window), folds.evaluation_rows(frame, window)
+        prepared = modeling.fit_preprocessing(train, features[c]).transform(held)
+        out.append(prepared.select("RideEstimativeID", F.lit(c).alias("CategoryID"), F.size(vector_to_array("features")).alias("width"),
+                                   F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("non_zero")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _fit_rows(spark, sf_dir, estimators, scale, min_rows):
+    frames, window, features = _largest_window(spark, sf_dir)
+    found = modeling.run_folds(frames, [window], features, estimators, scale, min_rows)
+    return spark.createDataFrame([[r[c.split()[0]] for c in modeling.FOLD_SCHEMA.split(", ")] for r in found], modeling.FOLD_SCHEMA)
+
+
+@query("fit_linear")
+def fit_linear(spark, sf_dir):
+    return _fit_rows(spark, sf_dir, {"LinearRegression": modeling.linear}, True, 5)
+
+
+@query("fit_ridge")
+def fit_ridge(spark, sf_dir):
+    return _fit_rows(spark, sf_dir, {"Ridge": modeling.ridge}, True, 5)
+
+
+@query("fit_lasso")
+def fit_lasso(spark, sf_dir):
+    return _fit_rows(spark, sf_dir, {"Lasso": modeling.lasso}, True, 5)
+
+
+@query("fit_random_forest")
+def fit_random_forest(spark, sf_dir):
+    return _fit_rows(spark, sf_dir, {"RandomForest": lambda d, t: modeling.random_forest(d, t, trees=20, depth=10)}, False, 1)
+
+
+@query("fit_gbt")
+def fit_gbt(spark, sf_dir):
+    return _fit_rows(spark, sf_dir, {"GradientBoosting": lambda d, t: modeling.boosted_trees(d, t, rounds=10)}, False, 1)
+
+
+@query("tscv_run")
+def tscv_run(spark, sf_dir):
+    """Mean and deviation over folds per category and baseline model."""
+    frames, windows, features = _setup(spark, sf_dir)
+    found = modeling.run_folds(frames, windows, features, modeling.BASELINES)
+    folds_ = spark.createDataFrame([[r[c.split()[0]] for c in modeling.FOLD_SCHEMA.split(", ")] for r in found], modeling.FOLD_SCHEMA)
+    return evaluate.metric_summary(folds_, ["CategoryID", "ModelName"])
+
+
+@query("temporal_search")
+def temporal_search(spark, sf_dir):
+    """Trials next to the default on all folds, with the best one flagged. Few rounds keep the run short."""
+    frames, windows, features = _setup(spark, sf_dir)
+    found = modeling.temporal_search(frames, windows, features, modeling.sample_trials(2, rounds=(2, 4, 1)), default_rounds=3)
+    names = [c.split()[0] for c in modeling.SEARCH_SCHEMA.split(", ")]
+    folds_ = spark.createDataFrame([[r[c] for c in names] for r in found], modeling.SEARCH_SCHEMA)
+    summary = evaluate.metric_summary(folds_, ["CategoryID", "Phase", "TrialNumber", "ParamsJSON"])
+    best = evaluate.trial_ranking(summary.where("Phase = 'trial'"))
+    return best.unionByName(summary.where("Phase = 'default'"), allowMissingColumns=True)
+
+
+def _final(spark, sf_dir):
+    frame = _frame(spark, sf_dir)
+    for c in v.TARGETS:
+        features = feature_set(c)
+        rows_ = modeling.feature_matrix(frame.where(F.col("CategoryID") == c), features)
+        yield c, features, rows_, modeling.fit_final(rows_, features, modeling.boosted_trees, rounds=5)
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@query("fit_final")
+def fit_final(spark, sf_dir):
+    """One model per category on the whole regime, with the record of what it was trained on."""
+    return _union([rows_.agg(
+        F.lit(c).alias("CategoryID"), rows().alias("TrainingRows"), F.min("CreateDate").alias("TrainingStartDate"),
+        F.max("CreateDate").alias("TrainingEndDate"), F.lit(model.stages[-1].numFeatures).alias("FeatureCount"),
+        F.lit(model.stages[-1].getNumTrees).alias("Trees")) for c, _, rows_, model in _final(spark, sf_dir)])
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    return _union([modeling.save_and_check(model, rows_, features, scratch_path(spark, "model")).withColumn("CategoryID", F.lit(c))
+                   for c, features, rows_, model in _final(spark, sf_dir)])
+
+
+@query("batch_predict")
+def batch_predict(spark, sf_dir):
+    return _union([modeling.predict(model, rows_, features).select("RideEstimativeID", F.lit(c).alias("CategoryID"), "Price", "prediction")
+                   for c, features, rows_, model in _final(spark, sf_dir)])
+
+
+@query("select_category_model", """
+SELECT CategoryID, CAST(count(*) AS BIGINT) AS rows FROM va WHERE CategoryID IN ('ECONOMY', 'PROMO') GROUP BY 1""")
+def select_category_model(spark, sf_dir):
+    """Rows of the categories whose selected model is the wanted one; no match would mean all categories."""
+    df = v.priced(spark, sf_dir)
+    chosen = spark.createDataFrame([("ECONOMY", "A"), ("STANDARD", "B"), ("PROMO", "A")], "CategoryID string, SelectedModel string")
+    wanted = evaluate.categories_with_model(chosen, "A")
+    return lookup_join(df, wanted, "CategoryID", "left_semi").groupBy("CategoryID").agg(rows().alias("rows"))

@@ -16,8 +16,15 @@ CONFIG = folds.SplitConfig(regime_start=REGIME)
 YEARS = (1995, 2002)
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the files once per path, not once per plan."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = tune(spark).read.parquet(path).schema
+    return tune(spark).read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _padded(name: str, width: int):
@@ -102,6 +109,13 @@ def curated_layer(spark, sf_dir, columns=None) -> DataFrame:
     return materialize(rows.select(*columns) if columns else rows, "curated")
 
 
+def with_category_history(spark, sf_dir, columns) -> DataFrame:
+    """Curated rows with the user's history in the category, for evaluation."""
+    base = curated_layer(spark, sf_dir, columns)
+    past = history.user_category_history(history.category_base(base))
+    return base.join(past.select("RideID", "CategoryID", *history.CATEGORY_HISTORY), ["RideID", "CategoryID"], "left")
+
+
 def enriched(spark, sf_dir) -> DataFrame:
     """Curated rows with cross prices and user history."""
     base = curated_layer(spark, sf_dir)
