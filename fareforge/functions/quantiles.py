@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .bounded import lookup_join
 
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 
 

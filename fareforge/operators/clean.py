@@ -117,8 +117,12 @@ REMOVALS = ["missing_coordinate", "nonpositive_price"]
 
 
 def staged(df: DataFrame, coordinates: list[str], key: list[str], key_order: list) -> DataFrame:
-    """Rows after deduplication with one boolean per chronology rule and the first removal reason."""
-    kept = first_per_key(df, key, key_order)
+    """Rows after deduplication with their rule flags."""
+    return flag_removals(first_per_key(df, key, key_order), coordinates)
+
+
+def flag_removals(kept: DataFrame, coordinates: list[str]) -> DataFrame:
+    """One boolean per chronology rule and the first reason to remove the row."""
     flagged = kept.withColumns(chronology_flags())
     chronology = (F.col("invalid_create_or_schedule") | F.col("updated_before_create")
                   | F.col("schedule_create_gap_gt_5m"))
@@ -144,7 +148,12 @@ def curate(df: DataFrame, coordinates: list[str], key: list[str], key_order: lis
            fit_on: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """Deduplicate, drop by rule, impute, cap. Thresholds come from all given rows, or from `fit_on`."""
     limits = thresholds(df if fit_on is None else fit_on, medians)
-    passed = staged(df, coordinates, key, key_order).where("removed_by is null")
+    return finish(staged(df, coordinates, key, key_order), limits, strict)
+
+
+def finish(flagged: DataFrame, limits: Thresholds, strict: bool = False) -> DataFrame:
+    """The rows that passed every rule, imputed and capped."""
+    passed = flagged.where("removed_by is null")
     if strict:
         require(uncapped_groups(passed, limits.by_group, "CategoryID"), "groups without a cap")
     return treat(passed, limits).drop("removed_by", *chronology_flags())

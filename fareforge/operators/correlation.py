@@ -11,14 +11,19 @@ from .profiling import column_cardinality, value_counts
 
 
 def correlation_long(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
-    """All pairs in one aggregate: (feature_left, feature_right, corr, corr_raw).
+    """All column pairs in one pass: (feature_left, feature_right, corr, corr_raw).
 
-    Each pair uses the rows where both columns are present. Pairs are a function of the columns, not of the rows.
+    Each pair uses the rows where both columns are present. A row is unrolled into its column pairs and meets
+    one small aggregate per pair before the shuffle, so only one record per task and pair is sent. One wide
+    aggregate over all pairs would outgrow the size up to which the JVM compiles generated code.
     """
-    one = df.agg(F.array(*[
-        F.struct(F.lit(a).alias("feature_left"), F.lit(b).alias("feature_right"), F.corr(a, b).alias("corr_raw"))
-        for a, b in combinations(columns, 2)]).alias("_p"))
-    return one.select(F.inline("_p")).withColumn("corr", rounded(F.col("corr_raw"), digits))
+    pairs = F.array(*[
+        F.struct(F.lit(a).alias("feature_left"), F.lit(b).alias("feature_right"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in combinations(columns, 2)])
+    long = df.select(F.explode(pairs).alias("_p")).select("_p.*")
+    out = long.groupBy("feature_left", "feature_right").agg(F.corr("x", "y").alias("corr_raw"))
+    return out.withColumn("corr", rounded(F.col("corr_raw"), digits))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -58,10 +63,10 @@ def column_metadata(df: DataFrame, columns: list[str], excluded: dict[str, str],
 def target_correlation(df: DataFrame, columns: list[str], target: str, metadata: DataFrame,
                        leakage: list[str]) -> DataFrame:
     """Correlation of every feature to the target, strongest first, with its metadata."""
-    features = [c for c in columns if c != target]
-    ranked = df.agg(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.corr(c, target).alias("raw")) for c in features]).alias("_a")
-    ).select(F.inline("_a"))
+    against = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"),
+                                 F.col(target).cast("double").alias("y")) for c in columns if c != target])
+    ranked = (df.select(F.explode(against).alias("_p")).select("_p.*")
+              .groupBy("feature").agg(F.corr("x", "y").alias("raw")))
     role = F.when(F.col("feature").isin(leakage), "exclude").otherwise("candidate")
     meta = metadata.select("feature", "null_pct", "feature_status", "feature_family")
     return (ranked.join(meta, "feature", "left")

@@ -68,7 +68,7 @@ def _bounds(config: SplitConfig) -> list[tuple[str, str, int, int, int]]:
     for k in range(1, config.n_splits + 1):
         last = held + (config.n_splits - k) * config.test_days
         out.append((f"fold_{k}", "cv", k, last + config.test_days - 1, last))
-    out.append(("holdout", "holdout", config.n_splits + 1, config.holdout_days - 1, 0))
+    out.append(("holdout_test", "holdout", config.n_splits + 1, config.holdout_days - 1, 0))
     return out
 
 

@@ -11,8 +11,9 @@ def prefix_columns(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
 
 
 def active_only(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:
-    """Dimension rows that some fact row refers to."""
-    return dim.join(fact.select(key), key, "left_semi")
+    """Dimension rows that some fact row refers to. Keys are made distinct first, which happens before the
+    shuffle, so a key with very many fact rows arrives once per task."""
+    return dim.join(fact.select(key).distinct(), key, "left_semi")
 
 
 def uncovered_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -251,9 +251,8 @@ def _counts():
 @query("treatment_metrics", "\nUNION ALL ".join(
     f"SELECT '{name}' AS metric, CAST(({sql}) AS DOUBLE) AS value" for name, sql in _counts().items()))
 def treatment_metrics(spark, sf_dir):
-    source = v.analytical(spark, sf_dir)
-    stages = clean.staged(source, v.COORDINATES, v.DEDUP_KEY, v.DEDUP_ORDER)
-    stages = materialize(stages, "staged")
+    source = v.estimates(spark, sf_dir)
+    stages = materialize(v.staged(spark, sf_dir), "staged")
     treated = clean.treat(stages.where("removed_by is null"), clean.thresholds(v.priced(spark, sf_dir), v.MEDIANS))
     return clean.as_metric_rows(clean.treatment_counts(source, stages, treated))
 

@@ -148,7 +148,7 @@ def distinct_rows(spark, sf_dir):
 @query("key_difference", """
 SELECT ProductID FROM vp EXCEPT SELECT ProductID FROM ve WHERE Price > 100000""")
 def key_difference(spark, sf_dir):
-    dear = v.estimates(spark, sf_dir).where("Price > 100000").select("ProductID")
+    dear = v.estimates(spark, sf_dir).where("Price > 100000").select("ProductID").distinct()
     return v.products(spark, sf_dir).select("ProductID").subtract(dear)
 
 

@@ -108,7 +108,7 @@ fw0 AS (
   SELECT 'fold_' || k AS split_name, 'cv' AS split_type, k AS number,
          pool - (4 - k + 1) * 28 AS e0, pool - (4 - k + 1) * 28 + 27 AS e1
   FROM fp, (SELECT unnest([1, 2, 3, 4]) AS k)
-  UNION ALL SELECT 'holdout', 'holdout', 5, n - 28, n - 1 FROM fp),
+  UNION ALL SELECT 'holdout_test', 'holdout', 5, n - 28, n - 1 FROM fp),
 fw AS (
   SELECT split_name, split_type, number,
          min(day) FILTER (WHERE pos < e0 - 7) AS train_start, max(day) FILTER (WHERE pos < e0 - 7) AS train_end,

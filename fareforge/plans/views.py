@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.running import first_per_key  # noqa: F401  (re-exported for plans)
+from ..functions.running import first_per_key
 from ..operators import clean, folds, history
 from ..session import materialize, tune
 
@@ -85,7 +85,14 @@ def analytical(spark, sf_dir) -> DataFrame:
 
 
 def staged(spark, sf_dir) -> DataFrame:
-    return clean.staged(analytical(spark, sf_dir), COORDINATES, DEDUP_KEY, DEDUP_ORDER)
+    """Deduplicated estimates with ride, product and rule flags.
+
+    The key and its order are estimate columns, so copies go before the joins: a ride with very many
+    copies has shrunk to its distinct lines by the time rows are shuffled on the ride.
+    """
+    kept = first_per_key(estimates(spark, sf_dir), DEDUP_KEY, DEDUP_ORDER)
+    joined = kept.join(rides(spark, sf_dir), "RideID", "left").join(products(spark, sf_dir), "ProductID", "left")
+    return clean.flag_removals(joined, COORDINATES)
 
 
 def curated_rows(spark, sf_dir) -> DataFrame:
@@ -99,8 +106,7 @@ def priced(spark, sf_dir) -> DataFrame:
 
 
 def curated(spark, sf_dir) -> DataFrame:
-    return clean.curate(analytical(spark, sf_dir), COORDINATES, DEDUP_KEY, DEDUP_ORDER, MEDIANS,
-                        fit_on=priced(spark, sf_dir))
+    return clean.finish(staged(spark, sf_dir), clean.thresholds(priced(spark, sf_dir), MEDIANS))
 
 
 def curated_layer(spark, sf_dir, columns=None) -> DataFrame:
