@@ -45,15 +45,15 @@ def _with_windows(df, windows):
     return df.join(F.broadcast(table), "number")
 
 
-def _folds(spark, sf_dir, trials=False):
-    """Fold metrics of every model: few rows, computed once."""
+def _folds(spark, sf_dir, plain=True, trials=False):
+    """Fold metrics of the plain models, the search trials, or both: few rows, computed in one pass."""
     scored, windows = _scored(spark, sf_dir)
     mean = F.col("category_mean")
     of = {"CategoryMean": mean, "WaitingMean": F.coalesce("waiting_mean", mean), "ProductMean": means.shrunk_mean(0),
           "UserHistory": F.coalesce("UserPriorCategoryPriceMean", mean)}
-    models = [(_labels(n, g, k), of[n]) for n, g, k in MODELS]
+    models = [(_labels(n, g, k), of[n]) for n, g, k in MODELS] if plain else []
     if trials:
-        models = [(_labels("ProductMean", "tuning", 1, "default", None, "default"), means.shrunk_mean(0))]
+        models += [(_labels("ProductMean", "tuning", 1, "default", None, "default"), means.shrunk_mean(0))]
         models += [(_labels("ProductMean", "tuning", 1, "trial", t, "trial"), means.shrunk_mean(s)) for t, s in SHRINK.items()]
     models = [({**labels, "TrialNumber": -1 if labels["TrialNumber"] is None else labels["TrialNumber"],
                 "Phase": labels["Phase"] or ""}, p) for labels, p in models]
@@ -218,7 +218,7 @@ tk AS (SELECT *, row_number() OVER (PARTITION BY CategoryID ORDER BY MeanRMSE, T
 
 
 def _trials(spark, sf_dir):
-    out = evaluate.metric_summary(_folds(spark, sf_dir, trials=True), ["CategoryID", "TrialNumber", "Phase"])
+    out = evaluate.metric_summary(_folds(spark, sf_dir, plain=False, trials=True), ["CategoryID", "TrialNumber", "Phase"])
     return settle(out, "trials")
 
 
@@ -265,8 +265,8 @@ rm AS (
 
 
 def _result_folds(spark, sf_dir):
-    plain = _folds(spark, sf_dir)
-    trials = _folds(spark, sf_dir, trials=True).where("Phase = 'trial'")
+    every = _folds(spark, sf_dir, trials=True)
+    plain, trials = every.where("Phase = ''"), every.where("Phase = 'trial'")
     best = evaluate.trial_ranking(evaluate.metric_summary(trials, ["CategoryID", "TrialNumber"])).where("IsBestTrial")
     tuned = trials.join(best.select("CategoryID", "TrialNumber"), ["CategoryID", "TrialNumber"], "left_semi")
     tuned = tuned.withColumns({"ModelName": F.concat("ModelName", F.lit("_Tuned")), "ModelVariant": F.lit("tuned")})
