@@ -1,8 +1,8 @@
 """Metrics, fold summaries, model comparison and selection, on mean predictors with an exact answer."""
 from pyspark.sql import functions as F
 
-from ..functions.bounded import settle
-from ..functions.scalar import rounded
+from ..functions.bounded import lookup_join, settle
+from ..functions.scalar import rounded, rows
 from ..operators import evaluate, folds, means
 from ..operators.evaluate import METRICS
 from . import views as v
@@ -304,3 +304,14 @@ SELECT (SELECT count(*) FROM rf) AS fold_rows, {big('sum(means)')} AS mean_rows,
        min(algorithms) AS min_algorithms, max(algorithms) AS max_algorithms FROM c""")
 def results_counts(spark, sf_dir):
     return evaluate.results_counts(evaluate.results_table(_result_folds(spark, sf_dir)))
+
+
+@query("select_category_model", f"""{FM}, ch AS (SELECT CategoryID, ModelName FROM rk WHERE k = 1),
+wanted AS (SELECT CategoryID FROM ch WHERE ModelName = 'CategoryMean' OR NOT EXISTS (SELECT 1 FROM ch WHERE ModelName = 'CategoryMean'))
+SELECT CategoryID, count(*) AS rows FROM va WHERE CategoryID IN (SELECT CategoryID FROM wanted) GROUP BY 1""")
+def select_category_model(spark, sf_dir):
+    """Estimates of the categories whose selected model is the wanted one; of all categories when none is."""
+    selection = settle(evaluate.select_best(_summary(spark, sf_dir)).select("CategoryID", "SelectedModel"), "selection")
+    wanted = evaluate.categories_with_model(selection, "CategoryMean")
+    chosen = lookup_join(v.priced(spark, sf_dir), wanted, "CategoryID", "left_semi")
+    return chosen.groupBy("CategoryID").agg(rows().alias("rows"))

@@ -2,7 +2,6 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.bounded import lookup_join
 from ..functions.scalar import rounded, rows
 from ..operators import evaluate, folds, history, modeling
 from ..session import materialize, scratch_path
@@ -208,12 +207,3 @@ def batch_predict(spark, sf_dir):
     return _union([modeling.predict(model, rows_, features).select("RideEstimativeID", F.lit(c).alias("CategoryID"), "Price", "prediction")
                    for c, features, rows_, model in _final(spark, sf_dir)])
 
-
-@query("select_category_model", """
-SELECT CategoryID, CAST(count(*) AS BIGINT) AS rows FROM va WHERE CategoryID IN ('ECONOMY', 'PROMO') GROUP BY 1""")
-def select_category_model(spark, sf_dir):
-    """Rows of the categories whose selected model is the wanted one; no match would mean all categories."""
-    df = v.priced(spark, sf_dir)
-    chosen = spark.createDataFrame([("ECONOMY", "A"), ("STANDARD", "B"), ("PROMO", "A")], "CategoryID string, SelectedModel string")
-    wanted = evaluate.categories_with_model(chosen, "A")
-    return lookup_join(df, wanted, "CategoryID", "left_semi").groupBy("CategoryID").agg(rows().alias("rows"))

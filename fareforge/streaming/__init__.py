@@ -1,0 +1 @@
+"""Incremental runs of the batch steps."""

@@ -1,0 +1,25 @@
+from pyspark.sql import functions as F
+
+from fareforge.operators import clean
+from fareforge.session import scratch_path
+from fareforge.streaming.incremental import curated_stream, write_stream
+
+
+def test_increments_equal_the_batch_run(spark):
+    df = spark.range(300).select(
+        (F.col("id") % 250).alias("RideEstimativeID"), F.when(F.col("id") % 250 % 2 == 0, "A").otherwise("B").alias("CategoryID"),
+        (F.col("id") % 250).cast("double").alias("Price"), F.when(F.col("id") % 250 % 4 > 0, F.col("id") % 250 % 9).cast("double").alias("WaitingTime"),
+        F.lit("f").alias("FareID"), F.lit(1.0).alias("Lat"), F.lit(0).alias("ScheduledRide"),
+        *[F.lit("2021-01-01").cast("timestamp_ntz").alias(c) for c in ("Create", "Schedule", "Updated")])
+    limits = clean.thresholds(df, ["WaitingTime"])
+    source, out, state = (scratch_path(spark, n) for n in ("arriving", "curated", "state"))
+    df.where("RideEstimativeID < 120").coalesce(1).write.mode("append").parquet(source)
+    run = lambda: write_stream(curated_stream(
+        spark.readStream.schema(df.schema).parquet(source), limits, ["Lat"], ["RideEstimativeID"]), out, state).awaitTermination()
+    run()
+    df.where("RideEstimativeID >= 100").coalesce(1).write.mode("append").parquet(source)
+    run()
+    batch = clean.curate(df, ["Lat"], ["RideEstimativeID"], ["Price"], ["WaitingTime"])
+    cols = ["RideEstimativeID", "CategoryID", "Price", "WaitingTime", "PriceWasCapped"]
+    rows = lambda d: sorted(map(tuple, d.select(*cols).collect()))
+    assert rows(spark.read.parquet(out)) == rows(batch)
