@@ -1,19 +1,26 @@
 """Running totals per key over strictly earlier rows, safe for hot keys.
 
 With keys of a checked size this is one window. When a key holds more rows than one task should sort,
-rows are split by (key, time bucket): bucket totals are pre-aggregated, summed over the earlier buckets
-of the key, and added to the running total inside the row's own bucket.
+rows are split by (key, nested time buckets): bucket totals are pre-aggregated, summed over the earlier
+buckets of the key, and added to the running total inside the row's own bucket.
 """
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_KEY_ROWS = 5_000_000
+EARLIER = (Window.unboundedPreceding, -1)
 
 
 def hour_bucket(ts: str) -> Column:
-    """Hours since 1970: monotone in the timestamp."""
+    """Hours since 1970: monotone in the timestamp; rows without a time come first."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("HOUR", epoch, F.col(ts).cast("timestamp_ntz"))
+    return F.coalesce(F.timestamp_diff("HOUR", epoch, F.col(ts).cast("timestamp_ntz")), F.lit(-2**62))
+
+
+def time_levels(ts: str, tie: str, block: int = 65_536) -> list[Column]:
+    """Two nested levels for rows ordered by (ts, tie): the hour, then the time with a block of the whole-number
+    tie-breaker, so that rows of one moment can be split too."""
+    return [hour_bucket(ts), F.struct(F.col(ts).alias("at"), F.floor(F.col(tie) / block).alias("block"))]
 
 
 def largest_key(df: DataFrame, keys: list[str]) -> int:
@@ -29,31 +36,44 @@ def largest_key(df: DataFrame, keys: list[str]) -> int:
 
 
 def running_before(df: DataFrame, keys: list[str], order: list, sums: dict[str, Column],
-                   bucket: Column, max_key_rows: int = MAX_KEY_ROWS, largest: int | None = None) -> DataFrame:
+                   levels: list[Column], max_key_rows: int = MAX_KEY_ROWS, largest: int | None = None) -> DataFrame:
     """Add, per name, the sum of its expression over earlier rows of the same keys (0 when none).
 
-    `order` must be total within the keys, and `bucket` must be monotone in its first column. `largest` is an
-    upper bound of the rows per key where the caller knows one; otherwise it is counted.
+    `order` must be total within the keys. `levels` are nested buckets, coarse to fine, each monotone in the order
+    inside the one before. `largest` is an upper bound of the rows per key where the caller knows one; otherwise
+    it is counted.
     """
-    earlier = (Window.unboundedPreceding, -1)
     zero = F.lit(0)
     if largest is None:
         largest = largest_key(df, keys)
     if largest <= max_key_rows:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*earlier)
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*EARLIER)
         return df.select("*", *[F.coalesce(F.sum(e).over(w), zero).alias(n) for n, e in sums.items()])
-    rows = df.select("*", bucket.alias("_bucket"), *[e.alias(f"_v_{n}") for n, e in sums.items()])
-    totals = rows.groupBy(*keys, "_bucket").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
-    over_buckets = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(*earlier)
-    offsets = totals.select(*keys, "_bucket", *[
-        F.coalesce(F.sum(f"_t_{n}").over(over_buckets), zero).alias(f"_o_{n}") for n in sums])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(*earlier)
+    buckets = [f"_bucket_{i}" for i in range(len(levels))]
+    rows = df.select("*", *[e.alias(b) for e, b in zip(levels, buckets)], *[e.alias(f"_v_{n}") for n, e in sums.items()])
+    offsets = _offsets(rows, keys, buckets, list(sums))
+    inside = Window.partitionBy(*keys, *buckets).orderBy(*order).rowsBetween(*EARLIER)
     local = rows.select("*", *[
         F.coalesce(F.sum(f"_v_{n}").over(inside), zero).alias(f"_l_{n}") for n in sums])
-    return local.join(offsets, [*keys, "_bucket"]).select(
+    return local.join(offsets, [*keys, *buckets]).select(
         *df.columns, *[(F.col(f"_o_{n}") + F.col(f"_l_{n}")).alias(n) for n in sums])
 
 
+def _offsets(rows: DataFrame, keys: list[str], buckets: list[str], names: list[str]) -> DataFrame:
+    """Per bucket, the sums over all earlier buckets of the key. Totals are pre-aggregated level by level, so no
+    window sees more than the buckets inside one bucket of the level above."""
+    totals = rows.groupBy(*keys, *buckets).agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in names])
+    outer, last = buckets[:-1], buckets[-1]
+    before = Window.partitionBy(*keys, *outer).orderBy(last).rowsBetween(*EARLIER)
+    here = totals.select(*keys, *buckets, *[
+        F.coalesce(F.sum(f"_v_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in names])
+    if not outer:
+        return here
+    above = _offsets(totals, keys, outer, names).withColumnsRenamed({f"_o_{n}": f"_a_{n}" for n in names})
+    return here.join(above, [*keys, *outer]).select(
+        *keys, *buckets, *[(F.col(f"_o_{n}") + F.col(f"_a_{n}")).alias(f"_o_{n}") for n in names])
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Keep the first row per key. The rank filter is pushed below the shuffle, so each task sends at
     most one row per key and a hot key costs no more than any other."""

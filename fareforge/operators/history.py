@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import add_temporal_features
 from ..functions.quantiles import group_quantiles
-from ..functions.running import first_per_key, hour_bucket, largest_key, running_before
+from ..functions.running import first_per_key, largest_key, running_before, time_levels
 from ..functions.scalar import all_present, count_if, pct, rows
 
 RIDE_HISTORY = ["UserPriorRideCount", "UserPriorPaidPriceMean"]
@@ -92,7 +92,7 @@ def user_history(rides: DataFrame, **kw) -> DataFrame:
     out = running_before(
         rides, ["UserID"], ["Create", "RideID"],
         {"UserPriorRideCount": F.lit(1), "_paid": paid, "_paid_n": paid.isNotNull().cast("int")},
-        hour_bucket("Create"), **kw)
+        time_levels("Create", "RideID"), **kw)
     mean = F.when(F.col("_paid_n") > 0, F.col("_paid") / F.col("_paid_n"))
     return out.withColumn("UserPriorPaidPriceMean", mean).drop("_paid", "_paid_n")
 
@@ -107,7 +107,7 @@ def user_category_history(pairs: DataFrame, **kw) -> DataFrame:
     """Per (ride, category): the user's earlier rides in that category and their mean price by row count."""
     out = running_before(
         pairs, ["UserID", "CategoryID"], ["Create", "RideID", "RideEstimativeID"],
-        {"UserPriorCategoryRideCount": F.lit(1), "_price": F.col("Price")}, hour_bucket("Create"), **kw)
+        {"UserPriorCategoryRideCount": F.lit(1), "_price": F.col("Price")}, time_levels("Create", "RideID"), **kw)
     n = F.col("UserPriorCategoryRideCount")
     return out.withColumn("UserPriorCategoryPriceMean", F.when(n > 0, F.col("_price") / n)).drop("_price")
 

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.running import first_per_key, hour_bucket, largest_key, running_before
+from ..functions.running import first_per_key, largest_key, running_before, time_levels
 from ..functions.scalar import all_present, count_if, pct, rows
 from .history import price_column
 
@@ -64,7 +64,7 @@ def _varying(df: DataFrame, keys: list[str], column: str):
 def _mismatches(df: DataFrame, keys: list[str], user: list[str], order: list, stored: str, **kw):
     base = first_per_key(df.select(*dict.fromkeys([*keys, *user, "Create", "RideID", "RideEstimativeID", stored])),
                          keys, ["Create", "RideEstimativeID"])
-    again = running_before(base, user, order, {"_again": F.lit(1)}, hour_bucket("Create"), **kw)
+    again = running_before(base, user, order, {"_again": F.lit(1)}, time_levels("Create", "RideID"), **kw)
     return again.agg(count_if(F.col("_again") != F.col(stored))).scalar()
 
 

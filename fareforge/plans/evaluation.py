@@ -306,8 +306,8 @@ def results_counts(spark, sf_dir):
     return evaluate.results_counts(evaluate.results_table(_result_folds(spark, sf_dir)))
 
 
-@query("select_category_model", f"""{FM}, ch AS (SELECT CategoryID, ModelName FROM rk WHERE k = 1),
-wanted AS (SELECT CategoryID FROM ch WHERE ModelName = 'CategoryMean' OR NOT EXISTS (SELECT 1 FROM ch WHERE ModelName = 'CategoryMean'))
+@query("select_category_model", f"""{FM}, sel AS (SELECT CategoryID, ModelName FROM rk WHERE k = 1),
+wanted AS (SELECT CategoryID FROM sel WHERE ModelName = 'CategoryMean' OR NOT EXISTS (SELECT 1 FROM sel WHERE ModelName = 'CategoryMean'))
 SELECT CategoryID, count(*) AS rows FROM va WHERE CategoryID IN (SELECT CategoryID FROM wanted) GROUP BY 1""")
 def select_category_model(spark, sf_dir):
     """Estimates of the categories whose selected model is the wanted one; of all categories when none is."""

@@ -1,7 +1,7 @@
 """Cross prices, user history, leakage checks and the feature layer."""
 from pyspark.sql import functions as F
 
-from ..functions.running import hour_bucket, largest_key, running_before
+from ..functions.running import largest_key, running_before, time_levels
 from ..functions.scalar import rounded
 from ..operators import history, leakage
 from ..session import materialize
@@ -17,7 +17,8 @@ HISTORY_COLUMNS = ["RideEstimativeID", "RideID", "CategoryID", "UserID", "Create
 SELECT RideID, UserID, {big('row_number() OVER (PARTITION BY UserID ORDER BY "Create", RideID) - 1')} AS UserPriorRideCount FROM vr""")
 def user_prior_ride_count(spark, sf_dir):
     rides = v.rides(spark, sf_dir).select("RideID", "UserID", "Create")
-    out = running_before(rides, ["UserID"], ["Create", "RideID"], {"UserPriorRideCount": F.lit(1)}, hour_bucket("Create"))
+    out = running_before(rides, ["UserID"], ["Create", "RideID"], {"UserPriorRideCount": F.lit(1)},
+                         time_levels("Create", "RideID"))
     return out.select("RideID", "UserID", "UserPriorRideCount")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fareforge.functions import calendar, scalar
 from fareforge.functions.bounded import bounded_copy, lookup_join
 from fareforge.functions.quantiles import group_quantiles
-from fareforge.functions.running import first_per_key, hour_bucket, running_before
+from fareforge.functions.running import first_per_key, running_before, time_levels
 
 
 def pdf(df, *order):
@@ -59,16 +59,18 @@ def test_quantiles_of_many_distinct_values(spark, bound):
     assert got.r == pytest.approx(np.quantile(np.arange(50_000), 0.99))
 
 
-@pytest.mark.parametrize("bound", [0, 10**9])
-def test_running_before_matches_brute_force(spark, bound):
+@pytest.mark.parametrize("bound,block", [(0, 16), (0, 65_536), (10**9, 1)])
+def test_running_before_matches_brute_force(spark, bound, block):
     rng = np.random.default_rng(3)
     n = 3000
+    # a third of the rows belong to one user, and half of those to one moment
     base = pd.DataFrame({
         "user": np.where(np.arange(n) % 3 == 0, 0, rng.integers(1, 50, n)), "id": np.arange(n),
         "ts": pd.Timestamp("2021-08-17") + pd.to_timedelta(rng.integers(0, 4 * 24 * 12, n) * 5, unit="min"),
         "v": np.round(rng.uniform(0, 9, n), 2)})
+    base.loc[::6, "ts"] = pd.Timestamp("2021-08-18 12:00")
     df = spark.createDataFrame(base).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    out = pdf(running_before(df, ["user"], ["ts", "id"], {"n": F.lit(1), "s": F.col("v")}, hour_bucket("ts"),
+    out = pdf(running_before(df, ["user"], ["ts", "id"], {"n": F.lit(1), "s": F.col("v")}, time_levels("ts", "id", block),
                              max_key_rows=bound), "id")
     want = base.sort_values(["user", "ts", "id"])
     want["n"] = want.groupby("user").cumcount()
@@ -81,7 +83,7 @@ def test_running_before_matches_brute_force(spark, bound):
 def test_running_before_rejects_null_keys(spark):
     df = spark.createDataFrame([(None, 1)], "user int, ts int")
     with pytest.raises(ValueError):
-        running_before(df, ["user"], ["ts"], {"n": F.lit(1)}, F.col("ts"))
+        running_before(df, ["user"], ["ts"], {"n": F.lit(1)}, [F.col("ts")])
 
 
 def test_first_per_key_prunes_before_the_shuffle(spark, capsys):
