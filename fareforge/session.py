@@ -1,4 +1,5 @@
 """Session settings and the shared scratch folder."""
+import atexit
 import tempfile
 import uuid
 
@@ -13,6 +14,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+_WRITTEN: dict = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -22,13 +24,39 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name below spark.checkpoint.dir, or below /tmp where that is unset."""
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir. Only a local session may go without one and gets a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="fareforge-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared folder; it goes when the session ends or `release` is called."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_release_at_exit)
+    _WRITTEN[path] = spark
+    return path
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders: those named, else all that this process made. Results that read them are void then."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths or list(_WRITTEN):
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+        _WRITTEN.pop(path, None)
+
+
+def _release_at_exit() -> None:
+    for spark in set(_WRITTEN.values()):
+        if spark.sparkContext._jsc is not None:
+            release(spark, *[p for p, s in list(_WRITTEN.items()) if s is spark])
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
