@@ -1,13 +1,11 @@
 """Running totals per key over strictly earlier rows, safe for hot keys.
 
-With keys of a checked size this is one window. When a key holds more rows than one task should sort,
-rows are split by (key, nested time buckets): bucket totals are pre-aggregated, summed over the earlier
-buckets of the key, and added to the running total inside the row's own bucket.
+Rows are split by (key, nested buckets): bucket totals are pre-aggregated, summed over the earlier buckets of the key,
+and added to the running total inside the row's own bucket. There is one way at every size.
 """
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_KEY_ROWS = 5_000_000
 EARLIER = (Window.unboundedPreceding, -1)
 
 
@@ -18,45 +16,37 @@ def hour_bucket(ts: str) -> Column:
 
 
 def time_levels(ts: str, tie: str, block: int = 65_536) -> list[Column]:
-    """Two nested levels for rows ordered by (ts, tie): the hour, then the time with a block of the whole-number
+    """Nested levels for rows ordered by (ts, tie): hour, minute, second, then the time with a block of the whole-number
     tie-breaker, so that rows of one moment can be split too."""
-    return [hour_bucket(ts), F.struct(F.col(ts).alias("at"), F.floor(F.col(tie) / block).alias("block"))]
-
-
-def largest_key(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the most frequent key; null keys are an error, since rows without a key have no order."""
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    sizes = df.groupBy(*keys).count()
-    row = sizes.agg(F.max("count").alias("largest"), F.count_if(null_key).alias("nulls")).first()
-    if row.nulls:
-        raise ValueError(f"null key among {keys}")
-    return row.largest or 0
+    at = F.col(ts).cast("timestamp_ntz")
+    return [hour_bucket(ts), F.minute(at), F.second(at),
+            F.struct(F.col(ts).alias("at"), F.floor(F.col(tie) / block).alias("block"))]
 
 
 def running_before(df: DataFrame, keys: list[str], order: list, sums: dict[str, Column],
-                   levels: list[Column], max_key_rows: int = MAX_KEY_ROWS, largest: int | None = None) -> DataFrame:
+                   levels: list[Column]) -> DataFrame:
     """Add, per name, the sum of its expression over earlier rows of the same keys (0 when none).
 
     `order` must be total within the keys. `levels` are nested buckets, coarse to fine, each monotone in the order
-    inside the one before. `largest` is an upper bound of the rows per key where the caller knows one; otherwise
-    it is counted.
+    inside the one before. Rows without a key have no order: they fail the run. Fractions are summed as decimals of
+    ten places, so no sum depends on the order of its terms.
     """
     zero = F.lit(0)
-    if largest is None:
-        largest = largest_key(df, keys)
-    if largest <= max_key_rows:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*EARLIER)
-        return df.select("*", *[F.coalesce(F.sum(e).over(w), zero).alias(n) for n, e in sums.items()])
     buckets = [f"_bucket_{i}" for i in range(len(levels))]
-    rows = df.select("*", *[e.alias(b) for e, b in zip(levels, buckets)], *[e.alias(f"_v_{n}") for n, e in sums.items()])
+    known = [F.coalesce(F.col(k), F.raise_error(F.lit(f"null key {k}")).cast(df.schema[k].dataType)).alias(k)
+             for k in keys]
+    rest = [c for c in df.columns if c not in keys]
+    rows = df.select(*known, *rest, *[e.alias(b) for e, b in zip(levels, buckets)],
+                     *[e.alias(f"_v_{n}") for n, e in sums.items()])
+    floats = [n for n in sums if rows.schema[f"_v_{n}"].dataType.simpleString() in ("double", "float")]
+    rows = rows.withColumns({f"_v_{n}": F.col(f"_v_{n}").cast("decimal(28,10)") for n in floats})
     offsets = _offsets(rows, keys, buckets, list(sums))
     inside = Window.partitionBy(*keys, *buckets).orderBy(*order).rowsBetween(*EARLIER)
     local = rows.select("*", *[
         F.coalesce(F.sum(f"_v_{n}").over(inside), zero).alias(f"_l_{n}") for n in sums])
+    whole = {n: F.col(f"_o_{n}") + F.col(f"_l_{n}") for n in sums}
     return local.join(offsets, [*keys, *buckets]).select(
-        *df.columns, *[(F.col(f"_o_{n}") + F.col(f"_l_{n}")).alias(n) for n in sums])
+        *df.columns, *[(e.cast("double") if n in floats else e).alias(n) for n, e in whole.items()])
 
 
 def _offsets(rows: DataFrame, keys: list[str], buckets: list[str], names: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import add_temporal_features
 from ..functions.quantiles import group_quantiles
-from ..functions.running import first_per_key, largest_key, running_before, time_levels
+from ..functions.running import first_per_key, running_before, time_levels
 from ..functions.scalar import all_present, count_if, pct, rows
 
 RIDE_HISTORY = ["UserPriorRideCount", "UserPriorPaidPriceMean"]
@@ -83,7 +83,7 @@ def ride_base(df: DataFrame) -> DataFrame:
                          ["Create", "UserID", "RidePrice"])
 
 
-def user_history(rides: DataFrame, **kw) -> DataFrame:
+def user_history(rides: DataFrame) -> DataFrame:
     """Per ride: the user's earlier rides, and the mean price of the paid ones among them.
 
     Unpaid rides count as rides but not in the mean.
@@ -92,7 +92,7 @@ def user_history(rides: DataFrame, **kw) -> DataFrame:
     out = running_before(
         rides, ["UserID"], ["Create", "RideID"],
         {"UserPriorRideCount": F.lit(1), "_paid": paid, "_paid_n": paid.isNotNull().cast("int")},
-        time_levels("Create", "RideID"), **kw)
+        time_levels("Create", "RideID"))
     mean = F.when(F.col("_paid_n") > 0, F.col("_paid") / F.col("_paid_n"))
     return out.withColumn("UserPriorPaidPriceMean", mean).drop("_paid", "_paid_n")
 
@@ -103,11 +103,11 @@ def category_base(df: DataFrame) -> DataFrame:
     return canonical_estimate(df.select(*cols), ["RideID", "CategoryID"])
 
 
-def user_category_history(pairs: DataFrame, **kw) -> DataFrame:
+def user_category_history(pairs: DataFrame) -> DataFrame:
     """Per (ride, category): the user's earlier rides in that category and their mean price by row count."""
     out = running_before(
         pairs, ["UserID", "CategoryID"], ["Create", "RideID", "RideEstimativeID"],
-        {"UserPriorCategoryRideCount": F.lit(1), "_price": F.col("Price")}, time_levels("Create", "RideID"), **kw)
+        {"UserPriorCategoryRideCount": F.lit(1), "_price": F.col("Price")}, time_levels("Create", "RideID"))
     n = F.col("UserPriorCategoryRideCount")
     return out.withColumn("UserPriorCategoryPriceMean", F.when(n > 0, F.col("_price") / n)).drop("_price")
 
@@ -138,11 +138,8 @@ def attach_user_history(df: DataFrame, by_ride: DataFrame, by_category: DataFram
 
 
 def attach_histories(df: DataFrame, curated: DataFrame) -> DataFrame:
-    """Both histories from the curated rows. Rows per user bound the rows of either window, so they are
-    counted once. `curated` is read several times and should be a stored layer."""
-    largest = largest_key(curated, ["UserID"])
-    return attach_user_history(df, user_history(ride_base(curated), largest=largest),
-                               user_category_history(category_base(curated), largest=largest))
+    """Both histories from the curated rows. `curated` is read several times and should be a stored layer."""
+    return attach_user_history(df, user_history(ride_base(curated)), user_category_history(category_base(curated)))
 
 
 def require_history(enriched: DataFrame) -> DataFrame:
@@ -158,7 +155,7 @@ def build_features(curated: DataFrame, products: list, product: str = "ProductID
     """The feature layer: calendar columns, cross prices and user history on every curated row."""
     calendar = add_temporal_features(curated, timestamps, first_year, last_year)
     enriched = attach_cross_prices(calendar, cross_prices(curated, products, product))
-    return attach_histories(enriched, curated)
+    return require_history(attach_histories(enriched, curated))
 
 
 def history_coverage(enriched: DataFrame, categories: dict, group: str = "CategoryID") -> DataFrame:

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.running import first_per_key, largest_key, running_before, time_levels
+from ..functions.running import first_per_key, running_before, time_levels
 from ..functions.scalar import all_present, count_if, pct, rows
 from .history import price_column
 
@@ -61,15 +61,15 @@ def _varying(df: DataFrame, keys: list[str], column: str):
     return spread.agg(count_if(F.col("lo") < F.col("hi"))).scalar()
 
 
-def _mismatches(df: DataFrame, keys: list[str], user: list[str], order: list, stored: str, **kw):
+def _mismatches(df: DataFrame, keys: list[str], user: list[str], order: list, stored: str):
     base = first_per_key(df.select(*dict.fromkeys([*keys, *user, "Create", "RideID", "RideEstimativeID", stored])),
                          keys, ["Create", "RideEstimativeID"])
-    again = running_before(base, user, order, {"_again": F.lit(1)}, time_levels("Create", "RideID"), **kw)
+    again = running_before(base, user, order, {"_again": F.lit(1)}, time_levels("Create", "RideID"))
     return again.agg(count_if(F.col("_again") != F.col(stored))).scalar()
 
 
-def history_consistency(df: DataFrame, **kw) -> DataFrame:
-    """Eight counts as (metric, value); all but the last must be zero."""
+def history_consistency(df: DataFrame) -> DataFrame:
+    """Eight counts as (metric, value); all but the informational rows_with_prior_ride_count_and_null_paid_mean must be zero."""
     n, m = F.col("UserPriorRideCount"), F.col("UserPriorCategoryRideCount")
     one = df.agg(
         count_if(n < 0).alias("negative_user_prior_ride_count_rows"),
@@ -78,16 +78,15 @@ def history_consistency(df: DataFrame, **kw) -> DataFrame:
         .alias("rows_with_prior_category_count_and_null_mean"),
         count_if((n > 0) & F.col("UserPriorPaidPriceMean").isNull())
         .alias("rows_with_prior_ride_count_and_null_paid_mean"))
-    kw.setdefault("largest", largest_key(df, ["UserID"]))
     full = one.withColumns({
         "ride_level_prior_count_inconsistencies": _varying(df, ["RideID"], "UserPriorRideCount"),
         "category_level_prior_count_inconsistencies":
             _varying(df, ["RideID", "CategoryID"], "UserPriorCategoryRideCount"),
         "prior_ride_count_mismatch_rows": _mismatches(
-            df, ["RideID"], ["UserID"], ["Create", "RideID"], "UserPriorRideCount", **kw),
+            df, ["RideID"], ["UserID"], ["Create", "RideID"], "UserPriorRideCount"),
         "prior_category_count_mismatch_rows": _mismatches(
             df, ["RideID", "CategoryID"], ["UserID", "CategoryID"], ["Create", "RideID", "RideEstimativeID"],
-            "UserPriorCategoryRideCount", **kw),
+            "UserPriorCategoryRideCount"),
     })
     return full.unpivot([], full.columns, "metric", "value")
 

@@ -1,7 +1,7 @@
 """Cross prices, user history, leakage checks and the feature layer."""
 from pyspark.sql import functions as F
 
-from ..functions.running import largest_key, running_before, time_levels
+from ..functions.running import running_before, time_levels
 from ..functions.scalar import rounded
 from ..operators import history, leakage
 from ..session import materialize
@@ -125,9 +125,8 @@ def _metrics_sql(scope, table, count, mean):
        + _metrics_sql("ride_category", "ch", "UserPriorCategoryRideCount", "UserPriorCategoryPriceMean"))
 def history_metrics(spark, sf_dir):
     raw = v.curated_layer(spark, sf_dir, HISTORY_COLUMNS)
-    largest = largest_key(raw, ["UserID"])
-    by_ride = history.user_history(history.ride_base(raw), largest=largest)
-    by_category = history.user_category_history(history.category_base(raw), largest=largest)
+    by_ride = history.user_history(history.ride_base(raw))
+    by_category = history.user_category_history(history.category_base(raw))
     one = history.history_metrics(raw, by_ride, *history.RIDE_HISTORY).withColumn("scope", F.lit("ride"))
     two = history.history_metrics(raw, by_category, *history.CATEGORY_HISTORY).withColumn("scope", F.lit("ride_category"))
     return one.unionByName(two)

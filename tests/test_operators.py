@@ -129,11 +129,10 @@ def test_cross_prices_take_the_smallest_id(spark):
     assert (m.canonical_source_rows, m.canonical_unique_ride_ids, m.canonical_duplicate_rows_collapsed, m.rides_with_all_canonical_prices) == (3, 1, 1, 0)
 
 
-@pytest.mark.parametrize("bound", [0, 10**9])
-def test_user_history(spark, bound):
+def test_user_history(spark):
     df = spark.sql("""select * from values (1, 'u', timestamp_ntz'2021-01-01', 10.0D), (2, 'u', timestamp_ntz'2021-01-02', 0.0D),
       (3, 'u', timestamp_ntz'2021-01-03', 30.0D), (4, 'u', timestamp_ntz'2021-01-03', 5.0D) as t(RideID, UserID, Create, RidePrice)""")
-    out = history.user_history(df, max_key_rows=bound).orderBy("RideID").collect()
+    out = history.user_history(df).orderBy("RideID").collect()
     assert [r.UserPriorRideCount for r in out] == [0, 1, 2, 3]
     assert [r.UserPriorPaidPriceMean for r in out] == [None, 10.0, 10.0, 20.0]
 
