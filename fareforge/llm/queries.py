@@ -1,5 +1,5 @@
 """One query per operator over its whole table, with the SQL it must agree with where SQL can say it."""
-from . import host_rules, mixing
+from . import host_rules, license, mixing, token_store
 from .common import table
 
 QUERIES: dict = {}
@@ -77,3 +77,14 @@ FROM stats LEFT JOIN rates ON stats.source IS NOT DISTINCT FROM rates.source
 def op3_host_rules(spark, sf_dir):
     judged = host_rules.judge(table(spark, sf_dir, "documents"))
     return judged.drop(*[f"rate_{r}" for r in host_rules.SOFT])
+
+
+@query(license.scan_sql())
+def op6_license_scan(spark, sf_dir):
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_token_store(spark, sf_dir):
+    import public_tokenizers
+    return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
