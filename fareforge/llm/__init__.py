@@ -1 +1,7 @@
 """Operators for building training corpora, each independent of the ride-fare part of the library."""
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code, so executors need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,5 +1,5 @@
 """One query per operator over its whole table, with the SQL it must agree with where SQL can say it."""
-from . import host_rules, license, mixing, token_store
+from . import host_rules, language, license, mixing, quality, token_store
 from .common import table
 
 QUERIES: dict = {}
@@ -88,3 +88,13 @@ def op6_license_scan(spark, sf_dir):
 def op7_token_store(spark, sf_dir):
     import public_tokenizers
     return token_store.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op4_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op8_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
