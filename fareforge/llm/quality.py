@@ -1,6 +1,6 @@
 """Quality scores by naive Bayes support vectors.
 
-Indicators of hashed character n-grams are scaled by the log ratio of their smoothed counts in the two classes; a linear
+Indicators of hashed character n-grams, and of n-grams over the marks "same word as before", are scaled by the log ratio of their smoothed counts in the two classes; a linear
 hinge-loss model over them is fitted by dual coordinate descent, with a stronger penalty for the rarer class, and its
 margins become probabilities by a logistic fit on labelled rows that the margin model has not seen.
 """
@@ -15,12 +15,34 @@ from .common import remainder
 from .grams import gram_presence, pack, unpack
 
 ORDERS, BITS = (1, 2, 3), 15
+#: N-grams over repetition marks have a cell for each pattern of up to so many marks.
+MARKS = 5
+SIZE = (len(ORDERS) << BITS) + (2 << MARKS)
+#: Added to the squared length of a row, so that texts of a few words stay near the bias.
+DAMPING = 4.0
 #: Labelled documents to learn from, at most: those with the smallest digest of their id.
 SAMPLE = 6_000
 FOLDS, HELD_OUT, ACCEPT = 5, 0, 0.3
 SMOOTH, COST, ROUNDS, SEED = 1.0, 1.0, 12, 7
 
 
+def indicators(text: str) -> np.ndarray:
+    """Ascending indices of all n-grams of a whole text."""
+    words = text.split()
+    same = np.fromiter(map(str.__eq__, words, words[1:]), np.int64, max(len(words) - 1, 0))
+    found, code = [gram_presence(text, ORDERS, BITS)], np.ones(len(same), np.int64)
+    for n in range(1, MARKS + 1):
+        if len(same) < n:
+            break
+        code = 2 * code[:len(same) - n + 1] + same[n - 1:]
+        found.append(((len(ORDERS) << BITS) + np.unique(code)).astype(np.int32))
+    return np.concatenate(found)
+
+
+def length(values: np.ndarray) -> float:
+    return float(np.sqrt(values @ values + DAMPING))
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -31,10 +53,10 @@ class Model:
 
     def margin(self, indices: np.ndarray) -> float:
         r = self.ratios[indices]
-        return float(self.weights[indices] @ r) / max(float(np.sqrt(r @ r)), 1e-9) + self.bias
+        return float(self.weights[indices] @ r) / length(r) + self.bias
 
     def score(self, text: str) -> float:
-        m = self.slope * self.margin(gram_presence(text, ORDERS, BITS)) + self.shift
+        m = self.slope * self.margin(indicators(text)) + self.shift
         return float(1 / (1 + np.exp(-np.clip(m, -500, 500))))
 
 
@@ -50,7 +72,7 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray) -> t
     """Hinge loss with a constant feature: one dual variable per row, boxed by the cost of its class."""
     sign = np.where(y == 1, 1.0, -1.0)
     cost = COST * len(y) / (2 * np.maximum(np.bincount(y, minlength=2), 1))[y]
-    values = [(v := ratios[i]) / max(np.sqrt(v @ v), 1e-9) for i in rows]
+    values = [(v := ratios[i]) / length(v) for i in rows]
     w, bias, alpha = np.zeros(len(ratios)), 0.0, np.zeros(len(y))
     order = np.random.default_rng(SEED)
     for _ in range(ROUNDS):
@@ -79,15 +101,14 @@ def logistic_fit(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def learn(rows: list[np.ndarray], labels: np.ndarray) -> Model:
-    size = len(ORDERS) << BITS
     if len(labels) == 0 or labels.min() == labels.max():
         p = float(labels.mean()) if len(labels) else 0.5
-        return Model(np.zeros(size), np.zeros(size), 0.0, 0.0, float(np.log((p + 1e-3) / (1 - p + 1e-3))))
+        return Model(np.zeros(SIZE), np.zeros(SIZE), 0.0, 0.0, float(np.log((p + 1e-3) / (1 - p + 1e-3))))
     own = np.arange(len(labels)) % 5 != 0
     if len(set(labels[own])) < 2 or len(set(labels[~own])) < 2:
         own = np.ones(len(labels), bool)
     fit = [r for r, o in zip(rows, own) if o]
-    ratios = log_count_ratios(fit, labels[own], size)
+    ratios = log_count_ratios(fit, labels[own], SIZE)
     w, bias = dual_descent(fit, labels[own], ratios)
     margins = Model(w, ratios, bias, 1, 0)
     rest = own if own.all() else ~own
@@ -107,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def indices(batches):
         for b in batches:
-            packed = [pack(gram_presence(t or "", ORDERS, BITS)) for t in b["text"]]
+            packed = [pack(indicators(t or "")) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"], "x": packed})
 
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
@@ -116,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def scorer(model: Model):
-    """A column function from text to score; null and empty texts get the score of a text without n-grams."""
+    """A column function from text to score; null and empty texts get that of a text without n-grams."""
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         return texts.fillna("").map(model.score)

@@ -1,5 +1,5 @@
 """One query per operator over its whole table, with the SQL it must agree with where SQL can say it."""
-from . import host_rules, language, license, mixing, quality, token_store
+from . import host_rules, language, license, mixing, quality, token_store, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -98,3 +98,8 @@ def op4_quality(spark, sf_dir):
 @query()
 def op8_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
