@@ -67,7 +67,7 @@ def scan(docs: DataFrame) -> DataFrame:
     that a counted span shows, 1 for a base phrase.
     """
     each = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), _events(F.col("text")).alias("e"))
-    events = each.select("doc_id", "row", "e.n_words", F.inline("e.events"))
+    events = each.select("doc_id", "row", "e.n_words", F.inline_outer("e.events"))
     hits = events.join(F.broadcast(template_pairs(docs.sparkSession)), "h")
     mask = F.expr("bit_or(shiftleft(1L, greatest(place, 0)))")
     lines = hits.groupBy("doc_id", "row", "n_words", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(

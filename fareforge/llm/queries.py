@@ -1,5 +1,5 @@
 """One query per operator over its whole table, with the SQL it must agree with where SQL can say it."""
-from . import host_rules, language, license, mixing, quality, token_store, warc
+from . import decontaminate, extract, host_rules, language, license, mixing, quality, token_store, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -103,3 +103,13 @@ def op8_language(spark, sf_dir):
 @query()
 def op1_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op9_extract(spark, sf_dir):
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_decontaminate(spark, sf_dir):
+    return decontaminate.check(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
