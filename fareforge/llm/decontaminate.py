@@ -24,7 +24,7 @@ UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles met
          "weeks month months year years usd eur gbp dollar dollars euro euros cent cents percent degree degrees kmh mph").split()
 BETWEEN = f"[^\\p{{L}}\\p{{N}}{MARK}]+"
 #: A capital that follows a word inside a sentence begins a name.
-NAME_START = r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;] )"
+NAME_START = r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;] )"
 
 
 def tokens(text: Column) -> Column:
