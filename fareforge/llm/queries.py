@@ -1,5 +1,5 @@
 """One query per operator over its whole table, with the SQL it must agree with where SQL can say it."""
-from . import decontaminate, extract, host_rules, language, license, mixing, quality, token_store, warc
+from . import decontaminate, extract, host_rules, jaccard, language, license, mixing, quality, token_store, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -113,3 +113,8 @@ def op9_extract(spark, sf_dir):
 @query()
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.check(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_jaccard(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
