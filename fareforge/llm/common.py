@@ -10,10 +10,15 @@ from ..session import materialize, tune  # noqa: F401
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; small Arrow batches keep very long texts from filling a worker."""
+def ready(spark: SparkSession) -> SparkSession:
+    """Session settings of the corpus operators: small Arrow batches keep very long texts from filling a worker."""
     tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

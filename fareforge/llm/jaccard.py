@@ -323,3 +323,22 @@ def join(docs: DataFrame) -> DataFrame:
     final = components(named.unionByName(equal))
     return rows.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of docs per group of linked documents, that of the smallest id, with all columns of docs.
+
+    Rows without an id stay. Of rows that repeat an id the first by text stays. Only the ids that go, and the rows of
+    repeated ids, are matched against the texts.
+    """
+    linked = materialize(join(docs), "linked")
+    gone = linked.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    repeated = materialize(linked.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1")
+                           .select("_again"), "repeated")
+    gone = materialize(gone, "gone")
+    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    single = kept.join(repeated, kept["doc_id"] == repeated["_again"], "left_anti")
+    several = kept.join(repeated, kept["doc_id"] == repeated["_again"], "left_semi")
+    order = Window.partitionBy(docs["doc_id"]).orderBy(docs["text"].asc_nulls_last())
+    first = several.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    return single.unionAll(first)

@@ -9,14 +9,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import remainder
 from .grams import gram_presence, pack, unpack
 
 ORDERS, BITS = (1, 2, 3), 13
-#: Texts per language to learn from, and landmarks among them, at most.
+#: Texts per language to learn from, as expected from the draw, and most landmarks among them.
 SAMPLE, LANDMARKS = 400, 256
 FOLDS, HELD_OUT = 3, 1
 RIDGE, SHARPNESS, BATCH = 1e-2, 6.0, 64
@@ -79,22 +79,19 @@ def learn(found: list[np.ndarray], languages: list[str]) -> Model:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from rows with a language outside the held-out fold: of each language those with the smallest digest of
-    their text, at most `sample`. Texts without letters teach nothing."""
+    """Learn from rows with a language outside the held-out fold: of each language a draw by
+    digest of the id that is expected to hold `sample` rows. Texts without letters teach nothing."""
     usable = docs.select("doc_id", "text", "lang").where(
         (remainder(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    first = Window.partitionBy("lang").orderBy("digest", "doc_id")
-    ids = (usable.select("doc_id", "lang", F.md5(F.col("doc_id").cast("string")).alias("digest"))
-           .withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample))
-    chosen = ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
+    share = usable.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
+    draw = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / 2.0**32
+    texts = usable.join(share, "lang").where(draw < F.col("share"))
 
     def spectra(batches):
         for b in batches:
             b = b[b["text"].map(has_letter)]
             yield pd.DataFrame({"lang": b["lang"], "x": [pack(spectrum(t)) for t in b["text"]]})
 
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
-    texts = usable.join(chosen, match, "left_semi")
     rows = sorted(texts.mapInPandas(spectra, "lang string, x binary").collect(), key=lambda r: (r.x, r.lang))
     return learn([unpack(r.x) for r in rows], [r.lang for r in rows])
 

@@ -18,8 +18,13 @@ from .common import materialize
 from .files import RangeReader, attempt_name, open_store
 
 END_ID = 2
-#: Words kept with their ids per task; past that the memory is emptied, which changes no result.
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
+#: Pieces kept with their ids per worker; past that the memory is emptied, which changes no result.
+REMEMBERED, LONGEST_REMEMBERED = 800_000, 64
+#: How the tokenizer cuts lower-case text, limited to characters that its normaliser leaves alone.
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(rf"[{LATIN} \t\n\x0b\x0c\r!-~]*")
+PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[!-/:-@\[-`{{-~]+")
+WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 ROOMY = 2.0
 MANIFEST = "part int, name string, has_null boolean, first long, last long, docs long, ids long"
 
@@ -106,30 +111,51 @@ class ShardIndex:
 
 
 class Encoder:
-    """Ids of whole texts. The tokenizer drops white space and never joins across it, so the ids of a text are those of
-    its words one after another, and frequent words are encoded once per task."""
+    """Ids of whole texts from the ids of their pieces.
+
+    The tokenizer drops white space and never joins across it, and it lower-cases and cuts words, digits and signs apart
+    before it looks for ids. Texts of Latin letters, digits and ASCII signs are cut the same way here, so that each
+    distinct piece is encoded once per worker; words with any other character go to the tokenizer whole.
+    """
 
     def __init__(self, tokenizer_path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        import tokenizers
+        # workers serve many tasks: what one has encoded is kept beside the library for the next
+        kept = tokenizers.__dict__.setdefault("_kept_pieces", {})
+        if tokenizer_path not in kept:
+            kept[tokenizer_path] = (tokenizers.Tokenizer.from_file(tokenizer_path), {})
+        self.tokenizer, self.known = kept[tokenizer_path]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        self.known: dict[str, bytes] = {}
-        self.pieces = re.compile(r"[^ \t\n\x0b\x0c\r]+")
+
+    def pieces(self, text: str) -> list[str]:
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return PIECE.findall(text.lower())
+        out = []
+        for word in WORD.findall(text):
+            if PLAIN.fullmatch(word) and "<|" not in word:
+                out += PIECE.findall(word.lower())
+            else:
+                out.append(word)
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces.findall(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({w for ws in split for w in ws} - self.known.keys())
-        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        fresh = {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(new, found)}
-        self.known.update((w, b) for w, b in fresh.items() if len(w) <= LONGEST_REMEMBERED)
-        look = fresh | {w: self.known[w] for ws in split for w in ws if w not in fresh}
-        end = np.array([END_ID], self.kind).tobytes()
-        return [b"".join([look[w] for w in ws]) + end for ws in split]
+        known, end = self.known, np.array([END_ID], self.kind).tobytes()
+        if len(known) > REMEMBERED:
+            known.clear()
+        split = [self.pieces(t) for t in texts]
+        new = list(set().union(*split) - known.keys())
+        for start in range(0, len(new), 10_000):
+            part = new[start:start + 10_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                known[w] = np.array(e.ids, self.kind).tobytes()
+        out = [b"".join(map(known.__getitem__, ws)) + end for ws in split]
+        for w in new:
+            if len(w) > LONGEST_REMEMBERED:
+                del known[w]
+        return out
 
 
 class _Repeats:
