@@ -287,8 +287,9 @@ def join(docs: DataFrame) -> DataFrame:
     counts[cells["cell"].to_numpy(np.int64)] = cells["n"]
     nodes = materialize(rows.where("node is not null and doc_id is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.min("bits").alias("bits")), "nodes")
+    shingled = materialize(prefixes(docs, counts), "prefixes")
     with arrow_rows(spark, 20_000):
-        sorted_rows = prefixes(docs, counts).repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "node")
+        sorted_rows = shingled.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "node")
         found = materialize(from_runs(sorted_rows), "runs")
     candidates = materialize(sifted(found.where("pos = -1"), nodes), "pairs")
 
