@@ -28,7 +28,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES) -
     """(source, source_size, target): shares of all words by weight, none above `most` times its source.
 
     One row per source goes in, so the windows without a key see as many rows as there are sources. With sources
-    sorted by room per weight, the capped ones come first; the rest share what those leave.
+    sorted by room per weight, the capped ones come first, and the rest share what those leave: the highest level that
+    fits the room of the source where it begins.
     """
     total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -42,7 +43,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES) -
     level = ((F.sum("source_size").over(everything) - most * F.coalesce(F.sum("source_size").over(before), F.lit(0)))
              / F.sum("weight").over(after))
     share = ranked.withColumn("level", level)
-    water = F.min(F.when(F.col("level") <= F.col("room"), F.col("level"))).over(everything)
+    water = F.max(F.when(F.col("level") <= F.col("room"), F.col("level"))).over(everything)
     return share.select("source", "source_size", F.when(
         F.col("source_size") > 0, F.least(most * F.col("source_size").cast("double"), F.col("weight") * water))
         .otherwise(0.0).alias("target"))

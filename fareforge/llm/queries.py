@@ -24,7 +24,7 @@ lev AS (SELECT *, ((SELECT sum(source_size) FROM room) - 3 * coalesce(sum(source
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
   / sum(weight) OVER (ORDER BY room, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM room),
 target AS (SELECT source, source_size, CASE WHEN source_size > 0 THEN
-    least(3.0 * source_size, weight * (SELECT min(level) FROM lev WHERE level <= room))::DOUBLE ELSE 0.0::DOUBLE END AS target FROM lev),
+    least(3.0 * source_size, weight * (SELECT max(level) FROM lev WHERE level <= room))::DOUBLE ELSE 0.0::DOUBLE END AS target FROM lev),
 queued AS (SELECT doc_id, s.source, size, md5('mix:' || doc_id || ':' || size) AS k FROM sized s),
 sent AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM queued WHERE size > 0),
 finish AS (SELECT s.*, p, (p * source_size + upto)::DOUBLE / target AS fin FROM sent s
