@@ -69,8 +69,8 @@ SMALL_DOMAIN = 50
 HIGH_CORRELATION = 0.85
 LOW_TARGET_CORRELATION = 0.05
 TARGET_PERCENTILES = {
-    "p1": 0.01, "p5": 0.05, "p10": 0.10, "p25": 0.25, "p50": 0.50,
-    "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99, "p99_9": 0.999,
+    "p1": 0.01, "p5": 0.05, "p25": 0.25, "p50": 0.50, "p75": 0.75,
+    "p90": 0.90, "p95": 0.95, "p99": 0.99, "p99_5": 0.995, "p99_9": 0.999,
 }
 
 # Action per feature family for features with a weak correlation to the target.

@@ -1,38 +1,23 @@
-"""Small-side handling: a side is broadcast only after its size was checked."""
+"""Lookup joins and layers that later steps share."""
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
-MAX_BROADCAST_ROWS = 20_000
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Compute a derived table once, as a written layer."""
+    return materialize(df, label)
 
-def bounded_copy(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """The rows of df as a local relation, or None when there are more than `limit`."""
-    head = df.limit(limit + 1).toArrow()
-    if head.num_rows > limit:
-        return None
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
 
+def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left", null_safe: bool = False) -> DataFrame:
+    """Join a lookup table. Adaptive execution broadcasts a side by its measured bytes and splits hot keys otherwise.
 
-def settle(df: DataFrame, label: str, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Compute a derived table once: as a local relation when it is small, else as a written table."""
-    small = bounded_copy(df, limit)
-    return materialize(df, label) if small is None else small
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                limit: int = MAX_BROADCAST_ROWS, null_safe: bool = False) -> DataFrame:
-    """Join a lookup table: broadcast when its checked size allows, else a shuffle join.
-
-    The shuffle join relies on adaptive skew splitting of the fact side for hot keys. With `null_safe`,
-    null keys match each other.
+    With `null_safe`, null keys match each other.
     """
-    small = bounded_copy(dim, limit)
-    side = dim if small is None else F.broadcast(small)
     if not null_safe:
-        return fact.join(side, on, how)
+        return fact.join(dim, on, how)
     keys = [on] if isinstance(on, str) else list(on)
-    renamed = side.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    renamed = dim.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     match = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     return fact.join(renamed, match, how).drop(*[f"_key_{k}" for k in keys])

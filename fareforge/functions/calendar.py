@@ -72,6 +72,8 @@ def temporal_columns(column: str, first_year: int = 2020, last_year: int = 2030)
 
 def add_temporal_features(df: DataFrame, columns=("Schedule", "Create", "Updated"),
                           first_year: int = 2020, last_year: int = 2030) -> DataFrame:
-    """Seven calendar columns per timestamp, in one projection."""
+    """Seven calendar columns per timestamp, in one projection; a row without one of the timestamps fails the run."""
+    known = lambda c: F.coalesce(F.col(c), F.raise_error(F.lit(f"null {c}")))
+    df = df.withColumns({c: known(c) for c in columns})
     added = [c for name in columns for c in temporal_columns(name, first_year, last_year)]
     return df.select("*", *added)

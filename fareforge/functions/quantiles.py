@@ -1,94 +1,72 @@
-"""Exact quantiles with linear interpolation.
+"""Exact quantiles with linear interpolation, one way at every size.
 
-`percentile` keeps one counter per distinct value of a group in a single buffer, so it is used only
-after the largest group was counted. Beyond that bound a mergeable sketch brackets every wanted rank,
-a second pass counts what lies below the bracket and keeps only the values inside it, and the ranks
-are read off those few values. Both ways give the same exact result.
+A mergeable sketch brackets every wanted rank. One pass counts per group what lies below each bracket; values inside a
+bracket are counted per value and per equal-width slice of it, and only the slices that hold the wanted ranks are ranked.
+No window sees more than the slices of one bracket or the distinct values of one slice.
 """
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bounded import lookup_join
 
-MAX_GROUP_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
+SLICES = 4096
 
 
-def group_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float],
-                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def group_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """One row per group with one column per named quantile; null and NaN values are ignored."""
     v = F.col(value).cast("double")
-    base = df.select(*groups, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if groups:
-        largest = base.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-    else:
-        largest = base.count()
-    if largest <= max_group_rows:
-        q = F.percentile("_v", F.array(*[F.lit(p) for p in probs.values()]))
-        found = base.groupBy(*groups).agg(q.alias("_q"))
-        return found.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
-    return _bracketed(base, groups, probs)
+    keys = list(groups) or ["_all"]
+    base = df.select(*(groups or [F.lit(True).alias("_all")]), v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    slack, wanted = 3.0 / SKETCH_ACCURACY, list(probs.values())
+    edge = lambda p: F.array(*[F.lit(min(1.0, max(0.0, q + p))) for q in wanted])
+    sketch = base.groupBy(*keys).agg(
+        F.count("_v").alias("_n"), F.percentile_approx("_v", edge(-slack), SKETCH_ACCURACY).alias("_lo"),
+        F.percentile_approx("_v", edge(slack), SKETCH_ACCURACY).alias("_hi"))
+    joined = lookup_join(base, sketch, keys, "inner", null_safe=True)
+    x = F.col("_v")
+    brackets = [(i, F.col("_lo")[i], F.col("_hi")[i]) for i in range(len(wanted))]
+    around = joined.groupBy(*keys).agg(F.first("_n").alias("_n"), *[e for i, lo, hi in brackets for e in (
+        F.count_if(x < lo).alias(f"_below{i}"), F.count_if((x >= lo) & (x <= hi)).alias(f"_inside{i}"),
+        F.max(F.when(x < lo, x)).alias(f"_prev{i}"), F.min(F.when(x > hi, x)).alias(f"_next{i}"))])
+    marks = F.filter(F.array(*[F.when((x >= lo) & (x <= hi), F.struct(
+        F.lit(i).alias("i"), F.least(F.floor(F.coalesce(F.try_divide((x - lo) * SLICES, hi - lo), F.lit(0.0))), F.lit(SLICES)).alias("s")))
+        for i, lo, hi in brackets]), lambda m: m.isNotNull())
+    counted = (joined.select(*keys, "_v", F.explode(marks).alias("_m")).groupBy(*keys, "_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
+               .select(*keys, F.col("_m.i").alias("_i"), F.col("_m.s").alias("_s"), "_v", "_c"))
+    ranks = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p"), *[
+        F.col(f"{c}{i}").alias(c) for c in ("_below", "_inside", "_prev", "_next")]) for i, p in enumerate(wanted)])).alias("_r")
+    at = (F.col("_n") - 1) * F.col("_p")
+    asked = around.select(*keys, "_n", ranks).select(*keys, "_n", "_r.*").select(
+        "*", at.alias("_at"), F.explode(F.array(F.floor(at), F.ceil(at))).alias("_k")).withColumn("_k", F.col("_k") - F.col("_below"))
+    earlier = Window.partitionBy(*keys, "_i").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    slices = counted.groupBy(*keys, "_i", "_s").agg(F.sum("_c").alias("_size")).withColumn(
+        "_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    held = _with(slices, asked.select(*keys, "_i", "_k").distinct(), [*keys, "_i"]).where(
+        (F.col("_k") >= F.col("_start")) & (F.col("_k") < F.col("_start") + F.col("_size")))
+    within = Window.partitionBy(*keys, "_i", "_s", "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = _with(counted, held.select(*keys, "_i", "_s", "_k", "_start"), [*keys, "_i", "_s"])
+    upto = near.withColumn("_to", F.col("_start") + F.sum("_c").over(within))
+    found = upto.where((F.col("_k") < F.col("_to")) & (F.col("_k") >= F.col("_to") - F.col("_c"))).select(
+        *keys, "_i", "_k", F.col("_v").alias("_x"))
+    read = _with(asked, found, [*keys, "_i", "_k"], "left").withColumn("_x", F.when(F.col("_k") < 0, F.col("_prev")).when(
+        F.col("_k") >= F.col("_inside"), F.col("_next")).otherwise(F.col("_x")))
+    low, high = F.floor("_at"), F.ceil("_at")
+    picked = read.groupBy(*keys, "_i", "_at").agg(
+        F.max(F.when(F.col("_k") + F.col("_below") == low, F.col("_x"))).alias("_a"),
+        F.max(F.when(F.col("_k") + F.col("_below") == high, F.col("_x"))).alias("_b"))
+    exact = F.when(low == high, F.col("_a")).otherwise((high - F.col("_at")) * F.col("_a") + (F.col("_at") - low) * F.col("_b"))
+    wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, exact)).alias(n) for i, n in enumerate(probs)])
+    return wide.select(*groups, *probs)
 
 
-def quantile_rows(df: DataFrame, columns: list[str], probs: dict[str, float], **kw) -> DataFrame:
+def _with(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    return lookup_join(left, right, keys, how, null_safe=True)
+
+
+def quantile_rows(df: DataFrame, columns: list[str], probs: dict[str, float]) -> DataFrame:
     """Quantiles of several columns at once: (column, quantiles...)."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
     ])).alias("_r")).select("_r.*")
-    return group_quantiles(long, ["column"], "value", probs, **kw)
-
-
-def _bracketed(base: DataFrame, groups: list[str], probs: dict[str, float]) -> DataFrame:
-    keys = list(groups)
-    if not keys:
-        base, keys = base.withColumn("_all", F.lit(True)), ["_all"]
-    slack = 3.0 / SKETCH_ACCURACY
-    wanted = list(probs.values())
-    low = F.array(*[F.lit(max(0.0, p - slack)) for p in wanted])
-    high = F.array(*[F.lit(min(1.0, p + slack)) for p in wanted])
-    sketch = base.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", low, SKETCH_ACCURACY).alias("_lo"),
-        F.percentile_approx("_v", high, SKETCH_ACCURACY).alias("_hi"),
-    )
-    joined = lookup_join(base, sketch, keys, "inner", null_safe=True)
-    # one row per wanted quantile; values outside the bracket collapse into two counters
-    spread = joined.select(*keys, "_n", "_v", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"),
-                 F.col("_lo")[i].alias("lo"), F.col("_hi")[i].alias("hi"))
-        for i, p in enumerate(wanted)
-    ])).alias("_t"))
-    zone = F.when(F.col("_v") < F.col("_t.lo"), 0).when(F.col("_v") > F.col("_t.hi"), 2).otherwise(1)
-    counted = (
-        spread.withColumn("_zone", zone)
-        .groupBy(*keys, F.col("_t.i").alias("_i"), F.col("_t.p").alias("_p"), "_n", "_zone",
-                 F.when(F.col("_zone") == 1, F.col("_v")).alias("_inside"))
-        .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    )
-    through = F.sum("_c").over(
-        Window.partitionBy(*keys, "_i").orderBy("_zone", "_inside")
-        .rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.withColumn("_to", through).withColumn("_from", F.col("_to") - F.col("_c"))
-    position = (F.col("_n") - 1) * F.col("_p")
-    placed = placed.withColumn("_k0", F.floor(position)).withColumn("_k1", F.ceil(position))
-
-    def at(rank: str):
-        hit = (F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_to"))
-        edge0 = F.col(rank) == F.col("_to") - 1
-        edge2 = F.col(rank) == F.col("_from")
-        missed = F.raise_error(F.lit("quantile rank lies outside its bracket")).cast("double")
-        read = (
-            F.when(F.col("_zone") == 1, F.col("_inside"))
-            .when((F.col("_zone") == 0) & edge0, F.col("_max"))
-            .when((F.col("_zone") == 2) & edge2, F.col("_min"))
-            .otherwise(missed)
-        )
-        return F.max(F.when(hit, read))
-
-    picked = placed.groupBy(*keys, "_i", "_p", "_n").agg(at("_k0").alias("_a"), at("_k1").alias("_b"))
-    fraction = (F.col("_n") - 1) * F.col("_p") - F.floor((F.col("_n") - 1) * F.col("_p"))
-    exact = picked.withColumn("_x", F.col("_a") + (F.col("_b") - F.col("_a")) * fraction)
-    wide = exact.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_i") == i, F.col("_x"))).alias(n) for i, n in enumerate(probs)
-    ])
-    return wide.select(*groups, *probs)
+    return group_quantiles(long, ["column"], "value", probs)

@@ -1,5 +1,5 @@
 """Contracts. A check returns its violations as rows; `require` turns any violation into an error."""
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.running import repeated_keys
@@ -7,6 +7,12 @@ from ..functions.running import repeated_keys
 SAMPLE = 5
 
 
+def broken(message: str, *details) -> Column:
+    """A value that fails the run when it is read: the contract is part of the plan and costs no job of its own."""
+    parts = [F.lit(message), *[F.coalesce(F.col(d).cast("string"), F.lit("null")) for d in details]]
+    return F.raise_error(F.concat_ws(" ", *parts))
+
+
 class ContractError(ValueError):
     pass
 

@@ -9,7 +9,7 @@ from ..functions.bounded import lookup_join, settle
 from ..functions.quantiles import group_quantiles
 from ..functions.running import first_per_key
 from ..functions.scalar import abs_seconds, all_present, count_if, is_blank, rounded, rows
-from .checks import require
+from .checks import broken
 
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -107,12 +107,15 @@ def uncapped_groups(df: DataFrame, caps: DataFrame, group: str) -> DataFrame:
 
 def cap_by_group(df: DataFrame, caps: DataFrame, value: str = "Price", group: str = "CategoryID",
                  cap: str = "Price_cap") -> DataFrame:
-    """Cap at the group's threshold and flag; caps go through the size-checked lookup."""
+    """Cap at the group's threshold and flag; a row whose group has no threshold fails the run."""
     joined = lookup_join(df, caps, group)
-    v, c = F.col(value), F.col(cap)
+    v, c = F.col(value), F.coalesce(F.col(cap), broken("group without a cap:", group).cast("double"))
     return joined.withColumns({f"{value}WasCapped": above(v, c), value: cap_upper(v, c)}).drop(cap)
 
 
+# Columns that are read as numbers and times before anything else.
+NUMBERS = ["WaitingTime", "Price", "Fee", "RidePrice"]
+TIMES = ["Schedule", "Create", "Updated"]
 REMOVALS = ["missing_coordinate", "nonpositive_price"]
 
 
@@ -145,18 +148,17 @@ def treat(df: DataFrame, limits: Thresholds, group: str = "CategoryID") -> DataF
 
 
 def curate(df: DataFrame, coordinates: list[str], key: list[str], key_order: list, medians: list[str],
-           fit_on: DataFrame | None = None, strict: bool = False) -> DataFrame:
-    """Deduplicate, drop by rule, impute, cap. Thresholds come from all given rows, or from `fit_on`."""
+           fit_on: DataFrame | None = None) -> DataFrame:
+    """Coerce, deduplicate, drop by rule, impute, cap, and leave out leakage and sparse columns. Thresholds come from all
+    given rows, or from `fit_on`."""
+    df = coerce_timestamps(coerce_numeric(df, NUMBERS), TIMES)
     limits = thresholds(df if fit_on is None else fit_on, medians)
-    return finish(staged(df, coordinates, key, key_order), limits, strict)
+    return drop_unused(finish(staged(df, coordinates, key, key_order), limits))
 
 
-def finish(flagged: DataFrame, limits: Thresholds, strict: bool = False) -> DataFrame:
+def finish(flagged: DataFrame, limits: Thresholds) -> DataFrame:
     """The rows that passed every rule, imputed and capped."""
-    passed = flagged.where("removed_by is null")
-    if strict:
-        require(uncapped_groups(passed, limits.by_group, "CategoryID"), "groups without a cap")
-    return treat(passed, limits).drop("removed_by", *chronology_flags())
+    return treat(flagged.where("removed_by is null"), limits).drop("removed_by", *chronology_flags())
 
 
 def drop_unused(df: DataFrame, columns=(*fixed.LEAKAGE_COLUMNS, *fixed.SPARSE_COLUMNS)) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.scalar import count_if, rows
-from .checks import ContractError, require
+from .checks import ContractError, broken
 
 
 @dataclass(frozen=True)
@@ -39,12 +39,12 @@ class SplitWindow:
 def temporal_frame(df: DataFrame, columns: list[str], regime_start: str = fixed.REGIME_START) -> DataFrame:
     """Rows of the regime with their creation date; the date filter reaches the scan as a range on Create."""
     start = F.lit(regime_start).cast("timestamp_ntz")
-    return df.where(F.col("Create") >= start).select(*columns, F.to_date("Create").alias("CreateDate"))
+    return require_time(df).where(F.col("Create") >= start).select(*columns, F.to_date("Create").alias("CreateDate"))
 
 
 def require_time(df: DataFrame) -> DataFrame:
-    require(df.select("Create").where("Create is null"), "null Create")
-    return df
+    """The rows themselves; a row without a creation time fails the run before a filter could lose it."""
+    return df.withColumn("Create", F.coalesce("Create", broken("null Create")))
 
 
 def date_positions(frame: DataFrame, column: str = "CreateDate") -> DataFrame:
@@ -225,3 +225,8 @@ def guarded(summary: DataFrame) -> DataFrame:
     broken = F.raise_error(F.concat(F.lit("fold cannot be used: "), F.col("split_name"))).cast("bigint")
     usable = (F.col("train_rows") > 0) & (F.col("evaluation_rows") > 0) & (F.col("ride_overlap") == 0)
     return summary.withColumn("ride_overlap", F.when(usable, F.col("ride_overlap")).otherwise(broken))
+
+
+def require_valid_folds(checks: DataFrame) -> DataFrame:
+    """The checks themselves, failing while they are computed at the first fold that breaks a rule."""
+    return checks.withColumn("fold_valid", F.when(F.col("fold_valid"), True).otherwise(broken("invalid fold:", "split_name").cast("boolean")))

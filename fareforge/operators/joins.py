@@ -2,8 +2,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bounded import lookup_join
-from .checks import SAMPLE, domain_violations, repeated_keys, require
+from .checks import SAMPLE, broken, domain_violations, repeated_keys, require
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
@@ -21,10 +20,10 @@ def uncovered_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return fact.select(key).where(F.col(key).isNotNull()).distinct().join(dim.select(key), key, "left_anti")
 
 
-def attach_dimension(fact: DataFrame, dim: DataFrame, key: str, small: bool = False) -> DataFrame:
-    """Left join that keeps a marker column `_matched`; `small` tries a size-checked broadcast."""
+def attach_dimension(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join that keeps a marker column `_matched`."""
     marked = dim.withColumn("_matched", F.lit(True))
-    joined = lookup_join(fact, marked, key) if small else fact.join(marked, key, "left")
+    joined = fact.join(marked, key, "left")
     return joined.withColumn("_matched", F.coalesce("_matched", F.lit(False)))
 
 
@@ -36,10 +35,15 @@ def dimension_violations(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame
             .unionByName(tagged(fact.where(F.col(key).isNull()), "null key")))
 
 
-def merge_dimension(fact: DataFrame, dim: DataFrame, key: str, name: str, small: bool = False) -> DataFrame:
-    """Many-to-one left join; fails when the key repeats in the dimension or a fact row has no match."""
-    require(dimension_violations(fact, dim, key), name)
-    return attach_dimension(fact, dim, key, small).drop("_matched")
+def merge_dimension(fact: DataFrame, dim: DataFrame, key: str, name: str, required: bool = True) -> DataFrame:
+    """Many-to-one left join that fails, while it runs, when a key repeats in the dimension or, if a match is required,
+    when a fact row has none. Grouping the dimension by its key is the shuffle that the join needs anyway."""
+    columns = [c for c in dim.columns if c != key]
+    one = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*columns)).alias("_d"))
+    once = one.select(key, F.when(F.col("_n") == 1, F.col("_d")).otherwise(broken(f"{name}: repeated in dimension", key)).alias("_d"))
+    joined = fact.join(once, key, "left")
+    found = F.coalesce("_d", broken(f"{name}: missing in dimension", key)) if required else F.col("_d")
+    return joined.withColumn("_d", found).select(*fact.columns, *[F.col("_d")[c].alias(c) for c in columns])
 
 
 def unmatched_sample(fact: DataFrame, dim: DataFrame, key: str, sample: int = SAMPLE) -> DataFrame:
@@ -72,13 +76,15 @@ def require_addresses(addresses: DataFrame, key: str = "RideID", kind: str = "Ri
 
 def build_analytical(estimates: DataFrame, rides: DataFrame, products: DataFrame,
                      addresses: DataFrame) -> DataFrame:
-    """Star join of the four tables with every contract checked.
+    """Star join of the four tables with every contract in the plan: unique keys in all dimensions, a ride and a product
+    with a category for every estimate. Rides without an address keep null address columns.
 
-    Rides and addresses are as large as the fact table allows, so both are shuffled on RideID and the
-    second join reuses the partitioning of the first; products go through the size check.
+    Rides and addresses are as large as the fact table allows, so both are shuffled on RideID and the second join
+    reuses the partitioning of the first.
     """
     require_addresses(addresses)
     wide = split_addresses(active_only(addresses, estimates, "RideID")).drop("side")
     out = merge_dimension(estimates, active_only(rides, estimates, "RideID"), "RideID", "ride")
-    out = merge_dimension(out, wide, "RideID", "rideaddress")
-    return merge_dimension(out, active_only(products, estimates, "ProductID"), "ProductID", "product", True)
+    out = merge_dimension(out, wide, "RideID", "rideaddress", required=False)
+    out = merge_dimension(out, active_only(products, estimates, "ProductID"), "ProductID", "product")
+    return out.withColumn("CategoryID", F.coalesce("CategoryID", broken("product without a category:", "ProductID")))

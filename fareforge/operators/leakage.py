@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.running import first_per_key, running_before, time_levels
 from ..functions.scalar import all_present, count_if, pct, rows
+from .checks import broken
 from .history import price_column
 
 
@@ -104,3 +105,10 @@ def export_summary(df: DataFrame, group: str = "CategoryID") -> DataFrame:
         F.min("Create").alias("min_time"), F.max("Create").alias("max_time"))
 
 
+INFORMATIONAL = "rows_with_prior_ride_count_and_null_paid_mean"
+
+
+def require_consistent(metrics: DataFrame) -> DataFrame:
+    """The metrics themselves, failing while they are computed where one that must be zero is not."""
+    wrong = (F.col("value") != 0) & (F.col("metric") != INFORMATIONAL)
+    return metrics.withColumn("value", F.when(~wrong, F.col("value")).otherwise(broken("inconsistent history:", "metric").cast("bigint")))

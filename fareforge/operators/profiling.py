@@ -125,13 +125,13 @@ def outlier_candidates(df: DataFrame, key: str) -> list[str]:
             if isinstance(f.dataType, T.NumericType) and f.name != key and not f.name.lower().endswith("id")]
 
 
-def iqr_outliers(df: DataFrame, columns: list[str], min_uniques: int = 11, **kw) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: list[str], min_uniques: int = 11) -> DataFrame:
     """Quartiles, fences and values outside them, per column. A zero IQR means no outliers.
 
     Quartiles come from one pass over the unpivoted columns; the fences are one row of literals for
     the second pass, read as a scalar, so no join is needed.
     """
-    quartiles = quantile_rows(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, **kw)
+    quartiles = quantile_rows(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
     reach = F.when(iqr == 0, 0.0).otherwise(1.5 * iqr)
     fenced = quartiles.withColumns({"iqr": iqr, "lower_bound": F.col("q1") - reach,

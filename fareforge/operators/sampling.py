@@ -20,6 +20,6 @@ def stratified_sample(df: DataFrame, group: str, key: str, size: int = fixed.SAM
     before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     needed = offsets.where(F.col("_before") < size).select(group, "_b", "_before")
-    near = lookup_join(hashed, needed, [group, "_b"], "inner", limit=200_000)
+    near = lookup_join(hashed, needed, [group, "_b"], "inner")
     rank = F.row_number().over(Window.partitionBy(group, "_b").orderBy("_h", key))
     return near.withColumn("_r", rank + F.col("_before")).where(F.col("_r") <= size).select(*df.columns)

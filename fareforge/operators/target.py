@@ -8,8 +8,8 @@ from ..functions.quantiles import group_quantiles
 from ..functions.scalar import adjusted_skewness, count_if, pct, rounded, rows
 
 
-def _fences(df: DataFrame, group: str, value: str, **kw) -> DataFrame:
-    q = group_quantiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, **kw)
+def _fences(df: DataFrame, group: str, value: str) -> DataFrame:
+    q = group_quantiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
     return q.withColumns({
         "iqr": iqr,
@@ -18,9 +18,9 @@ def _fences(df: DataFrame, group: str, value: str, **kw) -> DataFrame:
     })
 
 
-def target_stats(df: DataFrame, group: str = "CategoryID", value: str = "Price", **kw) -> DataFrame:
+def target_stats(df: DataFrame, group: str = "CategoryID", value: str = "Price") -> DataFrame:
     """Moments, fences and shares outside them. Second pass joins the few fence rows by size check."""
-    fences = _fences(df, group, value, **kw)
+    fences = _fences(df, group, value)
     v = F.col(value)
     outside = lambda kind: count_if((v < F.col(f"{kind}_lower")) | (v > F.col(f"{kind}_upper")))
     carried = [c for c in fences.columns if c != group]
@@ -37,8 +37,8 @@ def target_stats(df: DataFrame, group: str = "CategoryID", value: str = "Price",
         *[pct(F.col(c), F.col("rows"), 2).alias(c.replace("_count", "_pct")) for c in counts])
 
 
-def target_percentiles(df: DataFrame, group: str = "CategoryID", value: str = "Price", **kw) -> DataFrame:
-    q = group_quantiles(df, [group], value, fixed.TARGET_PERCENTILES, **kw)
+def target_percentiles(df: DataFrame, group: str = "CategoryID", value: str = "Price") -> DataFrame:
+    q = group_quantiles(df, [group], value, fixed.TARGET_PERCENTILES)
     return q.select(group, *[rounded(F.col(c)).alias(c) for c in fixed.TARGET_PERCENTILES])
 
 
@@ -54,14 +54,14 @@ def target_histogram(df: DataFrame, group: str = "CategoryID", value: str = "Pri
                     rounded(F.col("lo") + F.col("bin") * width).alias("bin_end"), "count"))
 
 
-def axis_limits(df: DataFrame, group: str = "CategoryID", value: str = "Price", **kw) -> DataFrame:
+def axis_limits(df: DataFrame, group: str = "CategoryID", value: str = "Price") -> DataFrame:
     """Upper axis limit of the histogram: the 99.5th percentile."""
-    return group_quantiles(df, [group], value, {"axis_limit": 0.995}, **kw)
+    return group_quantiles(df, [group], value, {"axis_limit": 0.995})
 
 
-def target_boxplot(df: DataFrame, group: str = "CategoryID", value: str = "Price", **kw) -> DataFrame:
+def target_boxplot(df: DataFrame, group: str = "CategoryID", value: str = "Price") -> DataFrame:
     """Five-number summary with whiskers at the last values inside the mild fences."""
-    fences = _fences(df, group, value, **kw)
+    fences = _fences(df, group, value)
     v = F.col(value)
     inside = F.when(v.between(F.col("mild_lower"), F.col("mild_upper")), v)
     box = ["q1", "median", "q3"]
@@ -72,9 +72,9 @@ def target_boxplot(df: DataFrame, group: str = "CategoryID", value: str = "Price
 
 
 def shape_class(skewness: Column) -> Column:
-    size = F.abs(skewness)
-    return (F.when(size < 0.5, "near_symmetric").when(size < 1, "moderate").otherwise("strong"))
+    """By the signed skewness: a long left tail counts as near symmetric."""
+    return F.when(skewness < 0.5, "near_symmetric").when(skewness < 1, "moderate").otherwise("strong")
 
 
 def treatment_note(extreme_pct: Column, skewness: Column) -> Column:
-    return F.when((extreme_pct < 0.5) & (F.abs(skewness) < 1), "light").otherwise("robust")
+    return F.when((extreme_pct < 0.5) & (skewness < 1), "light").otherwise("robust")

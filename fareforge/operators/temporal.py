@@ -50,7 +50,7 @@ def calendar_gaps(df: DataFrame, ts: str = "Create") -> DataFrame:
 
 
 def daily_metrics(estimates: DataFrame, ts: str = "Create", ride: str = "RideID", value: str = "Price",
-                  **kw) -> DataFrame:
+                  ) -> DataFrame:
     """Rides, estimates and price level per day, with 7-row and 14-row moving averages.
 
     Distinct rides are counted in two grouped steps, so one busy day spreads over its rides.
@@ -59,7 +59,7 @@ def daily_metrics(estimates: DataFrame, ts: str = "Create", ride: str = "RideID"
     rides = (dated.groupBy("date", ride).agg(rows().alias("_n"), F.sum(value).alias("_s"), F.count(value).alias("_c"))
              .groupBy("date").agg(rows().alias("unique_rides"), F.sum("_n").alias("estimative_rows"),
                                   (F.sum("_s") / F.sum("_c")).alias("mean_price")))
-    levels = group_quantiles(dated, ["date"], value, {"median_price": 0.5, "p95_price": 0.95}, **kw)
+    levels = group_quantiles(dated, ["date"], value, {"median_price": 0.5, "p95_price": 0.95})
     daily = rides.join(levels, "date").withColumns({
         "weekday": weekday_name(F.col("date"), fixed.WEEKDAY_EN),
         "month": F.date_format("date", "yyyy-MM")})
@@ -73,22 +73,22 @@ def moving_averages(daily: DataFrame) -> DataFrame:
         "mean_price_ma_14": F.avg("mean_price").over(by_date.rowsBetween(-13, 0))})
 
 
-def weekday_seasonality(daily: DataFrame, **kw) -> DataFrame:
+def weekday_seasonality(daily: DataFrame) -> DataFrame:
     """All seven weekdays, Monday first; a weekday without data keeps nulls."""
     spark = daily.sparkSession
     week = spark.createDataFrame([(i, n) for i, n in enumerate(fixed.WEEKDAY_EN)], "weekday_no int, weekday string")
     means = daily.groupBy("weekday").agg(
         F.avg("unique_rides").alias("mean_daily_rides"), F.avg("mean_price").alias("mean_daily_price"),
         rows().alias("observed_days"))
-    medians = group_quantiles(daily, ["weekday"], "unique_rides", {"median_daily_rides": 0.5}, **kw)
+    medians = group_quantiles(daily, ["weekday"], "unique_rides", {"median_daily_rides": 0.5})
     return F.broadcast(week).join(means, "weekday", "left").join(medians, "weekday", "left").orderBy("weekday_no")
 
 
-def monthly_metrics(daily: DataFrame, **kw) -> DataFrame:
+def monthly_metrics(daily: DataFrame) -> DataFrame:
     sums = daily.groupBy("month").agg(
         rows().alias("active_days"), F.sum("unique_rides").alias("total_rides"),
         F.avg("unique_rides").alias("mean_daily_rides"), F.avg("mean_price").alias("mean_daily_price"))
-    medians = group_quantiles(daily, ["month"], "unique_rides", {"median_daily_rides": 0.5}, **kw)
+    medians = group_quantiles(daily, ["month"], "unique_rides", {"median_daily_rides": 0.5})
     return sums.join(medians, "month").orderBy("month")
 
 

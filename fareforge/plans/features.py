@@ -207,7 +207,7 @@ UNION ALL SELECT 'prior_category_count_mismatch_rows', {big('count(*) FILTER (WH
   (SELECT UserPriorCategoryRideCount, row_number() OVER (PARTITION BY UserID, CategoryID ORDER BY "Create", RideID) - 1 AS e
    FROM (SELECT DISTINCT RideID, CategoryID, UserID, "Create", UserPriorCategoryRideCount FROM vx))""")
 def history_consistency(spark, sf_dir):
-    return leakage.history_consistency(materialize(v.enriched(spark, sf_dir), "features"))
+    return leakage.require_consistent(leakage.history_consistency(materialize(v.enriched(spark, sf_dir), "features")))
 
 
 KEPT = ["RideEstimativeID", "RideID", "CategoryID", "UserID", "Price", "UserPriorRideCount", "UserPriorPaidPriceMean",

@@ -10,11 +10,11 @@ from .registry import big, query, rnd
 
 @query("join_dim_validated", f"""
 SELECT count(*) AS rows, {big('count(r.RideID)')} AS matched, {big('count(*) - count(r.RideID)')} AS unmatched,
-       {rnd('sum(RidePrice)', 2)} AS ride_price, CAST(0 AS BIGINT) AS repeated_keys
-FROM ve LEFT JOIN (SELECT * FROM vr WHERE RideID % 50 <> 0) r ON ve.RideID = r.RideID""")
+       {rnd('sum(RidePrice)', 2)} AS ride_price, (SELECT count(*) FROM (SELECT RideID FROM vr GROUP BY 1 HAVING count(*) > 1)) AS repeated_keys
+FROM ve LEFT JOIN vr r ON ve.RideID = r.RideID""")
 def join_dim_validated(spark, sf_dir):
     """Many-to-one left join with its violations counted: volume stays, unmatched rows are marked."""
-    dim = v.rides(spark, sf_dir).where("RideID % 50 <> 0").select("RideID", "RidePrice")
+    dim = v.rides(spark, sf_dir).select("RideID", "RidePrice")
     fact = v.estimates(spark, sf_dir).select("RideID", "RideEstimativeID")
     joined = joins.attach_dimension(fact, dim, "RideID")
     return joined.agg(
@@ -27,13 +27,10 @@ def join_dim_validated(spark, sf_dir):
 SELECT RideEstimativeID, va.RideID, ProductID, CategoryID, UserID, "Create", {rnd('Price')} AS Price,
        o.AddressID AS OriginAddressID, d.AddressID AS DestinationAddressID
 FROM va LEFT JOIN (SELECT * FROM vad WHERE RideAddressTypeID = 1) o ON va.RideID = o.RideID
-LEFT JOIN (SELECT * FROM vad WHERE RideAddressTypeID = 2) d ON va.RideID = d.RideID
-WHERE o.RideID IS NOT NULL OR d.RideID IS NOT NULL""")
+LEFT JOIN (SELECT * FROM vad WHERE RideAddressTypeID = 2) d ON va.RideID = d.RideID""")
 def build_analytical(spark, sf_dir):
-    """The star join over rides that have an address, with every contract checked."""
-    addressed = v.addresses(spark, sf_dir)
-    fact = v.estimates(spark, sf_dir).join(addressed.select("RideID").distinct(), "RideID", "left_semi")
-    out = joins.build_analytical(fact, v.rides(spark, sf_dir), v.products(spark, sf_dir), addressed)
+    """The star join of all estimates, with every contract in the plan."""
+    out = joins.build_analytical(v.estimates(spark, sf_dir), v.rides(spark, sf_dir), v.products(spark, sf_dir), v.addresses(spark, sf_dir))
     return out.select("RideEstimativeID", "RideID", "ProductID", "CategoryID", "UserID", "Create",
                       rounded(F.col("Price")).alias("Price"), "OriginAddressID", "DestinationAddressID")
 

@@ -163,9 +163,9 @@ def target_stats(spark, sf_dir):
 
 
 @query("shape_class", f""", {QUARTILES}
-SELECT CategoryID, CASE WHEN abs(skewness) < 0.5 THEN 'near_symmetric' WHEN abs(skewness) < 1 THEN 'moderate'
+SELECT CategoryID, CASE WHEN skewness < 0.5 THEN 'near_symmetric' WHEN skewness < 1 THEN 'moderate'
                         ELSE 'strong' END AS shape,
-       CASE WHEN extreme_pct < 0.5 AND abs(skewness) < 1 THEN 'light' ELSE 'robust' END AS treatment FROM ({STATS})""")
+       CASE WHEN extreme_pct < 0.5 AND skewness < 1 THEN 'light' ELSE 'robust' END AS treatment FROM ({STATS})""")
 def shape_class(spark, sf_dir):
     stats = target.target_stats(v.clock(spark, sf_dir))
     skew = F.col("skewness")
@@ -173,8 +173,8 @@ def shape_class(spark, sf_dir):
                         target.treatment_note(F.col("extreme_pct"), skew).alias("treatment"))
 
 
-LEVELS = {"p1": 0.01, "p5": 0.05, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95,
-          "p99": 0.99, "p99_9": 0.999}
+LEVELS = {"p1": 0.01, "p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95,
+          "p99": 0.99, "p99_5": 0.995, "p99_9": 0.999}
 
 
 @query("target_percentiles", "SELECT CategoryID, " + ", ".join(

@@ -10,7 +10,7 @@ from .registry import big, query
 @query("temporal_frame", """
 SELECT RideEstimativeID, RideID, CategoryID, "Create", CreateDate FROM vf""")
 def temporal_frame(spark, sf_dir):
-    return folds.require_time(v.fold_frame(spark, sf_dir)).orderBy("CreateDate", "Create", "RideID", "RideEstimativeID")
+    return v.fold_frame(spark, sf_dir).orderBy("CreateDate", "Create", "RideID", "RideEstimativeID")
 
 
 @query("date_positions", """
@@ -87,7 +87,7 @@ CHECKS = """SELECT CategoryID, split_name, train_rows, evaluation_rows, ride_ove
 
 
 def _checks(spark, sf_dir):
-    return folds.fold_checks(_both(spark, sf_dir))
+    return folds.require_valid_folds(folds.fold_checks(_both(spark, sf_dir)))
 
 
 @query("fold_validity", f"{CHECKS} FROM ({SUMMARY})")

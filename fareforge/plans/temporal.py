@@ -96,10 +96,9 @@ SELECT CAST(n AS INTEGER) AS weekday_no, w.weekday, {rnd('avg(unique_rides)')} A
        {rnd('avg(mean_price)')} AS mean_daily_price, CASE WHEN count(date) > 0 THEN count(date) END AS observed_days,
        {rnd('quantile_cont(unique_rides, 0.5)')} AS median_daily_rides
 FROM (SELECT unnest(range(7)) AS n, unnest(['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday']) AS weekday) w
-LEFT JOIN (SELECT * FROM dm WHERE weekday <> 'Sunday') d ON d.weekday = w.weekday GROUP BY ALL""")
+LEFT JOIN dm d ON d.weekday = w.weekday GROUP BY ALL""")
 def weekday_seasonality(spark, sf_dir):
-    """Sundays are left out of the data, so that their row shows the kept nulls."""
-    daily = _settled_daily(spark, sf_dir).where("weekday <> 'Sunday'")
+    daily = _settled_daily(spark, sf_dir)
     return _round_all(temporal.weekday_seasonality(daily), ["mean_daily_rides", "mean_daily_price", "median_daily_rides"])
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareforge.functions import calendar, scalar
-from fareforge.functions.bounded import bounded_copy, lookup_join
+from fareforge.functions.bounded import lookup_join
 from fareforge.functions.quantiles import group_quantiles
 from fareforge.functions.running import first_per_key, running_before, time_levels
 
@@ -32,29 +32,26 @@ def skewed(spark):
 PROBS = {"a": 0.0, "b": 0.01, "c": 0.25, "d": 0.5, "e": 0.995, "f": 1.0}
 
 
-@pytest.mark.parametrize("bound", [0, 10**9])
-def test_quantiles_match_pandas_on_both_paths(spark, skewed, bound):
+def test_quantiles_match_pandas(spark, skewed):
     df = spark.createDataFrame(skewed)
-    got = pdf(group_quantiles(df, ["g"], "v", PROBS, max_group_rows=bound), "g")
+    got = pdf(group_quantiles(df, ["g"], "v", PROBS), "g")
     want = skewed.groupby("g")["v"].quantile(list(PROBS.values())).unstack().sort_index()
     assert list(got["g"]) == list(want.index)
     for name, p in PROBS.items():
         np.testing.assert_allclose(got[name], want[p], rtol=1e-12)
 
 
-@pytest.mark.parametrize("bound", [0, 10**9])
-def test_quantiles_without_group_and_tiny_groups(spark, bound):
+def test_quantiles_without_group_and_tiny_groups(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 3.0), ("y", 7.0), (None, 4.0)], "g string, v double")
-    one = group_quantiles(df, [], "v", {"m": 0.5, "t": 0.995}, max_group_rows=bound).first()
+    one = group_quantiles(df, [], "v", {"m": 0.5, "t": 0.995}).first()
     assert one.m == 3.5 and one.t == pytest.approx(np.quantile([1, 3, 7, 4], 0.995))
-    per = {r.g: r.t for r in group_quantiles(df, ["g"], "v", {"t": 0.995}, max_group_rows=bound).collect()}
+    per = {r.g: r.t for r in group_quantiles(df, ["g"], "v", {"t": 0.995}).collect()}
     assert per == pytest.approx({"x": 2.99, "y": 7.0, None: 4.0})
 
 
-@pytest.mark.parametrize("bound", [0, 10**9])
-def test_quantiles_of_many_distinct_values(spark, bound):
+def test_quantiles_of_many_distinct_values(spark):
     df = spark.range(50_000).select(((F.col("id") * 7919) % 50_000).cast("double").alias("v"))
-    got = group_quantiles(df, [], "v", {"q": 0.3333, "r": 0.99}, max_group_rows=bound).first()
+    got = group_quantiles(df, [], "v", {"q": 0.3333, "r": 0.99}).first()
     assert got.q == pytest.approx(np.quantile(np.arange(50_000), 0.3333))
     assert got.r == pytest.approx(np.quantile(np.arange(50_000), 0.99))
 
@@ -93,12 +90,10 @@ def test_first_per_key_prunes_before_the_shuffle(spark, capsys):
     assert sorted(map(tuple, out.collect())) == [(1, 2), (2, 9)]
 
 
-def test_bounded_lookup_falls_back(spark, capsys):
-    fact = spark.range(100).select((F.col("id") % 5).alias("k"))
-    dim = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
-    assert bounded_copy(dim, 4) is None and bounded_copy(dim, 5).count() == 5
-    small, large = lookup_join(fact, dim, "k"), lookup_join(fact, dim, "k", limit=2)
-    assert small.agg(F.sum("x")).first()[0] == large.agg(F.sum("x")).first()[0] == 400
+def test_lookup_matches_null_keys_on_request(spark):
+    fact, dim = (spark.createDataFrame([(1, "a"), (None, "b")], f"k int, {c} string") for c in ("x", "y"))
+    assert lookup_join(fact, dim, "k").where("y is not null").count() == 1
+    assert lookup_join(fact, dim, "k", null_safe=True).where("y is not null").count() == 2
 
 
 def test_rounding_and_percentages(spark):

@@ -43,7 +43,7 @@ def test_layer_round_trip_and_reconciliation(spark):
 def test_caps_and_missing_threshold(spark):
     df = spark.createDataFrame([("A", float(i)) for i in range(1, 201)] + [("B", 5.0), ("A", None)], "CategoryID string, Price double")
     caps = spark.createDataFrame([("A", float(np.quantile(np.arange(1, 201), 0.995)))], "CategoryID string, Price_cap double")
-    out = clean.cap_by_group(df, caps)
+    out = clean.cap_by_group(df.where("CategoryID = 'A'"), caps)
     assert out.where("PriceWasCapped").count() == 1 and out.agg(F.max("Price")).first()[0] == pytest.approx(199.005)
     assert out.where("Price is null").count() == 1
     assert rows_of(clean.uncapped_groups(df, caps, "CategoryID")) == [("B",)]
@@ -77,7 +77,7 @@ def test_curation_counts(spark):
     assert m["source_rows"] == 103 and m["duplicate_key_rows_removed"] == 1 and m["rows_written"] == 100
     assert m["missing_coordinate_rows_removed"] == 1 and m["nonpositive_price_rows_removed"] == 1
     assert m["WaitingTime_imputations"] == 25 and m["FareID_imputations"] == 33 and m["Price_rows_capped"] == 2
-    whole = clean.curate(df, ["Lat"], ["RideEstimativeID"], ["Price"], ["WaitingTime"], strict=True)
+    whole = clean.curate(df, ["Lat"], ["RideEstimativeID"], ["Price"], ["WaitingTime"])
     assert whole.count() == 100 and "removed_by" not in whole.columns
     safe = clean.curate(df, ["Lat"], ["RideEstimativeID"], ["Price"], ["WaitingTime"], fit_on=df.where("Price < 50"))
     assert safe.agg(F.max("Price")).first()[0] < 50
@@ -98,10 +98,12 @@ def test_dimension_contracts(spark):
     good = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, x string")
     assert joins.merge_dimension(fact, good, "k", "dim").count() == 3
     for bad in ([(1, "a")], [(1, "a"), (1, "b"), (2, "c")]):
-        with pytest.raises(checks.ContractError):
-            joins.merge_dimension(fact, spark.createDataFrame(bad, good.schema), "k", "dim")
-    with pytest.raises(checks.ContractError):
-        joins.merge_dimension(fact.union(spark.createDataFrame([(None,)], "k int")), good, "k", "dim")
+        with pytest.raises(Exception, match="in dimension"):
+            joins.merge_dimension(fact, spark.createDataFrame(bad, good.schema), "k", "dim").collect()
+    with pytest.raises(Exception, match="missing in dimension null"):
+        joins.merge_dimension(fact.union(spark.createDataFrame([(None,)], "k int")), good, "k", "dim").collect()
+    some = joins.merge_dimension(fact, good.where("k = 1"), "k", "dim", required=False)
+    assert rows_of(some) == [(1, "a"), (1, "a"), (2, None)]
     with pytest.raises(checks.ContractError, match="missing columns: z"):
         checks.require_columns(good, ["k", "z"])
 
@@ -200,3 +202,29 @@ def test_leakage_safe_columns():
 
 def test_fixed_values():
     assert len(fixed.NUMERIC_FEATURES) == 22 and len(fixed.BOOLEAN_FEATURES) == 4
+
+
+def test_contracts_stop_the_run(spark):
+    """Each broken contract fails when the plan runs, none needs a job of its own."""
+    from fareforge.functions.calendar import add_temporal_features
+    from fareforge.operators import folds, leakage
+    one = spark.createDataFrame([("A", 5.0), ("B", 7.0)], "CategoryID string, Price double")
+    caps = spark.createDataFrame([("A", 4.0)], "CategoryID string, Price_cap double")
+    plans = {
+        "group without a cap: B": clean.cap_by_group(one, caps),
+        "null Create": folds.temporal_frame(spark.sql("select cast(null as timestamp_ntz) as Create, 1 as RideID"), ["RideID"]),
+        "null Schedule": add_temporal_features(spark.sql("select cast(null as timestamp_ntz) as Schedule"), ("Schedule",)),
+        "invalid fold: fold_2": folds.require_valid_folds(spark.sql("select 'fold_2' as split_name, false as fold_valid")),
+        "inconsistent history: x": leakage.require_consistent(spark.sql("select 'x' as metric, 3L as value")),
+        "row without user history": history.require_history(
+            spark.sql("select cast(null as bigint) as UserPriorRideCount, 1L as UserPriorCategoryRideCount")),
+        "product without a category: 9": joins.build_analytical(
+            spark.sql("select 1L as RideID, 9L as ProductID, 2.0D as Price"), spark.sql("select 1L as RideID, 4L as UserID"),
+            spark.sql("select 9L as ProductID, cast(null as string) as CategoryID"),
+            spark.sql("select 1L as RideID, 1L as RideAddressTypeID, 5L as AddressID")),
+    }
+    for message, plan in plans.items():
+        with pytest.raises(Exception, match=message):
+            plan.collect()
+    fine = leakage.require_consistent(spark.sql(f"select '{leakage.INFORMATIONAL}' as metric, 3L as value"))
+    assert fine.first().value == 3
