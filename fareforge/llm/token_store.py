@@ -18,8 +18,8 @@ from .common import materialize
 from .files import RangeReader, attempt_name, open_store
 
 END_ID = 2
-#: Pieces kept with their ids per worker; past that the memory is emptied, which changes no result.
-REMEMBERED, LONGEST_REMEMBERED = 800_000, 64
+#: Words, and pieces of words, kept with their ids per worker; past that a memory is emptied, which changes no result.
+REMEMBERED, LONGEST_REMEMBERED = 700_000, 48
 #: How the tokenizer cuts lower-case text, limited to characters that its normaliser leaves alone.
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(rf"[{LATIN} \t\n\x0b\x0c\r!-~]*")
@@ -110,11 +110,27 @@ class ShardIndex:
         return out
 
 
+class _Kept(dict):
+    """Values by key; one that is not there is made and, unless its key is very long, kept."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+        value = self.make(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            self[key] = value
+        return value
+
+
 class Encoder:
-    """Ids of whole texts from the ids of their pieces.
+    """Ids of whole texts from the ids of their words, and those from the ids of their pieces.
 
     The tokenizer drops white space and never joins across it, and it lower-cases and cuts words, digits and signs apart
-    before it looks for ids. Texts of Latin letters, digits and ASCII signs are cut the same way here, so that each
+    before it looks for ids. Words of Latin letters, digits and ASCII signs are cut the same way here, so that each
     distinct piece is encoded once per worker; words with any other character go to the tokenizer whole.
     """
 
@@ -123,39 +139,34 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
         # workers serve many tasks: what one has encoded is kept beside the library for the next
-        kept = tokenizers.__dict__.setdefault("_kept_pieces", {})
+        kept = tokenizers.__dict__.setdefault("_kept_words", {})
         if tokenizer_path not in kept:
-            kept[tokenizer_path] = (tokenizers.Tokenizer.from_file(tokenizer_path), {})
-        self.tokenizer, self.known = kept[tokenizer_path]
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = np.dtype(f"<u{self.width}")
-
-    def pieces(self, text: str) -> list[str]:
-        if PLAIN.fullmatch(text) and "<|" not in text:
-            return PIECE.findall(text.lower())
-        out = []
-        for word in WORD.findall(text):
-            if PLAIN.fullmatch(word) and "<|" not in word:
-                out += PIECE.findall(word.lower())
-            else:
-                out.append(word)
-        return out
+            kept[tokenizer_path] = self._memory(tokenizers.Tokenizer.from_file(tokenizer_path))
+        self.tokenizer, self.kind, self.words = kept[tokenizer_path]
+        self.width = self.kind.itemsize
+
+    @staticmethod
+    def _memory(tokenizer):
+        kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+
+        def encode(text: str) -> bytes:
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
+
+        pieces = _Kept(encode)
+
+        def cut(text: str) -> list[str] | None:
+            return PIECE.findall(text.lower()) if PLAIN.fullmatch(text) and "<|" not in text else None
+
+        def word(text: str) -> bytes:
+            parts = cut(text)
+            return encode(text) if parts is None else b"".join(map(pieces.__getitem__, parts))
+
+        return tokenizer, kind, _Kept(word)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        known, end = self.known, np.array([END_ID], self.kind).tobytes()
-        if len(known) > REMEMBERED:
-            known.clear()
-        split = [self.pieces(t) for t in texts]
-        new = list(set().union(*split) - known.keys())
-        for start in range(0, len(new), 10_000):
-            part = new[start:start + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, self.kind).tobytes()
-        out = [b"".join(map(known.__getitem__, ws)) + end for ws in split]
-        for w in new:
-            if len(w) > LONGEST_REMEMBERED:
-                del known[w]
-        return out
+        end = np.array([END_ID], self.kind).tobytes()
+        split = [t.split() if PLAIN.fullmatch(t) else WORD.findall(t) for t in texts]
+        return [b"".join(map(self.words.__getitem__, ws)) + end for ws in split]
 
 
 class _Repeats:
