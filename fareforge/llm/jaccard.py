@@ -26,6 +26,8 @@ CELL_BITS = 18
 SKETCH_BITS, SALTS = 512, (21, 22)
 #: Up to so many nodes with a common prefix shingle are paired at once; rows of more frequent ones are dealt over tasks.
 SMALL, HOT = 24, 4096
+#: Rounds of so many proposals per row before the remaining open pairs are listed in full.
+ROUNDS, PROPOSALS = 4, 6
 
 
 def prefix_length(n: int) -> int:
@@ -188,8 +190,12 @@ def from_runs(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, PAIRS)
 
 
-def across(rows: DataFrame) -> DataFrame:
-    """(u, v, shared): pairs of different components among rows (token, band, own, node, n, pos, component), run by run."""
+def across(rows: DataFrame, turn: int | None) -> DataFrame:
+    """(u, v, shared): pairs of different components among rows (token, band, own, node, n, pos, component), run by run.
+
+    In a numbered turn each row proposes a few partners per run, the most alike in size and place and others that change
+    with the turn; without a number it proposes all of them.
+    """
     def run(batches):
         held = None
         for b in batches:
@@ -205,16 +211,20 @@ def across(rows: DataFrame) -> DataFrame:
             yield from pairs(held, np.array([0, len(held)]))
 
     def pairs(x, start):
-        own, node, n, pos, comp = (x[c].to_numpy() for c in ("own", "node", "n", "pos", "component"))
+        token, own, node, n, pos, comp = (x[c].to_numpy() for c in ("token", "own", "node", "n", "pos", "component"))
         us, vs = [], []
         for lo, hi in zip(start[:-1], start[1:]):
             c = comp[lo:hi]
             names, count = np.unique(c, return_counts=True)
             for i in lo + np.flatnonzero(c != names[count.argmax()]):
                 j = lo + np.flatnonzero((c != comp[i]) & (own[i] | own[lo:hi]))
-                ok = may_link(n[i], pos[i], n[j], pos[j])
-                us.append(np.full(ok.sum(), node[i]))
-                vs.append(node[j][ok])
+                j = j[may_link(n[i], pos[i], n[j], pos[j])]
+                if turn is not None and len(j) > 1:
+                    near = np.abs(n[j] - n[i]) + np.abs(pos[j] - pos[i])
+                    other = [int(node[i] ^ token[i] ^ (turn * 7919 + k)) % len(j) for k in range(PROPOSALS - 1)]
+                    j = j[np.unique([near.argmin(), *other])]
+                us.append(np.full(len(j), node[i]))
+                vs.append(node[j])
         if us and sum(map(len, us)):
             yield _pairs_frame(np.concatenate(us), np.concatenate(vs))[["u", "v", "shared"]]
 
@@ -293,31 +303,49 @@ def join(docs: DataFrame) -> DataFrame:
         found = materialize(from_runs(sorted_rows), "runs")
     candidates = materialize(sifted(found.where("pos = -1"), nodes), "pairs")
 
+    def best(pairs: DataFrame, most: int = 1) -> DataFrame:
+        """For each node its candidates with the most common prefix shingles."""
+        top = Window.partitionBy("node").orderBy(F.desc("shared"), "u", "v")
+        each = pairs.select("u", "v", "shared", F.explode(F.array("u", "v")).alias("node"))
+        return each.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= most).select("u", "v").distinct()
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return materialize(verified(pairs, docs, nodes), "links")
+
+    def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+        part = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+        return pairs.join(part("u"), "u", "left").join(part("v"), "v", "left").where(
+            F.coalesce("_u", "u") != F.coalesce("_v", "v")).drop("_u", "_v")
+
     # one candidate per node first: most clusters are whole then, and pairs inside them need no look
-    best = Window.partitionBy("node").orderBy(F.desc("shared"), "u", "v")
-    each = candidates.select("u", "v", "shared", F.explode(F.array("u", "v")).alias("node"))
-    first = each.withColumn("rank", F.row_number().over(best)).where("rank = 1").select("u", "v").distinct()
-    links = materialize(verified(materialize(first, "first"), docs, nodes), "links")
+    tried = materialize(best(candidates), "tried")
+    links = checked(tried)
     known = materialize(components(links), "components")
-    part = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
-    apart = lambda pairs: pairs.join(part("u"), "u", "left").join(part("v"), "v", "left").where(
-        F.coalesce("_u", "u") != F.coalesce("_v", "v")).select("u", "v")
-    crowd = found.where("pos >= 0").select("token", F.col("u").alias("node"), "n", "pos").join(known, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    crowd = materialize(crowd, "crowd")
-    mixed_tokens = materialize(crowd.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-                               .where("a <> b").select("token"), "mixed")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(LEAST[1] / LEAST[0])))
-    open_rows = crowd.join(mixed_tokens, "token", "left_semi").withColumn("band", band.cast("int"))
-    spread = open_rows.withColumn("own", F.lit(True)).unionByName(
-        open_rows.withColumn("band", F.col("band") + 1).withColumn("own", F.lit(False)))
-    with arrow_rows(spark, 20_000):
-        late = materialize(across(spread.repartition("token", "band").sortWithinPartitions("token", "band", "n", "node")), "late")
-    rest = apart(candidates.select("u", "v").join(materialize(first, "first"), ["u", "v"], "left_anti")).unionByName(
-        apart(sifted(late, nodes))).distinct()
-    more = materialize(verified(materialize(rest, "rest"), docs, nodes), "links")
+    rest = materialize(apart(candidates.join(tried, ["u", "v"], "left_anti"), known).select("u", "v"), "tried")
+    tried, links = tried.unionByName(rest), links.unionByName(checked(rest))
+    crowd = materialize(found.where("pos >= 0").select("token", F.col("u").alias("node"), "n", "pos"), "crowd")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(LEAST[1] / LEAST[0]))).cast("int")
+
+    def late(known: DataFrame, turn: int | None) -> DataFrame:
+        """Candidates of different components from runs that hold several, not tried before."""
+        now = materialize(crowd.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")), "crowd")
+        several = materialize(now.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+                              .where("a <> b").select("token"), "several")
+        rows = now.join(several, "token", "left_semi").withColumn("band", band)
+        spread = rows.withColumn("own", F.lit(True)).unionByName(rows.withColumns({"band": F.col("band") + 1, "own": F.lit(False)}))
+        with arrow_rows(spark, 20_000):
+            pairs = materialize(across(spread.repartition("token", "band").sortWithinPartitions("token", "band", "n", "node"), turn), "late")
+        return sifted(pairs, nodes).join(tried, ["u", "v"], "left_anti")
+
+    # nodes of frequent shingles propose a few partners a round, so open pairs fall as components grow; then all that is left
+    for turn in [*range(ROUNDS), None]:
+        known = materialize(components(links), "components")
+        open_pairs = late(known, turn)
+        proposed = materialize(open_pairs.select("u", "v") if turn is None else best(open_pairs, PROPOSALS), "tried")
+        new = checked(proposed)
+        tried, links = tried.unionByName(proposed), links.unionByName(new)
     reps = nodes.select("node", "rep")
-    named = links.unionByName(more).join(reps.withColumnsRenamed({"node": "u", "rep": "ru"}), "u").join(
+    named = links.join(reps.withColumnsRenamed({"node": "u", "rep": "ru"}), "u").join(
         reps.withColumnsRenamed({"node": "v", "rep": "rv"}), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
     # equal sets link too, and so do different texts under one id
     equal = rows.where("doc_id is not null").join(reps, "node").where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
