@@ -106,3 +106,19 @@ MAPE_EPSILON = 2.220446049250313e-16
 SEED = 42
 SAMPLE_ROWS_PER_CATEGORY = 100_000
 SEARCH_TRIALS = 15
+
+# Risk level and decision per feature group, and per product; the measured rate shown beside a group.
+RISKS = [
+    ("Create* temporais", "low", "keep"),
+    ("Schedule* temporais", "low", "keep"),
+    ("Updated* temporais", "high", "exclude"),
+    ("UserPriorRideCount / UserPriorPaidPriceMean", "low", "keep"),
+    ("UserPriorCategoryRideCount / UserPriorCategoryPriceMean", "low", "keep"),
+    ("PriceWasCapped", "high", "exclude"),
+    ("WaitingTimeWasCapped / FareIDWasImputed", "low", "optional"),
+]
+PRODUCT_RISKS = [
+    ("Cross own price ({price})", "high", "exclude"),
+    ("Cross auxiliar ({product})", "medium", "keep_with_control"),
+]
+RISK_RATES = {"Updated* temporais": "updated_after_create_pct", "PriceWasCapped": "price_was_capped_pct"}

@@ -2,6 +2,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.running import first_per_key, running_before, time_levels
 from ..functions.scalar import all_present, count_if, pct, rows
 from .checks import broken
@@ -22,24 +23,11 @@ def leakage_rates(df: DataFrame, products: list, product: str = "ProductID") ->
     return df.agg(*out)
 
 
-# Risk level and decision per feature group.
-RISKS = [
-    ("Create* temporais", "low", "keep"),
-    ("Schedule* temporais", "low", "keep"),
-    ("Updated* temporais", "high", "exclude"),
-    ("UserPriorRideCount / UserPriorPaidPriceMean", "low", "keep"),
-    ("UserPriorCategoryRideCount / UserPriorCategoryPriceMean", "low", "keep"),
-    ("PriceWasCapped", "high", "exclude"),
-    ("WaitingTimeWasCapped / FareIDWasImputed", "low", "optional"),
-]
-
-
 def feature_risks(rates: DataFrame, products: list) -> DataFrame:
     """(feature_group, leakage_risk, recommended_decision, rate_pct) from the one-row rates."""
-    measured = {"Updated* temporais": "updated_after_create_pct", "PriceWasCapped": "price_was_capped_pct"}
-    lines = [(name, risk, decision, measured.get(name)) for name, risk, decision in RISKS]
-    lines += [(f"Cross own price ({price_column(p)})", "high", "exclude", f"own_equals_target_pct_{p}") for p in products]
-    lines += [(f"Cross auxiliar ({p})", "medium", "keep_with_control", f"both_auxiliary_pct_{p}") for p in products]
+    lines = [(*risk, fixed.RISK_RATES.get(risk[0])) for risk in fixed.RISKS]
+    for (label, risk, decision), rate in zip(fixed.PRODUCT_RISKS, ("own_equals_target_pct", "both_auxiliary_pct")):
+        lines += [(label.format(price=price_column(p), product=p), risk, decision, f"{rate}_{p}") for p in products]
     table = F.array(*[F.struct(
         F.lit(a).alias("feature_group"), F.lit(b).alias("leakage_risk"), F.lit(c).alias("recommended_decision"),
         (F.col(d) if d else F.lit(None)).cast("double").alias("rate_pct")) for a, b, c, d in lines])

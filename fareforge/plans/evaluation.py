@@ -174,10 +174,9 @@ SELECT w.CategoryID, w.ModelName AS SelectedModel, w.AlgorithmGroup AS SelectedM
   r2_m AS BestR2Model, {rnd('r2_v')} AS BestR2, second_m AS RunnerUpModel, b.ModelName AS BestBaselineRMSEModel,
   {rnd('b.MeanRMSE')} AS BestBaselineRMSE, {rnd('w.MeanRMSE - b.MeanRMSE')} AS DeltaRMSEvsBestBaseline,
   {rnd('w.MeanMAE - b.MeanMAE')} AS DeltaMAEvsBestBaseline,
-  concat_ws(' | ', CASE WHEN mae_m <> w.ModelName THEN format('MAE melhor em {{}} ({{:.4f}})', mae_m, mae_v) END,
-    CASE WHEN mape_m <> w.ModelName THEN format('MAPE melhor em {{}} ({{:.2f}}%)', mape_m, mape_v) END,
-    CASE WHEN r2_m <> w.ModelName THEN format('R2 melhor em {{}} ({{:.4f}})', r2_m, r2_v) END,
-    format('Runner-up por RMSE: {{}} ({{:.4f}})', second_m, second_v)) AS TradeoffSummary
+  coalesce(nullif(concat_ws('; ', CASE WHEN mae_m <> w.ModelName THEN 'MAE: ' || mae_m END,
+    CASE WHEN mape_m <> w.ModelName THEN 'MAPE: ' || mape_m END,
+    CASE WHEN r2_m <> w.ModelName THEN 'R2: ' || r2_m END), ''), 'leads every metric') AS OtherLeaders
 FROM w JOIN b USING (CategoryID) JOIN r2nd USING (CategoryID) WHERE w.k = 1"""
 
 

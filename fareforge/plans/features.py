@@ -1,6 +1,7 @@
 """Cross prices, user history, leakage checks and the feature layer."""
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.running import running_before, time_levels
 from ..functions.scalar import rounded
 from ..operators import history, leakage
@@ -160,16 +161,11 @@ def leakage_rates(spark, sf_dir):
 
 
 def _risk_sql():
-    fixed = [("Create* temporais", "low", "keep", "NULL"), ("Schedule* temporais", "low", "keep", "NULL"),
-             ("Updated* temporais", "high", "exclude", "updated_after_create_pct"),
-             ("UserPriorRideCount / UserPriorPaidPriceMean", "low", "keep", "NULL"),
-             ("UserPriorCategoryRideCount / UserPriorCategoryPriceMean", "low", "keep", "NULL"),
-             ("PriceWasCapped", "high", "exclude", "price_was_capped_pct"),
-             ("WaitingTimeWasCapped / FareIDWasImputed", "low", "optional", "NULL")]
-    fixed += [(f"Cross own price (Price_{p})", "high", "exclude", f"own_equals_target_pct_{p}") for p in v.TARGETS]
-    fixed += [(f"Cross auxiliar ({p})", "medium", "keep_with_control", f"both_auxiliary_pct_{p}") for p in v.TARGETS]
+    lines = [(*risk, fixed.RISK_RATES.get(risk[0], "NULL")) for risk in fixed.RISKS]
+    for (label, risk, decision), rate in zip(fixed.PRODUCT_RISKS, ("own_equals_target_pct", "both_auxiliary_pct")):
+        lines += [(label.format(price=f"Price_{p}", product=p), risk, decision, f"{rate}_{p}") for p in v.TARGETS]
     return "\nUNION ALL ".join(f"""SELECT '{a}' AS feature_group, '{b}' AS leakage_risk, '{c}' AS recommended_decision,
-      CAST({d} AS DOUBLE) AS rate_pct FROM lr""" for a, b, c, d in fixed)
+      CAST({d} AS DOUBLE) AS rate_pct FROM lr""" for a, b, c, d in lines)
 
 
 RISKS = f"{CX}, lr AS ({_rate_sql()}) {_risk_sql()}"
