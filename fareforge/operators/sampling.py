@@ -22,4 +22,6 @@ def stratified_sample(df: DataFrame, group: str, key: str, size: int = fixed.SAM
     needed = offsets.where(F.col("_before") < size).select(group, "_b", "_before")
     near = lookup_join(hashed, needed, [group, "_b"], "inner")
     rank = F.row_number().over(Window.partitionBy(group, "_b").orderBy("_h", key))
-    return near.withColumn("_r", rank + F.col("_before")).where(F.col("_r") <= size).select(*df.columns)
+    # the plain rank is compared first, so each task sends at most `size` rows of a block
+    first = near.withColumn("_r", rank).where(F.col("_r") <= size)
+    return first.where(F.col("_r") + F.col("_before") <= size).select(*df.columns)
