@@ -338,11 +338,18 @@ def join(docs: DataFrame) -> DataFrame:
         return sifted(pairs, nodes).join(tried, ["u", "v"], "left_anti")
 
     # nodes of frequent shingles propose a few partners a round, so open pairs fall as components grow; then all that is left
-    for turn in [*range(ROUNDS), None]:
-        known = materialize(components(links), "components")
+    turns, grown = [*range(ROUNDS), None], True
+    while turns:
+        turn = turns.pop(0)
+        if grown:
+            known = materialize(components(links), "components")
         open_pairs = late(known, turn)
         proposed = materialize(open_pairs.select("u", "v") if turn is None else best(open_pairs, PROPOSALS), "tried")
+        if proposed.isEmpty():
+            turns, grown = turns[-1:], False
+            continue
         new = checked(proposed)
+        grown = not new.isEmpty()
         tried, links = tried.unionByName(proposed), links.unionByName(new)
     reps = nodes.select("node", "rep")
     named = links.join(reps.withColumnsRenamed({"node": "u", "rep": "ru"}), "u").join(
