@@ -1,4 +1,6 @@
 """Model preparation, training and scoring."""
+import json
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -143,12 +145,12 @@ def fit_lasso(spark, sf_dir):
 
 @query("fit_random_forest")
 def fit_random_forest(spark, sf_dir):
-    return _fit_rows(spark, sf_dir, {"RandomForest": lambda d, t: modeling.random_forest(d, t, trees=20, depth=10)}, False, 1)
+    return _fit_rows(spark, sf_dir, {"RandomForest": modeling.random_forest}, False, 1)
 
 
 @query("fit_gbt")
 def fit_gbt(spark, sf_dir):
-    return _fit_rows(spark, sf_dir, {"GradientBoosting": lambda d, t: modeling.boosted_trees(d, t, rounds=10)}, False, 1)
+    return _fit_rows(spark, sf_dir, {"GradientBoosting": modeling.boosted_trees}, False, 1)
 
 
 @query("tscv_run")
@@ -160,24 +162,32 @@ def tscv_run(spark, sf_dir):
     return evaluate.metric_summary(folds_, ["CategoryID", "ModelName"])
 
 
-@query("temporal_search")
-def temporal_search(spark, sf_dir):
-    """Trials next to the default on all folds, with the best one flagged. Few rounds keep the run short."""
+def _search(spark, sf_dir):
+    """Summary of the default and of all trials over the folds, one row per category and parameter set."""
     frames, windows, features = _setup(spark, sf_dir)
-    found = modeling.temporal_search(frames, windows, features, modeling.sample_trials(2, rounds=(2, 4, 1)), default_rounds=3)
+    found = modeling.temporal_search(frames, windows, features, modeling.sample_trials())
     names = [c.split()[0] for c in modeling.SEARCH_SCHEMA.split(", ")]
     folds_ = spark.createDataFrame([[r[c] for c in names] for r in found], modeling.SEARCH_SCHEMA)
-    summary = evaluate.metric_summary(folds_, ["CategoryID", "Phase", "TrialNumber", "ParamsJSON"])
+    return evaluate.metric_summary(folds_, ["CategoryID", "Phase", "TrialNumber", "ParamsJSON"])
+
+
+@query("temporal_search")
+def temporal_search(spark, sf_dir):
+    """Trials next to the default on all folds, with the best one flagged."""
+    summary = _search(spark, sf_dir)
     best = evaluate.trial_ranking(summary.where("Phase = 'trial'"))
     return best.unionByName(summary.where("Phase = 'default'"), allowMissingColumns=True)
 
 
 def _final(spark, sf_dir):
+    """Per category the model of the best trial, fitted on the whole regime."""
+    ranked = evaluate.trial_ranking(_search(spark, sf_dir).where("Phase = 'trial'"))
+    params = {r.CategoryID: json.loads(r.ParamsJSON) for r in ranked.where("IsBestTrial").collect()}
     frame = _frame(spark, sf_dir)
     for c in v.TARGETS:
         features = feature_set(c)
         rows_ = modeling.feature_matrix(frame.where(F.col("CategoryID") == c), features)
-        yield c, features, rows_, modeling.fit_final(rows_, features, modeling.boosted_trees, rounds=5)
+        yield c, features, rows_, modeling.fit_final(rows_, features, modeling.boosted_trees, **params[c])
 
 
 def _union(frames):
