@@ -37,6 +37,13 @@ def _setup(spark, sf_dir):
     return frames, windows, features
 
 
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 REGIME_ROWS = """"Create" >= TIMESTAMP '1999-01-01'"""
 CAL = f"{calendar_sql('Schedule')}, {calendar_sql('Create')}"
 
@@ -57,31 +64,72 @@ e1 AS (SELECT b1.* FROM b1, w1 WHERE d BETWEEN evaluation_start AND evaluation_e
 HIST = "UserPriorCategoryPriceMean"
 
 
-def _fold_1(spark, sf_dir):
+FOLDS = """, wc AS (SELECT * FROM fw WHERE split_type = 'cv'),
+bc AS (SELECT vx.*, CAST("Create" AS DATE) AS d FROM vx),
+tc AS (SELECT bc.*, wc.number AS FoldNumber FROM bc, wc WHERE d BETWEEN train_start AND train_end),
+ec AS (SELECT bc.*, wc.number AS FoldNumber FROM bc, wc WHERE d BETWEEN evaluation_start AND evaluation_end)"""
+
+
+def _fold_sides(spark, sf_dir):
+    """(number, training rows, evaluation rows) of every cv window."""
     source = ["RideEstimativeID", "RideID", "CategoryID", "ProductID", "UserID", "Price", "Create"]
     rows_ = v.with_category_history(spark, sf_dir, source)
-    frame = materialize(folds.temporal_frame(rows_, ["RideEstimativeID", "ProductID", HIST, "Create"], v.REGIME), "fold-1")
-    first = folds.split_windows(frame, v.CONFIG)[0]
-    return folds.train_rows(frame, first), folds.evaluation_rows(frame, first)
+    frame = materialize(folds.temporal_frame(rows_, ["RideEstimativeID", "ProductID", HIST, "Create"], v.REGIME), "folds")
+    return [(w.number, folds.train_rows(frame, w), folds.evaluation_rows(frame, w))
+            for w in folds.split_windows(frame, v.CONFIG) if w.split_type == "cv"]
+
+
+def _over_folds(spark, sf_dir, one):
+    return _union([one(train, held).withColumn("FoldNumber", F.lit(number)) for number, train, held in _fold_sides(spark, sf_dir)])
+
+
+def _fold_1(spark, sf_dir):
+    return _fold_sides(spark, sf_dir)[0][1:]
+
+
+def _imputed(train, held):
+    median = modeling.median_row(train, [HIST])[HIST]
+    return held.select("RideEstimativeID", rounded(F.coalesce(F.col(HIST), F.lit(median))).alias(HIST))
+
+
+def _standardized(train, held):
+    medians = modeling.median_row(train, [HIST])
+    mean, std = modeling.scale_row(train, medians)[HIST]
+    out = modeling.standardized(held.select("RideEstimativeID", HIST), HIST, medians[HIST], mean, std)
+    return out.withColumn(HIST, rounded(F.col(HIST)))
+
+
+def _one_hot(train, held):
+    vocab = modeling.vocabulary(train, "ProductID", 5)
+    return modeling.encode_labels(held.select("RideEstimativeID", "ProductID"), vocab, "ProductID")
 
 
 @query("impute_train_only", f"""{FOLD_1}
 SELECT RideEstimativeID, {rnd(f'coalesce({HIST}, (SELECT quantile_cont({HIST}, 0.5) FROM t1))')} AS {HIST} FROM e1""")
 def impute_train_only(spark, sf_dir):
-    train, held = _fold_1(spark, sf_dir)
-    median = modeling.median_row(train, [HIST])[HIST]
-    return held.select("RideEstimativeID", rounded(F.coalesce(F.col(HIST), F.lit(median))).alias(HIST))
+    return _imputed(*_fold_1(spark, sf_dir))
+
+
+@query("impute_train_only_folds", f"""{FOLDS}, md AS (SELECT FoldNumber, quantile_cont({HIST}, 0.5) AS m FROM tc GROUP BY 1)
+SELECT ec.FoldNumber, RideEstimativeID, {rnd(f'coalesce({HIST}, m)')} AS {HIST} FROM ec LEFT JOIN md ON md.FoldNumber = ec.FoldNumber""")
+def impute_train_only_folds(spark, sf_dir):
+    return _over_folds(spark, sf_dir, _imputed)
 
 
 @query("standardize", f"""{FOLD_1}, md AS (SELECT quantile_cont({HIST}, 0.5) AS m FROM t1),
 st AS (SELECT avg(coalesce({HIST}, m)) AS mean, stddev_pop(coalesce({HIST}, m)) AS sd FROM t1, md)
 SELECT RideEstimativeID, {rnd(f'(coalesce({HIST}, m) - mean) / sd')} AS {HIST} FROM e1, md, st""")
 def standardize(spark, sf_dir):
-    train, held = _fold_1(spark, sf_dir)
-    medians = modeling.median_row(train, [HIST])
-    mean, std = modeling.scale_row(train, medians)[HIST]
-    out = modeling.standardized(held.select("RideEstimativeID", HIST), HIST, medians[HIST], mean, std)
-    return out.withColumn(HIST, rounded(F.col(HIST)))
+    return _standardized(*_fold_1(spark, sf_dir))
+
+
+@query("standardize_folds", f"""{FOLDS}, md AS (SELECT FoldNumber, quantile_cont({HIST}, 0.5) AS m FROM tc GROUP BY 1),
+st AS (SELECT tc.FoldNumber, any_value(m) AS m, avg(coalesce({HIST}, m)) AS mean, stddev_pop(coalesce({HIST}, m)) AS sd
+       FROM tc JOIN md ON md.FoldNumber = tc.FoldNumber GROUP BY 1)
+SELECT ec.FoldNumber, RideEstimativeID, {rnd(f'(coalesce({HIST}, m) - mean) / sd')} AS {HIST}
+FROM ec LEFT JOIN st ON st.FoldNumber = ec.FoldNumber""")
+def standardize_folds(spark, sf_dir):
+    return _over_folds(spark, sf_dir, _standardized)
 
 
 @query("mode_impute", """
@@ -99,33 +147,41 @@ SELECT RideEstimativeID, CASE WHEN n < 5 THEN 'infrequent' WHEN n >= 5 THEN CAST
 FROM e1 LEFT JOIN vo ON vo.ProductID = e1.ProductID""")
 def one_hot(spark, sf_dir):
     """The one-hot column of every evaluation row: its own, the shared one for rare values, or none."""
-    train, held = _fold_1(spark, sf_dir)
-    vocab = modeling.vocabulary(train, "ProductID", 5)
-    return modeling.encode_labels(held.select("RideEstimativeID", "ProductID"), vocab, "ProductID")
+    return _one_hot(*_fold_1(spark, sf_dir))
 
 
-def _largest_window(spark, sf_dir):
-    frames, windows, features = _setup(spark, sf_dir)
-    return frames, [w for w in windows if w.split_type == "cv"][-1], features
+@query("one_hot_folds", f"""{FOLDS}, vo AS (SELECT FoldNumber, ProductID, count(*) AS n FROM tc GROUP BY 1, 2)
+SELECT ec.FoldNumber, RideEstimativeID, CASE WHEN n < 5 THEN 'infrequent' WHEN n >= 5 THEN CAST(ec.ProductID AS VARCHAR) END AS ProductID
+FROM ec LEFT JOIN vo ON vo.FoldNumber = ec.FoldNumber AND vo.ProductID = ec.ProductID""")
+def one_hot_folds(spark, sf_dir):
+    return _over_folds(spark, sf_dir, _one_hot)
 
 
 @query("fit_preprocessing")
 def fit_preprocessing(spark, sf_dir):
-    """Prepared evaluation rows of the last fold: width and non-zero entries of the assembled vector."""
-    frames, window, features = _largest_window(spark, sf_dir)
+    """Prepared evaluation rows of every fold: width and non-zero entries of the assembled vector."""
+    frames, windows, features = _setup(spark, sf_dir)
     out = []
     for c, frame in frames.items():
-        train, held = folds.train_rows(frame, window), folds.evaluation_rows(frame, window)
-        prepared = modeling.fit_preprocessing(train, features[c]).transform(held)
-        out.append(prepared.select("RideEstimativeID", F.lit(c).alias("CategoryID"), F.size(vector_to_array("features")).alias("width"),
-                                   F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("non_zero")))
-    return out[0].unionByName(out[1]).unionByName(out[2])
+        for window in windows:
+            if window.split_type != "cv":
+                continue
+            train, held = folds.train_rows(frame, window), folds.evaluation_rows(frame, window)
+            prepared = modeling.fit_preprocessing(train, features[c]).transform(held)
+            out.append(prepared.select(
+                F.lit(window.name).alias("FoldName"), "RideEstimativeID", F.lit(c).alias("CategoryID"),
+                F.size(vector_to_array("features")).alias("width"),
+                F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("non_zero")))
+    return _union(out)
+
+
+def _fold_frame(spark, found):
+    return spark.createDataFrame([[r[c.split()[0]] for c in modeling.FOLD_SCHEMA.split(", ")] for r in found], modeling.FOLD_SCHEMA)
 
 
 def _fit_rows(spark, sf_dir, estimators, scale, min_rows):
-    frames, window, features = _largest_window(spark, sf_dir)
-    found = modeling.run_folds(frames, [window], features, estimators, scale, min_rows)
-    return spark.createDataFrame([[r[c.split()[0]] for c in modeling.FOLD_SCHEMA.split(", ")] for r in found], modeling.FOLD_SCHEMA)
+    frames, windows, features = _setup(spark, sf_dir)
+    return _fold_frame(spark, modeling.run_folds(frames, windows, features, estimators, scale, min_rows))
 
 
 @query("fit_linear")
@@ -155,11 +211,11 @@ def fit_gbt(spark, sf_dir):
 
 @query("tscv_run")
 def tscv_run(spark, sf_dir):
-    """Mean and deviation over folds per category and baseline model."""
+    """Mean and deviation over folds per category and model, baselines and trees, each on its own preparation."""
     frames, windows, features = _setup(spark, sf_dir)
     found = modeling.run_folds(frames, windows, features, modeling.BASELINES)
-    folds_ = spark.createDataFrame([[r[c.split()[0]] for c in modeling.FOLD_SCHEMA.split(", ")] for r in found], modeling.FOLD_SCHEMA)
-    return evaluate.metric_summary(folds_, ["CategoryID", "ModelName"])
+    found += modeling.run_folds(frames, windows, features, modeling.ADVANCED, scale=False, min_rows=1)
+    return evaluate.metric_summary(_fold_frame(spark, found), ["CategoryID", "ModelName"])
 
 
 def _search(spark, sf_dir):
@@ -190,13 +246,6 @@ def _final(spark, sf_dir):
         yield c, features, rows_, modeling.fit_final(rows_, features, modeling.boosted_trees, **params[c])
 
 
-def _union(frames):
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 @query("fit_final")
 def fit_final(spark, sf_dir):
     """One model per category on the whole regime, with the record of what it was trained on."""

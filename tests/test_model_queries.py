@@ -1,13 +1,16 @@
 """What the registered model queries ask of the library; the fits themselves are replaced."""
 import datetime as dt
+import os
 from types import SimpleNamespace
 
 import pytest
 
+from check_oracle import compare, duck
 from fareforge.operators import modeling
-from fareforge.plans import QUERIES
+from fareforge.plans import ORACLES, QUERIES
 from fareforge.plans import modeling as plans
 
+SF = "/root/testdata/sf0.01"
 DAY = dt.date(2000, 1, 1)
 WINDOWS = [SimpleNamespace(name=f"fold_{k}", split_type="cv", number=k) for k in (1, 2, 3, 4)]
 
@@ -57,3 +60,24 @@ def test_final_models_take_the_best_trial(spark, monkeypatch):
     monkeypatch.setattr(modeling, "fit_final", lambda df, features, build, **params: used.append(params))
     assert len(list(plans._final(spark, ""))) == 3
     assert used == trials[3:6]
+
+
+@pytest.mark.parametrize("name", ["fit_linear", "fit_ridge", "fit_lasso", "fit_random_forest", "fit_gbt"])
+def test_fits_cover_every_fold(spark, asked, name):
+    got = QUERIES[name](spark, "").collect()
+    assert {r.FoldName for r in got} == {w.name for w in WINDOWS}
+
+
+def test_cross_validation_runs_trees_too(spark, asked):
+    got = QUERIES["tscv_run"](spark, "").collect()
+    assert {r.ModelName for r in got} == {*modeling.BASELINES, *modeling.ADVANCED}
+    assert [(set(e), len(w), scale, rare) for e, w, scale, rare in asked] == [
+        (set(modeling.BASELINES), 4, True, 5), (set(modeling.ADVANCED), 4, False, 1)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
+@pytest.mark.parametrize("name", ["impute_train_only_folds", "standardize_folds", "one_hot_folds"])
+def test_preparation_of_every_fold_agrees_with_sql(spark, name):
+    message, *_ = compare(spark, duck(SF), name, QUERIES[name], ORACLES[name], SF)
+    assert message is None, message
+    assert {r.FoldNumber for r in QUERIES[name](spark, SF).select("FoldNumber").distinct().collect()} == {1, 2, 3, 4}
