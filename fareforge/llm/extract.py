@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 #: Pages to learn from, at most: those with the smallest digest of their id.
 SAMPLE = 200
 STEPS, RATE, PENALTY, SEED = 150, 0.2, 1e-3, 11
-#: Fixed values of HTML: elements that stand in running text, that have no end tag, whose text is never shown.
+#: Fixed values of HTML: elements that stand in running text, that have no end tag, that leave a head open,
+#: whose text is never shown.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike "
              "strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+HEAD = set("head html base link meta title style script noscript template basefont bgsound noframes".split())
 HIDDEN = {"head", "script", "style", "template", "noscript", "svg", "title", "iframe", "object"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -41,7 +43,8 @@ ROLES = {
 TAGS = {"menu": ["nav", "menu"], "header": ["header"], "footer": ["footer"], "sidebar": ["aside"], "form": ["form", "fieldset"]}
 CONTENT = "article main content post entry body story text page single"
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|title|iframe|object)\b.*?(?:</\1\s*>|\Z)"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(svg)(?=[\s/>])(?:[^>\"'/]|\"[^\"]*\"|'[^']*'|/(?!>))*+/>"
+                    r"|<(script|style|template|noscript|svg|title|iframe|object)(?=[\s/>]).*?(?:</\2\s*>|\Z)"
                     r"|<[a-zA-Z/!?](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|<[a-zA-Z/!?][^<>]*+>?|[^<]+|<", re.S | re.I)
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _LABEL = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
@@ -56,7 +59,9 @@ class Block:
 
 
 def leaf_blocks(page: str) -> list[Block]:
-    """Blocks of shown text in page order. Start and end tags of block elements end a block; end tags may be missing."""
+    """Blocks of shown text in page order. Start and end tags of block elements end a block; end tags may be missing.
+
+    A head without an end tag ends at the first text or element that it cannot hold."""
     blocks, stack, parts, linked, links = [], [], [], 0, 0
 
     def end():
@@ -72,18 +77,26 @@ def leaf_blocks(page: str) -> list[Block]:
         links -= sum(name == "a" for name, _ in stack[k:])
         del stack[k:]
 
+    def leave_head():
+        end()
+        close(len(stack) - 1)
+
     for token in _TOKEN.finditer(page):
         piece = token.group()
         if piece[0] != "<" or len(piece) == 1:
             shown = entities.unescape(piece) if "&" in piece else piece
+            if stack and stack[-1][0] == "head" and shown.strip():
+                leave_head()
             parts.append(shown)
             if links:
                 linked += len(shown)
             continue
         found = _NAME.match(piece)
-        if token.group(1) or not found:
+        name = found[1].lower() if found else ""
+        if found and piece[1] != "/" and name not in HEAD and stack and stack[-1][0] == "head":
+            leave_head()
+        if token.lastindex or not found:
             continue
-        name = found[1].lower()
         if name == "br":
             parts.append(" ")
             continue
