@@ -1,8 +1,8 @@
 """Benchmark decontamination by templates.
 
 Numbers, names and units become typed placeholders. Windows of placeholders and words of every document meet those of the
-benchmark in a hash join; windows on one diagonal are a quoted span. A span is a leak if it is long enough and its slots
-are consistent: equal values of the item stand for equal values of the document and different ones for different ones,
+benchmark in a hash join; windows on one diagonal are a quoted span. Windows also meet by their plain lower-case tokens, whatever
+they hold. A span is a leak if its windows of equal tokens are enough, or if it is long enough and its slots are consistent: equal values of the item stand for equal values of the document and different ones for different ones,
 which holds for verbatim and for re-parameterised questions.
 """
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .common import let, materialize
 
 WINDOW = 8
-#: A window needs so many words that are no placeholders; a span so many windows, or most of a short item's.
+#: A template window needs so many words that are no placeholders; a span so many windows, or most of a short item's.
 LEAST_WORDS, LEAST_WINDOWS, MOST_OF_ITEM = 4, 6, 0.8
 #: Benchmark windows are broadcast up to this size; above it both sides are shuffled by window.
 BROADCAST_BYTES, ROW_BYTES = 32 << 20, 32
@@ -46,22 +46,31 @@ def kinds(t: Column) -> Column:
 
 
 def _windows(text: Column) -> Column:
-    """(at, h) of every window of a text's template."""
-    def each(h: Column) -> Column:
-        roll = F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.struct(
-            i.alias("at"), F.xxhash64(*[h[i + k] for k in range(WINDOW)]).alias("h")))
-        return F.when(F.size(h) >= WINDOW, roll)
-    return let(tokens(text), lambda t: let(F.transform(kinds(t), lambda x: F.xxhash64(x)), each))
+    """(at, raw, h) of every window of a text: hashes of its tokens without marks and of its template."""
+    def each(z: Column) -> Column:
+        hashed = lambda c, i: F.xxhash64(*[z[c][i + k] for k in range(WINDOW)])
+        roll = F.transform(F.sequence(F.lit(0), F.size(z["h"]) - WINDOW), lambda i: F.struct(
+            i.alias("at"), hashed("raw", i).alias("raw"), hashed("h", i).alias("h")))
+        return F.when(F.size(z["h"]) >= WINDOW, roll)
+    return let(tokens(text), lambda t: let(F.struct(
+        F.transform(t, lambda x: F.xxhash64(F.translate(x, MARK, ""))).alias("raw"),
+        F.transform(kinds(t), lambda x: F.xxhash64(x)).alias("h")), each))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(h, item_id, place, windows of the item): windows with enough words of their own."""
+    """(h, item_id, place, literal, template, windows, templates): every window by its tokens and, with enough words of
+    its own, by its template; one row where both are the same. The last two count the places of the item."""
     each = benchmark.where("item_id is not null").select(
         "item_id", _windows(F.col("text")).alias("w"), kinds(tokens(F.col("text"))).alias("k"))
-    rows = each.select("item_id", "k", F.inline_outer("w")).where(
-        F.size(F.filter(F.slice("k", F.col("at") + 1, WINDOW), lambda x: ~x.isin(NUMBER, NAME, UNIT))) >= LEAST_WORDS)
-    rows = rows.select("h", "item_id", F.col("at").alias("place")).distinct()
-    sizes = rows.groupBy("item_id").agg(F.count_distinct("place").alias("windows"))
+    enough = F.size(F.filter(F.slice("k", F.col("at") + 1, WINDOW), lambda x: ~x.isin(NUMBER, NAME, UNIT))) >= LEAST_WORDS
+    rows = each.select("item_id", "k", F.inline_outer("w")).where("at is not null").select(
+        "item_id", F.col("at").alias("place"), F.inline(F.array(
+            F.struct(F.col("raw").alias("h"), F.lit(True).alias("literal"), F.lit(False).alias("template")),
+            F.struct(F.col("h"), F.lit(False).alias("literal"), enough.alias("template")))))
+    rows = rows.where("literal or template").groupBy("h", "item_id", "place").agg(
+        F.max("literal").alias("literal"), F.max("template").alias("template"))
+    sizes = rows.groupBy("item_id").agg(F.count_distinct("place").alias("windows"),
+                                        F.count_distinct(F.when(F.col("template"), F.col("place"))).alias("templates"))
     return rows.join(sizes, "item_id")
 
 
@@ -74,25 +83,36 @@ def slots(rows: DataFrame, key: str) -> DataFrame:
 
 
 def spans(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(doc_id, item_id, diagonal, n, windows, lo, hi): long enough runs of an item's windows in a document."""
+    """(doc_id, item_id, diagonal, n, lo, hi, literal): long enough runs of an item's windows in a document.
+
+    `n` counts the windows of either kind, `lo` and `hi` are the ends of those that match by template, and `literal` says
+    that the windows of equal tokens are enough by themselves.
+    """
     known = materialize(item_windows(benchmark), "windows")
     small = known.count() * ROW_BYTES <= broadcast_bytes
-    rolled = docs.select("doc_id", F.inline_outer(_windows(F.col("text"))))
+    each = docs.select("doc_id", F.inline_outer(_windows(F.col("text"))))
+    rolled = each.select("doc_id", "at", F.explode(F.when(F.col("raw") == F.col("h"), F.array("h")).otherwise(F.array("raw", "h"))).alias("h"))
     hits = rolled.join(F.broadcast(known) if small else known, "h")
-    once = hits.groupBy("doc_id", "item_id", "windows", (F.col("at") - F.col("place")).alias("diagonal"), "place").agg(F.lit(1).alias("_"))
-    found = once.groupBy("doc_id", "item_id", "windows", "diagonal").agg(
-        F.count(F.lit(1)).alias("n"), F.min("place").alias("lo"), (F.max("place") + WINDOW - 1).alias("hi"))
-    return found.where((F.col("n") >= LEAST_WINDOWS) | (F.col("n") >= MOST_OF_ITEM * F.col("windows")))
+    once = hits.groupBy("doc_id", "item_id", "windows", "templates", (F.col("at") - F.col("place")).alias("diagonal"), "place").agg(
+        F.max("literal").alias("literal"), F.max("template").alias("template"))
+    by_template = F.when(F.col("template"), F.col("place"))
+    found = once.groupBy("doc_id", "item_id", "windows", "templates", "diagonal").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("literal").alias("equal"), F.count_if("template").alias("alike"),
+        F.min(by_template).alias("lo"), (F.max(by_template) + WINDOW - 1).alias("hi"))
+    long = lambda n, windows: (F.col(n) >= LEAST_WINDOWS) | ((F.col(n) > 0) & (F.col(n) >= MOST_OF_ITEM * F.col(windows)))
+    return found.where(long("equal", "windows") | long("alike", "templates")).select(
+        "doc_id", "item_id", "diagonal", "n", "lo", "hi", long("equal", "windows").alias("literal"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(doc_id, n_windows, items): one row per document that quotes an item; items are ids in order, comma-joined.
 
-    Only spans over placeholders need the slot check; their documents alone are cut into tokens again.
+    Only spans over placeholders that are not literal quotes need the slot check; their documents alone are cut into
+    tokens again.
     """
     found = materialize(spans(docs, benchmark, broadcast_bytes), "spans")
     held = materialize(slots(benchmark, "item_id").withColumnsRenamed({"at": "place", "value": "own"}), "slots")
-    asked = found.join(held, "item_id").where(F.col("place").between(F.col("lo"), F.col("hi"))).select(
+    asked = found.where("not literal").join(held, "item_id").where(F.col("place").between(F.col("lo"), F.col("hi"))).select(
         "doc_id", "item_id", "diagonal", "kind", "own", (F.col("diagonal") + F.col("place")).alias("at"))
     asked = materialize(asked, "asked")
     ids = asked.select(F.col("doc_id").alias("_id")).distinct()
