@@ -28,6 +28,8 @@ SKETCH_BITS, SALTS = 512, (21, 22)
 SMALL, HOT = 24, 4096
 #: Rounds of so many proposals per row before the remaining open pairs are listed in full.
 ROUNDS, PROPOSALS = 4, 6
+#: Rows of a block of a run, about; a task meets two blocks at a time and sends pairs on in parts of about that many.
+BLOCK, PART = 1024, 1 << 20
 
 
 def prefix_length(n: int) -> int:
@@ -190,20 +192,50 @@ def from_runs(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, PAIRS)
 
 
+def dealt(rows: DataFrame, turn: int | None, block: int = BLOCK) -> DataFrame:
+    """Rows (token, band, node, component, ..) with a, b and part: the two blocks of a run that meet and the row's own.
+
+    A run of (token, band) is cut into blocks of about `block` rows. Without a turn every two blocks meet once, those of
+    the run's largest component only with the others. In a numbered turn each block stays by itself, and the blocks change
+    with the turn. Runs of one component are left out.
+    """
+    sizes = rows.groupBy("token", "band", "component").agg(F.count(F.lit(1)).alias("n"))
+    runs = sizes.groupBy("token", "band").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    runs = runs.where("kinds > 1").select("token", "band", F.col("top.component").alias("_top"), F.col("top.n").alias("_most"), "all")
+    blocks = lambda n: F.ceil(n / F.lit(block))
+    met = rows.join(runs, ["token", "band"])
+    if turn is not None:
+        alone = F.pmod(F.xxhash64("node", F.lit(turn)), blocks(F.col("all")))
+        out = met.withColumns({"a": alone, "b": alone, "part": alone})
+    else:
+        others, largest = blocks(F.col("all") - F.col("_most")), blocks(F.col("_most"))
+        top = F.col("component") == F.col("_top")
+        h = F.xxhash64("node", F.lit(-1))
+        part = F.when(top, others + F.pmod(h, largest)).otherwise(F.pmod(h, others))
+        last = F.when(top, others).otherwise(others + largest) - 1
+        out = met.withColumn("part", part).withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        out = out.withColumns({"a": F.least("part", "_with"), "b": F.greatest("part", "_with")})
+    return out.select(*rows.columns, "a", "b", "part")
+
+
 def across(rows: DataFrame, turn: int | None) -> DataFrame:
-    """(u, v, shared): pairs of different components among rows (token, band, own, node, n, pos, component), run by run.
+    """(u, v, shared): pairs of different components among rows (token, band, own, node, n, pos, component, a, b, part),
+    by two blocks of a run at a time.
 
     In a numbered turn each row proposes a few partners per run, the most alike in size and place and others that change
     with the turn; without a number it proposes all of them.
     """
+    keys = ["token", "band", "a", "b"]
+
     def run(batches):
         held = None
         for b in batches:
             x = b if held is None else pd.concat([held, b], ignore_index=True)
             if not len(x):
                 continue
-            t, band = x["token"].to_numpy(), x["band"].to_numpy()
-            start = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (band[1:] != band[:-1])]))
+            k = x[keys].to_numpy()
+            start = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]).any(axis=1)]))
             held, done = x.iloc[start[-1]:], x.iloc[:start[-1]]
             if len(done):
                 yield from pairs(done, start)
@@ -211,13 +243,14 @@ def across(rows: DataFrame, turn: int | None) -> DataFrame:
             yield from pairs(held, np.array([0, len(held)]))
 
     def pairs(x, start):
-        token, own, node, n, pos, comp = (x[c].to_numpy() for c in ("token", "own", "node", "n", "pos", "component"))
-        us, vs = [], []
+        token, own, node, n, pos, comp, part = (x[c].to_numpy() for c in ("token", "own", "node", "n", "pos", "component", "part"))
+        one = (x["a"] == x["b"]).to_numpy()
+        us, vs, held = [], [], 0
         for lo, hi in zip(start[:-1], start[1:]):
             c = comp[lo:hi]
             names, count = np.unique(c, return_counts=True)
             for i in lo + np.flatnonzero(c != names[count.argmax()]):
-                j = lo + np.flatnonzero((c != comp[i]) & (own[i] | own[lo:hi]))
+                j = lo + np.flatnonzero((c != comp[i]) & (own[i] | own[lo:hi]) & (one[i] | (part[lo:hi] != part[i])))
                 j = j[may_link(n[i], pos[i], n[j], pos[j])]
                 if turn is not None and len(j) > 1:
                     near = np.abs(n[j] - n[i]) + np.abs(pos[j] - pos[i])
@@ -225,6 +258,10 @@ def across(rows: DataFrame, turn: int | None) -> DataFrame:
                     j = j[np.unique([near.argmin(), *other])]
                 us.append(np.full(len(j), node[i]))
                 vs.append(node[j])
+                held += len(j)
+                if held >= PART:
+                    yield _pairs_frame(np.concatenate(us), np.concatenate(vs))[["u", "v", "shared"]]
+                    us, vs, held = [], [], 0
         if us and sum(map(len, us)):
             yield _pairs_frame(np.concatenate(us), np.concatenate(vs))[["u", "v", "shared"]]
 
@@ -334,7 +371,8 @@ def join(docs: DataFrame) -> DataFrame:
         rows = now.join(several, "token", "left_semi").withColumn("band", band)
         spread = rows.withColumn("own", F.lit(True)).unionByName(rows.withColumns({"band": F.col("band") + 1, "own": F.lit(False)}))
         with arrow_rows(spark, 20_000):
-            pairs = materialize(across(spread.repartition("token", "band").sortWithinPartitions("token", "band", "n", "node"), turn), "late")
+            met = dealt(spread, turn).repartition("token", "band", "a", "b").sortWithinPartitions("token", "band", "a", "b", "n", "node")
+            pairs = materialize(across(met, turn), "late")
         return sifted(pairs, nodes).join(tried, ["u", "v"], "left_anti")
 
     # nodes of frequent shingles propose a few partners a round, so open pairs fall as components grow; then all that is left
