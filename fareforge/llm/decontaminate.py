@@ -145,6 +145,12 @@ def check(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs whose document quotes no benchmark item, with all their columns."""
-    found = materialize(leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")), "leaks")
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_leak")), "left_anti")
+    """The rows of docs whose document quotes no benchmark item, with all their columns.
+
+    Rows that share an id are one document; every row without an id is one of its own, told by a row number.
+    """
+    named = docs.where("doc_id is not null").withColumn("_doc", F.concat(F.lit("id "), F.col("doc_id").cast("string")))
+    numbered = docs.where("doc_id is null").withColumn("_doc", F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
+    every = named.unionByName(materialize(numbered, "unnamed"))
+    found = leaks(every.select(F.col("_doc").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_doc"))
+    return every.join(materialize(found, "leaks"), "_doc", "left_anti").select(*docs.columns)

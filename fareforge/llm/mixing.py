@@ -52,13 +52,13 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES) -
 def mix_order(docs: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed: str = "mix") -> DataFrame:
     """The rows of docs once per possible sending, with source_size, target, pass and finish.
 
-    `docs` has doc_id, source and size. The order inside a source is that of a salted digest of id and size; its first
+    `docs` has doc_id, source, size and the row number _row. The order inside a source is that of a salted digest of id and size; its first
     digits split a source, however large, into buckets for the running total.
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"), F.col("size").cast("string")))
     named = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
     shuffled = docs.withColumns({"_key": key, "_source": named})
-    queued = running_before(shuffled, ["_source"], ["_key", "doc_id", "size"], {"_sent": F.col("size")},
+    queued = running_before(shuffled, ["_source"], ["_key", "doc_id", "size", "_row"], {"_sent": F.col("size")},
                             [F.substring("_key", 1, 2), F.substring("_key", 3, 2)]).drop("_source")
     targets = source_targets(docs, weights, most).withColumnRenamed("source", "_of")
     held = queued.join(targets, F.col("source").eqNullSafe(F.col("_of")), "left").drop("_of")
@@ -74,7 +74,7 @@ def cut_at_budget(order: DataFrame, budget: int) -> DataFrame:
     so ranges of one width hold about equal numbers of words whatever the sources are; only the totals of ranges meet.
     """
     ranges = [F.floor(F.col("finish") * w) for w in RANGES]
-    done = running_before(order.withColumn("_all", F.lit(1)), ["_all"], ["finish", "_key", "doc_id", "pass"],
+    done = running_before(order.withColumn("_all", F.lit(1)), ["_all"], ["finish", "_key", "doc_id", "_row", "pass"],
                           {"_before": F.col("size")}, ranges)
     return done.where(F.col("_before") + F.col("size") <= budget).drop("_all", "_before", "_key")
 
@@ -85,24 +85,27 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed: str = "
     Null and blank texts have size 0 and nothing is taken from them; a source without words has target 0. Rows that
     repeat an id are documents of their own. Other columns are ignored. An empty table gives an empty result.
     """
-    sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                                    F.monotonically_increasing_id().alias("_row")), "sizes")
+    return _mixed(docs.withColumn("_row", F.monotonically_increasing_id()), weights, most, seed).drop("_row")
+
+
+def _mixed(numbered: DataFrame, weights, most: int, seed: str) -> DataFrame:
+    """The result of mix with the row number of its rows."""
+    sized = materialize(numbered.select("doc_id", "source", word_count(F.col("text")).alias("size"), "_row"), "sizes")
     budget = sized.agg(F.sum("size").alias("words")).first().words or 0
     chosen = cut_at_budget(mix_order(sized, weights, most, seed), budget)
     taken = chosen.groupBy("_row").agg(F.sum("size").alias("taken"))
     targets = source_targets(sized, weights, most).withColumnRenamed("source", "_of")
     return (sized.join(targets, F.col("source").eqNullSafe(F.col("_of")), "left").join(taken, "_row", "left")
-            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+            .select("_row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
 def mixed_rows(docs: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed: str = "mix") -> DataFrame:
     """The rows of docs as the mix sends them: whole, in no order, those that the mix takes twice twice.
 
-    The columns are those of docs. Rows that share an id are taken as often as the mix takes all of them together,
-    spread over them from the first text on.
+    The columns are those of docs. Rows that share an id, and rows without one, are each taken as often as the mix takes
+    that row. The input is written once with a row number, by which the takes come back to the rows.
     """
-    takes = mix(docs, weights, most, seed).where("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(
-        F.sum(F.expr("taken div size")).alias("_times"))
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    takes = _mixed(numbered, weights, most, seed).where("taken > 0").select("_row", F.expr("taken div size").alias("_times"))
     times = F.expr("explode(sequence(1L, _times))")
-    held = docs.join(takes, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return held.withColumn("_pass", times).select(*[docs[c] for c in docs.columns])
+    return numbered.join(takes, "_row").withColumn("_pass", times).select(*docs.columns)
