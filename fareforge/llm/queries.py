@@ -1,5 +1,6 @@
 """One query per operator over its whole table, with the SQL it must agree with where SQL can say it."""
-from . import decontaminate, extract, host_rules, jaccard, language, license, mixing, quality, token_store, warc
+from . import (alignment, decontaminate, extract, host_rules, jaccard, language, license, mixing, negatives, packing, quality,
+               token_store, warc)
 from .common import table
 
 QUERIES: dict = {}
@@ -118,3 +119,21 @@ def op5_decontaminate(spark, sf_dir):
 @query()
 def op10_jaccard(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_alignment(spark, sf_dir):
+    import public_tokenizers
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+@query(negatives.mine_sql())
+def op12_negatives(spark, sf_dir):
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_packing(spark, sf_dir):
+    import public_tokenizers
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
