@@ -17,22 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .wordwise import LONGEST_REMEMBERED, REMEMBERED, ByteEncoder, cut, per_worker
+from .wordwise import LONGEST_REMEMBERED, ByteEncoder, byte_of_sign, cut, per_worker
 
 #: Entries of a block: distinct pairs and identities summed over its documents, about.
 BLOCK = 1 << 20
+#: Parts kept per worker and generation; each holds its groups and pairs.
+REMEMBERED = 150_000
 #: Fixed value: how byte pieces of the B file are written.
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 PROBE = "a  b ｆ ﬁ\tC"
 
 
-def byte_of_sign() -> dict[str, int]:
-    """Byte-level vocabularies write printable Latin-1 signs as themselves and other bytes as signs from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 class Pair:
     """Both tokenizers, the bytes of their tokens and the identity map, with what is known of parts of texts."""
 
@@ -60,21 +55,23 @@ class Pair:
         # B joins nothing across a blank if no piece has one inside, and if it leaves texts as they are
         inside = any("▁" in p.lstrip("▁") for p in pieces)
         self.apart = self.a.apart and not inside and self.b.normalize(PROBE) == "▁" + PROBE.replace(" ", "▁")
-        self.known: dict[str, tuple] = {}
+        self.known, self.older = {}, {}
 
-    def look_up(self, parts: list[str]) -> dict[str, tuple | None]:
-        """For parts that begin with a blank: (counts, groups as text, pair codes); None where a side has other bytes.
+    def look_up(self, words: list[str]) -> dict[str, tuple | None]:
+        """For words after a blank: (counts, groups as text, pair codes); None where a side has other bytes.
 
         counts packs n_a, n_b, n_groups; a code is a * n_b + b of a linked pair, or -1 - a for an identity.
         """
-        a_ids = [np.frombuffer(x, self.a.kind).astype(np.int64) for x in self.a.whole(parts)]
-        b_ids = [np.array(x, np.int64) for x in self.b.encode([p[1:] for p in parts], num_threads=1)]
+        parts = [" " + w for w in words]
+        a_ids = [self.a.part(p) for p in parts] if self.apart else self.a.whole(parts)
+        a_ids = [np.frombuffer(x, self.a.kind).astype(np.int64) for x in a_ids]
+        b_ids = [np.array(x, np.int64) for x in self.b.encode(words, num_threads=1)]
         out: dict[str, tuple | None] = {}
         good = []
         for k, part in enumerate(parts):
             raw = part.encode("utf-8", "surrogatepass")
             ok = b"".join([self.b_bytes[i] for i in b_ids[k].tolist()]) == raw and b"".join([self.a_bytes[i] for i in a_ids[k].tolist()]) == raw
-            out[part] = None
+            out[words[k]] = None
             if ok and len(a_ids[k]):
                 good.append(k)
         if not good:
@@ -102,26 +99,23 @@ class Pair:
         from_link = from_group = 0
         for k, link, group in zip(good, link_end.tolist(), groups_until.tolist()):
             counts = np.array([len(a_ids[k]), len(b_ids[k]), group - from_group], np.int64).tobytes()
-            out[parts[k]] = (counts, ";".join(written[from_group:group]).encode(), codes[from_link:link].tobytes())
+            out[words[k]] = (counts, ";".join(written[from_group:group]).encode(), codes[from_link:link].tobytes())
             from_link, from_group = link, group
         return out
 
     def documents(self, texts: list[str]) -> list[tuple | None]:
         """(n_a, n_b, n_groups, groups as bytes, codes) of each text; None where it has no tokens."""
-        parts = []
-        for t in texts:
-            spaced = " " + t
-            own = cut(spaced) if self.apart else [spaced]
-            if own and not own[0]:  # an even text: the blank in front has been cut at
-                own = own[1:]
-            parts.append([x if i == 0 and x.startswith(" ") else " " + x for i, x in enumerate(own)])
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        words = [cut(t) if self.apart else [t] for t in texts]
         known = self.known
-        found = self.look_up(list({x for p, t in zip(parts, texts) if t for x in p if x not in known}))
+        new = {x for p, t in zip(words, texts) if t for x in p} - known.keys()
+        if len(known) > REMEMBERED:
+            self.older, self.known, known = known, {}, {}
+            new = {x for p, t in zip(words, texts) if t for x in p}
+        found = {x: self.older[x] for x in new if x in self.older}
+        found |= self.look_up(list(new - found.keys()))
         known.update((x, v) for x, v in found.items() if len(x) <= LONGEST_REMEMBERED)
         out = []
-        for p, t in zip(parts, texts):
+        for p, t in zip(words, texts):
             each = [known[x] if x in known else found[x] for x in p] if t else [None]
             if None in each:
                 out.append(None)
