@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import add_temporal_features
 from ..functions.quantiles import group_quantiles
-from ..functions.running import first_per_key, running_before, time_levels
+from ..functions.running import first_per_key, prefix_scan
 from ..functions.scalar import all_present, count_if, pct, rows
 
 RIDE_HISTORY = ["UserPriorRideCount", "UserPriorPaidPriceMean"]
@@ -89,10 +89,8 @@ def user_history(rides: DataFrame) -> DataFrame:
     Unpaid rides count as rides but not in the mean.
     """
     paid = F.when(F.col("RidePrice") > 0, F.col("RidePrice"))
-    out = running_before(
-        rides, ["UserID"], ["Create", "RideID"],
-        {"UserPriorRideCount": F.lit(1), "_paid": paid, "_paid_n": paid.isNotNull().cast("int")},
-        time_levels("Create", "RideID"))
+    out = prefix_scan(rides, ["UserID"], ["Create", "RideID"],
+                      {"UserPriorRideCount": F.lit(1), "_paid": paid, "_paid_n": paid.isNotNull().cast("int")})
     mean = F.when(F.col("_paid_n") > 0, F.col("_paid") / F.col("_paid_n"))
     return out.withColumn("UserPriorPaidPriceMean", mean).drop("_paid", "_paid_n")
 
@@ -105,9 +103,8 @@ def category_base(df: DataFrame) -> DataFrame:
 
 def user_category_history(pairs: DataFrame) -> DataFrame:
     """Per (ride, category): the user's earlier rides in that category and their mean price by row count."""
-    out = running_before(
-        pairs, ["UserID", "CategoryID"], ["Create", "RideID", "RideEstimativeID"],
-        {"UserPriorCategoryRideCount": F.lit(1), "_price": F.col("Price")}, time_levels("Create", "RideID"))
+    out = prefix_scan(pairs, ["UserID", "CategoryID"], ["Create", "RideID", "RideEstimativeID"],
+                      {"UserPriorCategoryRideCount": F.lit(1), "_price": F.col("Price")})
     n = F.col("UserPriorCategoryRideCount")
     return out.withColumn("UserPriorCategoryPriceMean", F.when(n > 0, F.col("_price") / n)).drop("_price")
 

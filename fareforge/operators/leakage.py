@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.running import first_per_key, running_before, time_levels
+from ..functions.running import prefix_scan
 from ..functions.scalar import all_present, count_if, pct, rows
 from .checks import broken
 from .history import price_column
@@ -44,17 +44,14 @@ def fold_totals(checks: DataFrame) -> DataFrame:
         F.sum("ride_overlap").alias("ride_overlap_total"), F.sum("index_overlap").alias("index_overlap_total"))
 
 
-def _varying(df: DataFrame, keys: list[str], column: str):
-    """Keys whose column takes more than one value: min and max instead of distinct values."""
-    spread = df.groupBy(*keys).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    return spread.agg(count_if(F.col("lo") < F.col("hi"))).scalar()
-
-
-def _mismatches(df: DataFrame, keys: list[str], user: list[str], order: list, stored: str):
-    base = first_per_key(df.select(*dict.fromkeys([*keys, *user, "Create", "RideID", "RideEstimativeID", stored])),
-                         keys, ["Create", "RideEstimativeID"])
-    again = running_before(base, user, order, {"_again": F.lit(1)}, time_levels("Create", "RideID"))
-    return again.agg(count_if(F.col("_again") != F.col(stored))).scalar()
+def _recounted(df: DataFrame, keys: list[str], user: list[str], order: list, stored: str):
+    """(keys whose stored count varies, keys whose count differs from a new one), from one grouping of the rows by key."""
+    wanted = dict.fromkeys([*user, "Create", "RideID", "RideEstimativeID", stored])
+    first = F.min_by(F.struct(*[c for c in wanted if c not in keys]), F.struct("Create", "RideEstimativeID"))
+    base = df.groupBy(*keys).agg(first.alias("_f"), F.min(stored).alias("_lo"), F.max(stored).alias("_hi"))
+    flat = base.select(*keys, *[F.col(f"_f.{c}").alias(c) for c in wanted if c not in keys], "_lo", "_hi")
+    again = prefix_scan(flat, user, order, {"_again": F.lit(1)})
+    return again.agg(F.struct(count_if(F.col("_lo") < F.col("_hi")).alias("varying"), count_if(F.col("_again") != F.col(stored)).alias("wrong"))).scalar()
 
 
 def history_consistency(df: DataFrame) -> DataFrame:
@@ -67,16 +64,12 @@ def history_consistency(df: DataFrame) -> DataFrame:
         .alias("rows_with_prior_category_count_and_null_mean"),
         count_if((n > 0) & F.col("UserPriorPaidPriceMean").isNull())
         .alias("rows_with_prior_ride_count_and_null_paid_mean"))
-    full = one.withColumns({
-        "ride_level_prior_count_inconsistencies": _varying(df, ["RideID"], "UserPriorRideCount"),
-        "category_level_prior_count_inconsistencies":
-            _varying(df, ["RideID", "CategoryID"], "UserPriorCategoryRideCount"),
-        "prior_ride_count_mismatch_rows": _mismatches(
-            df, ["RideID"], ["UserID"], ["Create", "RideID"], "UserPriorRideCount"),
-        "prior_category_count_mismatch_rows": _mismatches(
-            df, ["RideID", "CategoryID"], ["UserID", "CategoryID"], ["Create", "RideID", "RideEstimativeID"],
-            "UserPriorCategoryRideCount"),
-    })
+    rides = _recounted(df, ["RideID"], ["UserID"], ["Create", "RideID"], "UserPriorRideCount")
+    pairs = _recounted(df, ["RideID", "CategoryID"], ["UserID", "CategoryID"], ["Create", "RideID", "RideEstimativeID"],
+                       "UserPriorCategoryRideCount")
+    full = one.withColumns({"_r": rides, "_c": pairs}).withColumns({
+        "ride_level_prior_count_inconsistencies": F.col("_r.varying"), "category_level_prior_count_inconsistencies": F.col("_c.varying"),
+        "prior_ride_count_mismatch_rows": F.col("_r.wrong"), "prior_category_count_mismatch_rows": F.col("_c.wrong")}).drop("_r", "_c")
     return full.unpivot([], full.columns, "metric", "value")
 
 

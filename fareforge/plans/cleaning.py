@@ -142,7 +142,8 @@ SELECT RideEstimativeID, RideID, CategoryID, UserID, "Create", {rnd('Price')} AS
        {rnd('WaitingTime')} AS WaitingTime, {rnd('Fee')} AS Fee, FareID, FareIDWasImputed, WaitingTimeWasImputed,
        FeeWasImputed, WaitingTimeWasCapped, PriceWasCapped FROM vc""")
 def curate(spark, sf_dir):
-    out = v.curated(spark, sf_dir).select(*CURATED_COLUMNS)
+    """The whole sequence: coercion first, the rules, imputation and caps, and the columns that leak or are sparse last."""
+    out = clean.curate(v.analytical(spark, sf_dir), v.COORDINATES, v.DEDUP_KEY, v.DEDUP_ORDER, v.MEDIANS, v.priced(spark, sf_dir)).select(*CURATED_COLUMNS)
     return out.withColumns({c: rounded(F.col(c)) for c in ("Price", "WaitingTime", "Fee")})
 
 

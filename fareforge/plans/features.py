@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.running import running_before, time_levels
+from ..functions.running import prefix_scan
 from ..functions.scalar import rounded
 from ..operators import history, leakage
 from ..session import materialize
@@ -18,8 +18,7 @@ HISTORY_COLUMNS = ["RideEstimativeID", "RideID", "CategoryID", "UserID", "Create
 SELECT RideID, UserID, {big('row_number() OVER (PARTITION BY UserID ORDER BY "Create", RideID) - 1')} AS UserPriorRideCount FROM vr""")
 def user_prior_ride_count(spark, sf_dir):
     rides = v.rides(spark, sf_dir).select("RideID", "UserID", "Create")
-    out = running_before(rides, ["UserID"], ["Create", "RideID"], {"UserPriorRideCount": F.lit(1)},
-                         time_levels("Create", "RideID"))
+    out = prefix_scan(rides, ["UserID"], ["Create", "RideID"], {"UserPriorRideCount": F.lit(1)})
     return out.select("RideID", "UserID", "UserPriorRideCount")
 
 

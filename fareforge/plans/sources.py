@@ -1,8 +1,9 @@
 """Scans and sinks."""
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import count_if, rounded, rows
-from ..operators import joins
+from ..operators import history, joins
 from ..operators.profiling import base_profile, null_profile
 from ..session import scratch_path
 from ..sources import delimited, layers
@@ -54,7 +55,9 @@ def scan_projection(spark, sf_dir):
 
 
 def _event_layer(spark, sf_dir):
-    return layers.write_layer(v.clock(spark, sf_dir), scratch_path(spark, "events"))
+    path = scratch_path(spark, "events")
+    layers.write_layer(v.clock(spark, sf_dir), path)
+    return path
 
 
 @query("scan_partition_filter", """
@@ -74,7 +77,8 @@ def scan_in_filter(spark, sf_dir):
 SELECT CategoryID, count(*) AS rows, {rnd('sum(Price)', 2)} AS total_price, min(RideEstimativeID) AS first_id
 FROM va GROUP BY 1""")
 def partitioned_roundtrip(spark, sf_dir):
-    path = layers.write_layer(v.analytical(spark, sf_dir), scratch_path(spark, "analytical"))
+    path = scratch_path(spark, "analytical")
+    layers.write_layer(v.analytical(spark, sf_dir), path)
     return layers.read_layer(spark, path, ["CategoryID", "Price", "RideEstimativeID"]).groupBy("CategoryID").agg(
         rows().alias("rows"), rounded(F.sum("Price"), 2).alias("total_price"),
         F.min("RideEstimativeID").alias("first_id"))
@@ -85,15 +89,44 @@ SELECT CategoryID, count(*) AS rows, min("Create") AS min_time, max("Create") AS
        {rnd('sum(Price)', 2)} AS total_price
 FROM va WHERE CategoryID IN ('ECONOMY', 'STANDARD', 'PROMO') GROUP BY 1""")
 def export_category(spark, sf_dir):
+    """All categories by one job over one evaluation of the source."""
     root = scratch_path(spark, "export")
     source = v.analytical(spark, sf_dir).select("CategoryID", "Create", "RideID", "RideEstimativeID", "Price")
-    for category in v.TARGETS:
-        layers.export_category(source, root, category, ["Create", "RideID", "RideEstimativeID"])
+    layers.export_final(source, root, v.TARGETS, ["Create", "RideID", "RideEstimativeID"])
     return spark.read.parquet(root).groupBy("CategoryID").agg(
         rows().alias("rows"), F.min("Create").alias("min_time"), F.max("Create").alias("max_time"),
         rounded(F.sum("Price"), 2).alias("total_price"))
 
 
+@query("export_final", f"""
+SELECT CategoryID, count(*) AS rows, {big('count(*) FILTER (WHERE Price > 0)')} AS positive_target, min("Create") AS min_time,
+       max("Create") AS max_time, {rnd('sum(Price)', 2)} AS total_price, {big('count(DISTINCT RideEstimativeID)')} AS ids,
+       {big('0')} AS files_out_of_order, {big("count(CASE WHEN CategoryID = 'ECONOMY' THEN NULL ELSE Price_ECONOMY END)")} AS auxiliary_prices
+FROM (SELECT vc.*, xp.Price_ECONOMY FROM vc LEFT JOIN xp USING (RideID)) WHERE CategoryID IN ('ECONOMY', 'STANDARD', 'PROMO') GROUP BY 1""")
+def export_final(spark, sf_dir):
+    """Contracts, leakage-safe columns and one sorted job, read back with the order of its files."""
+    base = v.curated_layer(spark, sf_dir, ["RideEstimativeID", "RideID", "CategoryID", "Create", "Price"])
+    own = {p: f"Price_{p}" for p in v.TARGETS}
+    wide = history.attach_cross_prices(base, history.cross_prices(base, v.TARGETS, "CategoryID"))
+    safe = wide.withColumns({c: F.when(F.col("CategoryID") != p, F.col(c)) for p, c in own.items()})
+    root = scratch_path(spark, "final")
+    seen = layers.export_final(safe, root, v.TARGETS, ["Create", "RideID", "RideEstimativeID"], own)
+    back = spark.read.parquet(root)
+    observed = spark.createDataFrame([(c, n["rows"], n["positive"]) for c, n in seen.items()], "CategoryID string, rows bigint, positive_target bigint")
+    return observed.join(export_order(back, ["Create", "RideID", "RideEstimativeID"]), "CategoryID").join(back.groupBy("CategoryID").agg(
+        F.min("Create").alias("min_time"), F.max("Create").alias("max_time"), rounded(F.sum("Price"), 2).alias("total_price"),
+        F.count_distinct("RideEstimativeID").alias("ids"), F.count("Price_ECONOMY").alias("auxiliary_prices")), "CategoryID")
+
+
+def export_order(back, order):
+    """Per category the files whose first row does not come after the last row of the file before."""
+    key = F.struct(*order)
+    files = back.groupBy("CategoryID", F.input_file_name().alias("file")).agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    before = F.lag("last").over(Window.partitionBy("CategoryID").orderBy("file"))
+    return files.withColumn("wrong", F.coalesce(F.col("first") <= before, F.lit(False))).groupBy("CategoryID").agg(
+        F.count_if("wrong").alias("files_out_of_order"))
+
+
 @query("metrics_csv_roundtrip", f"""
 SELECT CategoryID, count(*) AS rows, {rnd('avg(Price)')} AS mean_price, min("Create") AS min_time
 FROM va GROUP BY 1""")
@@ -121,9 +154,10 @@ def profile_report_json(spark, sf_dir):
 @query("write_reconciliation", """
 SELECT count(*) AS source_rows, count(*) AS written_rows, true AS reconciled FROM va""")
 def write_reconciliation(spark, sf_dir):
-    source = v.analytical(spark, sf_dir)
-    path = layers.write_layer(source, scratch_path(spark, "reconciled"))
-    return layers.reconcile(source, spark.read.parquet(path))
+    """Rows as the writing tasks saw them against rows on storage; the source is evaluated once."""
+    path = scratch_path(spark, "reconciled")
+    seen = layers.write_layer(v.analytical(spark, sf_dir), path)
+    return layers.reconcile(seen["rows"], spark.read.parquet(path))
 
 
 @query("partition_row_counts", """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fareforge.functions import calendar, scalar
 from fareforge.functions.bounded import lookup_join
 from fareforge.functions.quantiles import group_quantiles
-from fareforge.functions.running import first_per_key, running_before, time_levels
+from fareforge.functions.running import first_per_key, prefix_scan, running_before, time_levels
 
 
 def pdf(df, *order):
@@ -123,3 +123,34 @@ def test_calendar_columns(spark):
     row = calendar.add_temporal_features(df, ["Create"]).first()
     assert (row.CreateHour, row.CreateDayOfWeek, row.CreateDayOfWeekName, row.CreateMonth, row.CreateQuarter,
             row.CreateIsHolidayBR, row.CreateDayPeriod) == (18, 1, "terca", 11, 4, True, "noite")
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_prefix_scan_matches_brute_force(spark, parts):
+    """One user holds most rows, many of them at one moment, so its rows lie in many ranges."""
+    rows = [(i, "hot" if i % 5 else f"u{i % 7}", f"k{i % 2}", 1000 + (i * 37 % 11 if i % 3 else 5), None if i % 6 == 0 else (i % 13) / 10 - 0.35)
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, user string, kind string, ts int, v double").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        for keys in (["user"], ["user", "kind"]):
+            out = prefix_scan(df, keys, ["ts", "id"], {"n": F.lit(1), "s": F.col("v"), "m": F.col("v").isNotNull().cast("int")}).collect()
+            assert len(out) == len(rows)
+            for r in out:
+                earlier = [x for x in rows if (x[3], x[0]) < (r.ts, r.id) and all(x[{"user": 1, "kind": 2}[k]] == r[k] for k in keys)]
+                assert (r.n, r.m) == (len(earlier), sum(x[4] is not None for x in earlier))
+                assert abs(r.s - sum(x[4] or 0 for x in earlier)) < 1e-9
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_prefix_scan_of_nothing_and_null_keys(spark):
+    empty = spark.createDataFrame([], "user string, ts int")
+    assert prefix_scan(empty, ["user"], ["ts"], {"n": F.lit(1)}).collect() == []
+    with pytest.raises(Exception, match="null key"):
+        prefix_scan(spark.createDataFrame([(None, 1)], "user string, ts int"), ["user"], ["ts"], {"n": F.lit(1)}).collect()

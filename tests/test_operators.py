@@ -1,4 +1,6 @@
+import datetime as dt
 import math
+import os
 
 import numpy as np
 import pandas as pd
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fareforge import fixed
 from fareforge.operators import checks, clean, correlation, evaluate, history, joins, leakage, profiling, sampling, target, temporal
+from fareforge.operators.checks import ContractError
 from fareforge.session import scratch_path
 from fareforge.sources import delimited, layers
 
@@ -34,10 +37,52 @@ def test_source_readers(spark, tmp_path):
 
 def test_layer_round_trip_and_reconciliation(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 2).otherwise(F.col("id") % 7).alias("CategoryID"))
-    back = layers.write_reconciled(df, scratch_path(spark, "t"))
-    assert back.count() == 1000
-    plan = layers.read_layer(spark, layers.write_layer(df, scratch_path(spark, "t")), ["id"], [2])
-    assert plan.count() == df.where("CategoryID = 2").count()
+    calls = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for b in batches:
+            calls.add(len(b))
+            yield b
+    back, seen = layers.write_reconciled(df.mapInPandas(once, df.schema), scratch_path(spark, "t"), observed={"twos": F.count_if(F.col("CategoryID") == 2)})
+    assert back.count() == 1000 and calls.value == 1000  # the source is evaluated once
+    assert seen == {"rows": 1000, "twos": df.where("CategoryID = 2").count()}
+    path = scratch_path(spark, "t")
+    layers.write_layer(df, path)
+    assert layers.read_layer(spark, path, ["id"], [2]).count() == seen["twos"]
+    assert not layers.reconcile(999, back).first().reconciled
+
+
+def exported(spark, rows):
+    schema = "RideID long, CategoryID string, Create timestamp_ntz, Price double, Price_A double, Price_B double"
+    return spark.createDataFrame(rows, schema).repartition(4)
+
+
+def test_final_export_is_sorted_and_observed(spark):
+    day = lambda i: dt.datetime(2021, 1, 1) + dt.timedelta(hours=i * 7 % 500)
+    rows = [(i, "AB"[i % 2], day(i), float(i % 9), None if i % 2 == 0 else 1.0, None if i % 2 else 2.0) for i in range(700)] + [(9, "C", day(1), 1.0, None, None)]
+    path = scratch_path(spark, "final")
+    seen = layers.export_final(exported(spark, rows), path, ["A", "B"], ["Create", "RideID"], {"A": "Price_A", "B": "Price_B"})
+    assert seen["A"] == {"rows": 350, "positive": sum(r[3] > 0 for r in rows[:700:2]), "first": day(0), "last": max(r[2] for r in rows[:700:2])}
+    for c in "AB":
+        found = []
+        for name in sorted(os.listdir(f"{path}/CategoryID={c}")):
+            if name.startswith("part-"):
+                found += [(r.Create, r.RideID) for r in spark.read.parquet(f"{path}/CategoryID={c}/{name}").coalesce(1).collect()]
+        assert found == sorted((r[2], r[0]) for r in rows if r[1] == c)
+
+
+@pytest.mark.parametrize("row,message", [
+    ((1, "A", None, 1.0, None, 2.0), "null Create"), ((1, "A", dt.datetime(2021, 1, 1), None, None, 2.0), "null Price"),
+    ((1, "A", dt.datetime(2021, 1, 1), 1.0, 5.0, 2.0), "own price left")])
+def test_final_export_stops_at_a_broken_contract(spark, row, message):
+    good = (2, "B", dt.datetime(2021, 1, 1), 1.0, 1.0, None)
+    with pytest.raises(Exception, match=message):
+        layers.export_final(exported(spark, [row, good]), scratch_path(spark, "final"), ["A", "B"], ["Create", "RideID"], {"A": "Price_A", "B": "Price_B"})
+
+
+def test_final_export_needs_rows_of_every_category(spark):
+    with pytest.raises(ContractError, match="no rows to export"):
+        layers.export_final(exported(spark, [(2, "B", dt.datetime(2021, 1, 1), 1.0, 1.0, None)]), scratch_path(spark, "final"), ["A", "B"], ["Create", "RideID"])
 
 
 def test_caps_and_missing_threshold(spark):
