@@ -10,6 +10,7 @@ are bounded by the vocabularies and go to every task.
 import hashlib
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from .wordwise import LONGEST_REMEMBERED, ByteEncoder, byte_of_sign, cut, per_wo
 #: Entries of a block: distinct pairs and identities summed over its documents, about.
 BLOCK = 1 << 20
 #: Parts kept per worker and generation; each holds its groups and pairs.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 #: Fixed value: how byte pieces of the B file are written.
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 PROBE = "a  b ｆ ﬁ\tC"
@@ -63,20 +64,19 @@ class Pair:
         counts packs n_a, n_b, n_groups; a code is a * n_b + b of a linked pair, or -1 - a for an identity.
         """
         parts = [" " + w for w in words]
-        a_ids = [self.a.part(p) for p in parts] if self.apart else self.a.whole(parts)
-        a_ids = [np.frombuffer(x, self.a.kind).astype(np.int64) for x in a_ids]
-        b_ids = [np.array(x, np.int64) for x in self.b.encode(words, num_threads=1)]
-        out: dict[str, tuple | None] = {}
-        good = []
-        for k, part in enumerate(parts):
-            raw = part.encode("utf-8", "surrogatepass")
-            ok = b"".join([self.b_bytes[i] for i in b_ids[k].tolist()]) == raw and b"".join([self.a_bytes[i] for i in a_ids[k].tolist()]) == raw
-            out[words[k]] = None
-            if ok and len(a_ids[k]):
-                good.append(k)
+        raw = [p.encode("utf-8", "surrogatepass") for p in parts]
+        a_ids = [self.a.after_blank(w) for w in words] if self.apart else self.a.whole(parts)
+        b_ids = self.b.encode(words, num_threads=1)
+        out: dict[str, tuple | None] = dict.fromkeys(words)
+        good = self._same_bytes(raw, a_ids, b_ids)
         if not good:
             return out
-        a, b = np.concatenate([a_ids[k] for k in good]), np.concatenate([b_ids[k] for k in good])
+        if len(good) < len(words):
+            words, a_ids, b_ids = ([x[k] for k in good] for x in (words, a_ids, b_ids))
+        a = np.frombuffer(b"".join(a_ids), self.a.kind).astype(np.int64)
+        b = np.fromiter(chain.from_iterable(b_ids), np.int64)
+        n_a = np.fromiter((len(x) // self.a.kind.itemsize for x in a_ids), np.int64, len(words))
+        n_b = np.fromiter(map(len, b_ids), np.int64, len(words))
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         common = np.intersect1d(a_end, b_end, assume_unique=True)
         low = np.searchsorted(b_end, a_end - self.a_size[a], "right")
@@ -89,20 +89,28 @@ class Pair:
         alone = (np.bincount(group_a, minlength=len(common)) == 1) & (np.bincount(group_b, minlength=len(common)) == 1)
         identity = alone[group_a[left]] & (self.same[a[left]] == b[right])
         codes[identity] = -1 - a[left][identity]
-        per_part = np.cumsum([len(a_ids[k]) for k in good])
-        link_end = np.cumsum(many)[per_part - 1]
-        groups_until = group_a[per_part - 1] + 1
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        last = np.cumsum(n_a) - 1
+        link_end, group_end = np.cumsum(many)[last], group_a[last] + 1
+        counts = np.stack([n_a, n_b, np.diff(group_end, prepend=0)], 1).tobytes()
+        packed, a_text, b_text = codes.tobytes(), list(map(str, a.tolist())), list(map(str, b.tolist()))
         a_cut = np.searchsorted(group_a, np.arange(len(common) + 1)).tolist()
         b_cut = np.searchsorted(group_b, np.arange(len(common) + 1)).tolist()
-        written = [",".join(a_text[a_cut[g]:a_cut[g + 1]]) + "|" + ",".join(b_text[b_cut[g]:b_cut[g + 1]]) for g in range(len(common))]
+        written = [f"{a_text[i]}|{b_text[k]}" if j - i == 1 and m - k == 1 else ",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m])
+                   for i, j, k, m in zip(a_cut, a_cut[1:], b_cut, b_cut[1:])]
         from_link = from_group = 0
-        for k, link, group in zip(good, link_end.tolist(), groups_until.tolist()):
-            counts = np.array([len(a_ids[k]), len(b_ids[k]), group - from_group], np.int64).tobytes()
-            out[words[k]] = (counts, ";".join(written[from_group:group]).encode(), codes[from_link:link].tobytes())
+        for n, (word, link, group) in enumerate(zip(words, link_end.tolist(), group_end.tolist())):
+            out[word] = (counts[24 * n:24 * n + 24], ";".join(written[from_group:group]).encode(), packed[8 * from_link:8 * link])
             from_link, from_group = link, group
         return out
 
+    def _same_bytes(self, raw: list[bytes], a_ids: list[bytes], b_ids: list[list[int]]) -> list[int]:
+        """The parts whose tokens' bytes are the part's own on both sides."""
+        b_bytes, a_bytes, kind = self.b_bytes, self.a_bytes, self.a.kind
+        good = [k for k, (r, ids) in enumerate(zip(raw, b_ids)) if b"".join([b_bytes[i] for i in ids]) == r]
+        if self.apart:  # A's model covers all bytes, and its pieces are those of the part
+            return good
+        return [k for k in good if a_ids[k] and b"".join([a_bytes[i] for i in np.frombuffer(a_ids[k], kind).tolist()]) == raw[k]]
+
     def documents(self, texts: list[str]) -> list[tuple | None]:
         """(n_a, n_b, n_groups, groups as bytes, codes) of each text; None where it has no tokens."""
         words = [cut(t) if self.apart else [t] for t in texts]

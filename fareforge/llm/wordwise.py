@@ -89,7 +89,8 @@ class ByteEncoder:
         self.sign = {b: ord(c) for c, b in byte_of_sign().items()}
         self.pieces = Recent(self._piece)
         self.words = Recent(self._word)
-        self.apart = kept_apart(described) and self.part(PROBE) == self.whole([PROBE])[0]
+        covers = all(c in self.tokenizer.get_vocab() for c in map(chr, self.sign.values()))
+        self.apart = kept_apart(described) and covers and self.part(PROBE) == self.whole([PROBE])[0]
 
     @classmethod
     def shared(cls, path: str, plain: bool = False) -> "ByteEncoder":
@@ -113,6 +114,10 @@ class ByteEncoder:
             return self.words[word[:-1]] + self.pieces[word[-1]]
         return self.part(" " + word)
 
+    def after_blank(self, word: str) -> bytes:
+        """Ids of a word after a blank, without keeping them."""
+        return self._piece(" " + word) if word.isalpha() else self.part(" " + word)
+
     def part(self, text: str) -> bytes:
         """The same without special tokens, from the ids that the tokenizer's model has for each piece."""
         return b"".join(map(self.pieces.__getitem__, PIECE.findall(text)))
