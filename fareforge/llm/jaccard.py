@@ -2,9 +2,14 @@
 
 Two shingle sets of similarity 0.75 or more share a shingle among the first quarter of either set, whatever order all
 shingles are put in. The first order puts rare shingles first; documents that share one of its prefix shingles are
-candidates. Candidates that share no prefix shingle under two further orders are dropped, and the rest are verified on
-whole sets. Equal sets are one node throughout. Shingles that many nodes share give stars instead of all pairs; pairs
-that those leave open are listed afterwards, but only across the components that are already known.
+candidates. Candidates that share no prefix shingle under two further orders are dropped: each node keeps its prefix
+shingles of those orders, and the filters of all orders are intersected. What is left is verified on whole sets. Equal
+sets are one node throughout.
+
+Every node also has a bitmap in which each of its shingles turns one bit; the bits in which two bitmaps differ are never
+more than the shingles in which the sets differ, so most unlinked pairs are seen without their sets. Shingles that many
+nodes share give stars instead of all pairs; nodes then propose the partners whose bitmaps differ least, and pairs that
+stay open are listed at last, across the components that are already known.
 """
 from contextlib import contextmanager
 
@@ -13,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import last_layer, materialize, only_result_stays, release
 from .components import components
 from .shingles import shingle_sets
 from .token_store import mixed
@@ -22,12 +27,12 @@ from .token_store import mixed
 LEAST = (75, 100)
 #: Cells of the table of shingle counts that the first order sorts by; one number per cell goes to the driver and back.
 CELL_BITS = 18
-#: Bits of a node's prefix sketch in each further order, and those orders' salts.
-SKETCH_BITS, SALTS = 512, (21, 22)
+#: Salts of the further orders. A node's bitmap has a power of two of bits, at least this many and BITS per shingle.
+SALTS, LEAST_BITS, BITS = (21, 22), 256, 2
 #: Up to so many nodes with a common prefix shingle are paired at once; rows of more frequent ones are dealt over tasks.
 SMALL, HOT = 24, 4096
 #: Rounds of so many proposals per row before the remaining open pairs are listed in full.
-ROUNDS, PROPOSALS = 4, 6
+ROUNDS, PROPOSALS = 3, 4
 #: Rows of a block of a run, about; a task meets two blocks at a time and sends pairs on in parts of about that many.
 BLOCK, PART = 1024, 1 << 20
 
@@ -42,16 +47,32 @@ def node_of(tokens: np.ndarray) -> int:
         return int(mixed(np.array([mixed(tokens, 31).sum() + np.uint64(len(tokens))], np.uint64), 32).view(np.int64)[0])
 
 
-def sketch(tokens: np.ndarray) -> bytes:
-    """Per further order the prefix shingles as bits."""
+def orders(tokens: np.ndarray) -> bytes:
+    """Per further order the prefix shingles, as sorted 32-bit numbers."""
     p, out = prefix_length(len(tokens)), []
     for salt in SALTS:
-        bits = np.zeros(SKETCH_BITS, bool)
         h = mixed(tokens, salt)
         h = np.partition(h, p - 1)[:p] if p < len(h) else h
-        bits[(mixed(h, 33) % np.uint64(SKETCH_BITS)).astype(np.int64)] = True
-        out.append(np.packbits(bits))
-    return b"".join(x.tobytes() for x in out)
+        out.append(np.sort((h >> np.uint64(8)).astype(np.uint32)).tobytes())
+    return b"".join(out)
+
+
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Bits turned once per shingle. A bitmap of half the size is the one half of this turned by the other."""
+    size = max(LEAST_BITS, 1 << (BITS * len(tokens) - 1).bit_length())
+    turned = np.bincount((mixed(tokens, 33) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(turned.astype(bool), bitorder="little").tobytes()
+
+
+def folded(packed: bytes, words: int) -> np.ndarray:
+    x = np.frombuffer(packed, np.uint64)
+    return np.bitwise_xor.reduce(x.reshape(-1, words), axis=0)
+
+
+def close(differing: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether sets that differ in at least so many shingles, of sizes with this sum, may still be similar enough."""
+    a, b = LEAST
+    return (a + b) * differing <= (b - a) * sizes
 
 
 @contextmanager
@@ -79,7 +100,7 @@ def describe(docs: DataFrame) -> DataFrame:
                 cells += np.bincount((np.concatenate(small) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "n": [len(s) for s in sets],
                                 "node": pd.array([node_of(s) if len(s) else None for s in sets], "Int64"),
-                                "bits": [sketch(s) if len(s) else None for s in sets], "cell": -1})
+                                "bits": [bitmap(s) if len(s) else None for s in sets], "cell": -1})
         used = np.flatnonzero(cells)
         yield pd.DataFrame({"doc_id": pd.array([None] * len(used), "Int64"), "n": cells[used],
                             "node": pd.array([None] * len(used), "Int64"), "bits": None, "cell": used})
@@ -220,11 +241,11 @@ def dealt(rows: DataFrame, turn: int | None, block: int = BLOCK) -> DataFrame:
 
 
 def across(rows: DataFrame, turn: int | None) -> DataFrame:
-    """(u, v, shared): pairs of different components among rows (token, band, own, node, n, pos, component, a, b, part),
-    by two blocks of a run at a time.
+    """(u, v, shared): pairs of different components among rows (token, band, own, node, n, pos, component, bits, a, b, part),
+    by two blocks of a run at a time; pairs whose bitmaps differ too much are left out.
 
-    In a numbered turn each row proposes a few partners per run, the most alike in size and place and others that change
-    with the turn; without a number it proposes all of them.
+    In a numbered turn each row proposes a few partners per run, those whose bitmaps differ least; without a number it
+    proposes all of them.
     """
     keys = ["token", "band", "a", "b"]
 
@@ -243,19 +264,23 @@ def across(rows: DataFrame, turn: int | None) -> DataFrame:
             yield from pairs(held, np.array([0, len(held)]))
 
     def pairs(x, start):
-        token, own, node, n, pos, comp, part = (x[c].to_numpy() for c in ("token", "own", "node", "n", "pos", "component", "part"))
+        own, node, n, pos, comp, part, bits = (x[c].to_numpy() for c in ("own", "node", "n", "pos", "component", "part", "bits"))
+        n = n.astype(np.int64)
         one = (x["a"] == x["b"]).to_numpy()
         us, vs, held = [], [], 0
         for lo, hi in zip(start[:-1], start[1:]):
             c = comp[lo:hi]
+            words = min(len(x) for x in bits[lo:hi]) // 8
+            map_ = np.stack([folded(x, words) for x in bits[lo:hi]])
             names, count = np.unique(c, return_counts=True)
             for i in lo + np.flatnonzero(c != names[count.argmax()]):
                 j = lo + np.flatnonzero((c != comp[i]) & (own[i] | own[lo:hi]) & (one[i] | (part[lo:hi] != part[i])))
                 j = j[may_link(n[i], pos[i], n[j], pos[j])]
-                if turn is not None and len(j) > 1:
-                    near = np.abs(n[j] - n[i]) + np.abs(pos[j] - pos[i])
-                    other = [int(node[i] ^ token[i] ^ (turn * 7919 + k)) % len(j) for k in range(PROPOSALS - 1)]
-                    j = j[np.unique([near.argmin(), *other])]
+                differing = np.bitwise_count(map_[j - lo] ^ map_[i - lo]).sum(axis=1, dtype=np.int64)
+                ok = close(differing, n[i] + n[j])
+                j, differing = j[ok], differing[ok]
+                if turn is not None and len(j) > PROPOSALS:
+                    j = j[np.argpartition(differing, PROPOSALS)[:PROPOSALS]]
                 us.append(np.full(len(j), node[i]))
                 vs.append(node[j])
                 held += len(j)
@@ -268,34 +293,48 @@ def across(rows: DataFrame, turn: int | None) -> DataFrame:
     return rows.mapInPandas(run, "u long, v long, shared long")
 
 
+def with_sides(pairs: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (u, v) with the columns of both nodes; their names get the side's letter at the end."""
+    for side in "uv":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), *[F.col(c).alias(c + side) for c in columns]), side)
+    return pairs
+
+
 def sifted(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The candidates that share prefix shingles under the further orders too."""
+    """The candidates (u, v, shared) whose bitmaps are close."""
+    def near(batches):
+        for b in batches:
+            keep = np.zeros(len(b), bool)
+            for k, (m, x, n, y) in enumerate(zip(b["nu"], b["bitsu"], b["nv"], b["bitsv"])):
+                words = min(len(x), len(y)) // 8
+                keep[k] = close(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(dtype=np.int64), m + n)
+            yield b.loc[keep, ["u", "v", "shared"]]
+
     total = pairs.groupBy("u", "v").agg(F.sum("shared").alias("shared"))
-    one = nodes.select(F.col("node").alias("u"), F.col("bits").alias("_a"))
-    two = nodes.select(F.col("node").alias("v"), F.col("bits").alias("_b"))
-    size = SKETCH_BITS // 8
+    return with_sides(total, nodes, "n", "bits").mapInPandas(near, "u long, v long, shared long")
 
-    def meet(salt: int):
-        hexes = [F.hex(F.substring(c, salt * size + 1, size)) for c in ("_a", "_b")]
-        words = [[F.conv(F.substring(h, 15 * k + 1, 15), 16, 10).cast("long") for k in range(-(-2 * size // 15))] for h in hexes]
-        any_bit = F.lit(False)
-        for a, b in zip(*words):
-            any_bit = any_bit | (a.bitwiseAND(b) != 0)
-        return any_bit
 
-    return total.join(one, "u").join(two, "v").where(meet(0) & meet(1)).select("u", "v", "shared")
+def share_in_all_orders(x: bytes, y: bytes) -> bool:
+    """Whether two nodes have common prefix shingles under every further order."""
+    sides = (np.frombuffer(o, np.uint32).reshape(len(SALTS), -1) for o in (x, y))
+    return all(len(np.intersect1d(p, q)) for p, q in zip(*sides))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The links among pairs (u, v) of nodes, from whole shingle sets.
+    """The links among pairs (u, v) of nodes: those that pass the filters of the further orders, from whole shingle sets.
 
-    Sets are computed again from the texts of one document per node, sent once per pair, and met pair by pair, so a node
-    with very many candidates is spread over tasks.
+    Sets and prefixes are computed again from the texts of one document per node. Prefixes are met first; sets are sent for
+    the pairs that are left, and met pair by pair, so a node with very many candidates is spread over tasks.
     """
     def sets(batches):
         for b in batches:
-            found = shingle_sets(b["text"].fillna("").tolist())
-            yield pd.DataFrame({"node": [node_of(s) if len(s) else 0 for s in found], "set": [s.tobytes() for s in found]})
+            found = [s for s in shingle_sets(b["text"].fillna("").tolist()) if len(s)]
+            yield pd.DataFrame({"node": [node_of(s) for s in found], "set": [s.tobytes() for s in found], "orders": [orders(s) for s in found]})
+
+    def in_all_orders(batches):
+        for b in batches:
+            keep = [share_in_all_orders(x, y) for x, y in zip(b["ordersu"], b["ordersv"])]
+            yield b.loc[np.array(keep, bool), ["u", "v"]]
 
     def compare(batches):
         before = None
@@ -312,11 +351,17 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     before = (u, v, node, packed)
             yield pd.DataFrame(out, columns=["u", "v"])
 
-    both = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("node"))
-    wanted = materialize(nodes.join(both.select("node").distinct(), "node").select(F.col("rep").alias("doc_id")).distinct(), "wanted")
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInPandas(sets, "node long, set binary")
-    met = both.join(texts, "node").repartition("u", "v").sortWithinPartitions("u", "v", "node")
-    return met.mapInPandas(compare, "u long, v long")
+    named = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = materialize(nodes.join(named, "node").select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+    texts = materialize(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInPandas(
+        sets, "node long, set binary, orders binary").dropDuplicates(["node"]), "sets")
+    written = last_layer()
+    left = materialize(with_sides(pairs.select("u", "v"), texts, "orders").mapInPandas(in_all_orders, "u long, v long"), "candidates")
+    both = left.select("u", "v", F.explode(F.array("u", "v")).alias("node"))
+    met = both.join(texts.select("node", "set"), "node").repartition("u", "v").sortWithinPartitions("u", "v", "node")
+    links = materialize(met.mapInPandas(compare, "u long, v long"), "links")
+    release(docs.sparkSession, written)
+    return links
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -326,6 +371,10 @@ def join(docs: DataFrame) -> DataFrame:
     no part and have no component. Rows that repeat an id are one document for the components; each has its own count.
     Other columns are ignored; an empty table gives an empty result.
     """
+    return only_result_stays(docs.sparkSession, lambda: _join(docs), "linked")
+
+
+def _join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     described = materialize(describe(docs), "described")
     rows = described.where("cell = -1")
@@ -333,11 +382,13 @@ def join(docs: DataFrame) -> DataFrame:
     cells = described.where("cell >= 0").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts[cells["cell"].to_numpy(np.int64)] = cells["n"]
     nodes = materialize(rows.where("node is not null and doc_id is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.min("bits").alias("bits")), "nodes")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
     shingled = materialize(prefixes(docs, counts), "prefixes")
+    prefix_layer = last_layer()
     with arrow_rows(spark, 20_000):
         sorted_rows = shingled.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "node")
         found = materialize(from_runs(sorted_rows), "runs")
+    release(spark, prefix_layer)
     candidates = materialize(sifted(found.where("pos = -1"), nodes), "pairs")
 
     def best(pairs: DataFrame, most: int = 1) -> DataFrame:
@@ -347,7 +398,7 @@ def join(docs: DataFrame) -> DataFrame:
         return each.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= most).select("u", "v").distinct()
 
     def checked(pairs: DataFrame) -> DataFrame:
-        return materialize(verified(pairs, docs, nodes), "links")
+        return verified(pairs, docs, nodes)
 
     def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
         part = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
@@ -371,7 +422,7 @@ def join(docs: DataFrame) -> DataFrame:
         rows = now.join(several, "token", "left_semi").withColumn("band", band)
         spread = rows.withColumn("own", F.lit(True)).unionByName(rows.withColumns({"band": F.col("band") + 1, "own": F.lit(False)}))
         with arrow_rows(spark, 20_000):
-            met = dealt(spread, turn).repartition("token", "band", "a", "b").sortWithinPartitions("token", "band", "a", "b", "n", "node")
+            met = dealt(spread, turn).join(nodes.select("node", "bits"), "node").repartition("token", "band", "a", "b").sortWithinPartitions("token", "band", "a", "b", "n", "node")
             pairs = materialize(across(met, turn), "late")
         return sifted(pairs, nodes).join(tried, ["u", "v"], "left_anti")
 
@@ -405,7 +456,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Rows without an id stay. Of rows that repeat an id the first by text stays. Only the ids that go, and the rows of
     repeated ids, are matched against the texts.
     """
-    linked = materialize(join(docs), "linked")
+    linked = join(docs)
     gone = linked.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     repeated = materialize(linked.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1")
                            .select("_again"), "repeated")
