@@ -8,7 +8,7 @@ which holds for verbatim and for re-parameterised questions.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, materialize
+from .common import let, materialize, only_result_stays
 
 WINDOW = 8
 #: A template window needs so many words that are no placeholders; a span so many windows, or most of a short item's.
@@ -149,8 +149,10 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Rows that share an id are one document; every row without an id is one of its own, told by a row number.
     """
-    named = docs.where("doc_id is not null").withColumn("_doc", F.concat(F.lit("id "), F.col("doc_id").cast("string")))
-    numbered = docs.where("doc_id is null").withColumn("_doc", F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
+    whole = F.struct("*").alias("given")
+    named = docs.where("doc_id is not null").select(whole, F.concat(F.lit("id "), F.col("doc_id").cast("string")).alias("_doc"))
+    numbered = docs.where("doc_id is null").select(whole, F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")).alias("_doc"))
     every = named.unionByName(materialize(numbered, "unnamed"))
-    found = leaks(every.select(F.col("_doc").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_doc"))
-    return every.join(materialize(found, "leaks"), "_doc", "left_anti").select(*docs.columns)
+    found = only_result_stays(docs.sparkSession, lambda: leaks(
+        every.select(F.col("_doc").alias("doc_id"), F.col("given.text").alias("text")), benchmark).select(F.col("doc_id").alias("_doc")), "leaks")
+    return every.join(found, "_doc", "left_anti").select("given.*")

@@ -465,5 +465,5 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     single = kept.join(repeated, kept["doc_id"] == repeated["_again"], "left_anti")
     several = kept.join(repeated, kept["doc_id"] == repeated["_again"], "left_semi")
     order = Window.partitionBy(docs["doc_id"]).orderBy(docs["text"].asc_nulls_last())
-    first = several.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
-    return single.unionAll(first)
+    ranked = several.select(F.struct("*").alias("given"), F.row_number().over(order).alias("_rank"))
+    return single.unionAll(ranked.where("_rank = 1").select("given.*"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.running import running_before
-from .common import BLANKS, materialize
+from .common import BLANKS, materialize, only_result_stays
 
 #: The weights repeat over the sources in code-point order, null last.
 WEIGHTS = (5, 2, 1)
@@ -105,7 +105,9 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed:
     The columns are those of docs. Rows that share an id, and rows without one, are each taken as often as the mix takes
     that row. The input is written once with a row number, by which the takes come back to the rows.
     """
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    takes = _mixed(numbered, weights, most, seed).where("taken > 0").select("_row", F.expr("taken div size").alias("_times"))
+    numbered = materialize(docs.select(F.struct("*").alias("given"), F.monotonically_increasing_id().alias("_row")), "numbered")
+    named = numbered.select(*[F.col(f"given.{c}").alias(c) for c in ("doc_id", "text", "source")], "_row")
+    takes = only_result_stays(docs.sparkSession, lambda: _mixed(named, weights, most, seed).where("taken > 0").select(
+        "_row", F.expr("taken div size").alias("_times")), "takes")
     times = F.expr("explode(sequence(1L, _times))")
-    return numbered.join(takes, "_row").withColumn("_pass", times).select(*docs.columns)
+    return numbered.join(takes, "_row").select("given", times.alias("_pass")).select("given.*")

@@ -1,7 +1,7 @@
 """Repeated and missing ids: rows stay rows through the stages of the pipeline."""
 import collections
 
-from fareforge.llm import decontaminate, mixing
+from fareforge.llm import decontaminate, jaccard, mixing
 
 ROWS = [(None, f"text number {i} without an id", "a") for i in range(5)] + [(7, f"again {i} and on", "a") for i in range(3)] + [
     (i, f"one of its own {i}", "a") for i in range(20, 30)] + [(1, None, "a"), (None, " ", "a")]
@@ -28,3 +28,15 @@ def test_one_leak_takes_one_row_without_id(spark):
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = collections.Counter(tuple(r) for r in decontaminate.clean(docs, bench).collect())
     assert got == collections.Counter([(None, "a clean text"), (None, None), (5, "clean")])
+
+
+def test_given_columns_may_have_the_names_of_own_ones(spark, odd):
+    from pyspark.sql import functions as F
+    names = ["_row", "_doc", "_rank", "_times", "_pass", "_gone", "_again", "given"]
+    named = odd.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    bench = spark.createDataFrame([(1, "word3 of the text word4 of the text word5 of the text word6")], "item_id long, text string")
+    for step in (mixing.mixed_rows, jaccard.deduplicated, lambda d: decontaminate.clean(d, bench)):
+        got = step(named)
+        assert got.columns == named.columns
+        rows = got.collect()
+        assert rows and {tuple(r) for r in rows} <= {tuple(r) for r in named.collect()}
