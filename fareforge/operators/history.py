@@ -1,5 +1,5 @@
 """Cross-product prices and user history, strictly from earlier rides."""
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import add_temporal_features
@@ -109,11 +109,11 @@ def user_category_history(pairs: DataFrame) -> DataFrame:
     return out.withColumn("UserPriorCategoryPriceMean", F.when(n > 0, F.col("_price") / n)).drop("_price")
 
 
-def history_metrics(raw: DataFrame, lookup: DataFrame, count: str, mean: str, user: str = "UserID") -> DataFrame:
-    """Rows scanned, collapsed, cold starts and percentiles of the prior count, as one row."""
+def history_metrics(raw: DataFrame, lookup: DataFrame, count: str, mean: str, valid: Column, user: str = "UserID") -> DataFrame:
+    """Rows scanned, collapsed, with a valid price, cold starts and percentiles of the prior count, as one row."""
     one = lookup.agg(
         rows().alias("unique_rows"), count_if(F.col(count) == 0).alias("cold_start_rows"),
-        F.count(mean).alias("rows_with_mean"))
+        F.count(mean).alias("rows_with_mean"), count_if(valid).alias("rows_with_valid_price"))
     q = group_quantiles(lookup, [], count, {"p50": 0.5, "p90": 0.9, "p99": 0.99})
     users = lookup.select(user).distinct().agg(rows()).scalar()
     scanned = raw.agg(rows()).scalar()
@@ -121,7 +121,7 @@ def history_metrics(raw: DataFrame, lookup: DataFrame, count: str, mean: str, us
     out = one.withColumns({"rows_scanned": scanned, "unique_users": users, "_q": quant})
     return out.select(
         "rows_scanned", "unique_rows", (F.col("rows_scanned") - F.col("unique_rows")).alias("collapsed_rows"),
-        "unique_users", "cold_start_rows", "rows_with_mean",
+        "unique_users", "rows_with_valid_price", "cold_start_rows", "rows_with_mean",
         *[F.col(f"_q.{p}").cast("bigint").alias(f"prior_count_{p}") for p in ("p50", "p90", "p99")])
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
+from ..functions.bounded import lookup_join, settle
 from ..functions.quantiles import quantile_rows
 from ..functions.running import first_per_key, repeated_keys
 from ..functions.scalar import count_if, pct, rounded, rows
@@ -105,10 +106,15 @@ def cardinality_classes(df: DataFrame, key: str) -> DataFrame:
 
 
 def top_values(df: DataFrame, columns: list[str], k: int = 10) -> DataFrame:
-    """The k most frequent values per column; ties by value. The rank filter prunes before the shuffle."""
-    counts = value_counts(df, columns).where("value is not null")
+    """The k most frequent values per column with the column's distinct values and their share of its rows; ties by value.
+
+    The rank filter prunes before the shuffle.
+    """
+    counts = settle(value_counts(df, columns).where("value is not null"), "values")
     w = Window.partitionBy("column").orderBy(F.desc("count"), "value")
-    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    whole = column_cardinality(counts).select("column", F.col("uniques").alias("unique_count"), "unique_ratio")
+    return lookup_join(top, whole, "column")
 
 
 def constant_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -50,13 +50,15 @@ def calendar_gaps(df: DataFrame, ts: str = "Create") -> DataFrame:
 
 
 def daily_metrics(estimates: DataFrame, ts: str = "Create", ride: str = "RideID", value: str = "Price",
-                  ) -> DataFrame:
+                  estimate: str = "RideEstimativeID") -> DataFrame:
     """Rides, estimates and price level per day, with 7-row and 14-row moving averages.
 
-    Distinct rides are counted in two grouped steps, so one busy day spreads over its rides.
+    Distinct rides and estimates are counted in grouped steps, so one busy day spreads over its estimates. An estimate
+    belongs to one ride.
     """
     dated = estimates.withColumn("date", F.to_date(ts))
-    rides = (dated.groupBy("date", ride).agg(rows().alias("_n"), F.sum(value).alias("_s"), F.count(value).alias("_c"))
+    rides = (dated.groupBy("date", ride, estimate).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
+             .groupBy("date", ride).agg(F.count(estimate).alias("_n"), F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
              .groupBy("date").agg(rows().alias("unique_rides"), F.sum("_n").alias("estimative_rows"),
                                   (F.sum("_s") / F.sum("_c")).alias("mean_price")))
     levels = group_quantiles(dated, ["date"], value, {"median_price": 0.5, "p95_price": 0.95})
@@ -79,17 +81,26 @@ def weekday_seasonality(daily: DataFrame) -> DataFrame:
     week = spark.createDataFrame([(i, n) for i, n in enumerate(fixed.WEEKDAY_EN)], "weekday_no int, weekday string")
     means = daily.groupBy("weekday").agg(
         F.avg("unique_rides").alias("mean_daily_rides"), F.avg("mean_price").alias("mean_daily_price"),
-        rows().alias("observed_days"))
-    medians = group_quantiles(daily, ["weekday"], "unique_rides", {"median_daily_rides": 0.5})
-    return F.broadcast(week).join(means, "weekday", "left").join(medians, "weekday", "left").orderBy("weekday_no")
+        F.avg("estimative_rows").alias("mean_daily_estimates"), rows().alias("observed_days"))
+    return F.broadcast(week).join(means, "weekday", "left").join(_day_medians(daily, "weekday"), "weekday", "left").orderBy("weekday_no")
+
+
+def _day_medians(daily: DataFrame, by: str) -> DataFrame:
+    """Median rides and median price of the days of each group, by one quantile pass over both."""
+    values = F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("double").alias("value")) for n, c in DAY_MEDIANS.items()])
+    found = group_quantiles(daily.select(by, F.inline(values)), [by, "name"], "value", {"median": 0.5})
+    return found.groupBy(by).agg(*[F.max(F.when(F.col("name") == n, F.col("median"))).alias(n) for n in DAY_MEDIANS])
+
+
+DAY_MEDIANS = {"median_daily_rides": "unique_rides", "median_daily_price": "mean_price"}
 
 
 def monthly_metrics(daily: DataFrame) -> DataFrame:
     sums = daily.groupBy("month").agg(
         rows().alias("active_days"), F.sum("unique_rides").alias("total_rides"),
-        F.avg("unique_rides").alias("mean_daily_rides"), F.avg("mean_price").alias("mean_daily_price"))
-    medians = group_quantiles(daily, ["month"], "unique_rides", {"median_daily_rides": 0.5})
-    return sums.join(medians, "month").orderBy("month")
+        F.avg("unique_rides").alias("mean_daily_rides"), F.avg("mean_price").alias("mean_daily_price"),
+        F.avg("estimative_rows").alias("mean_daily_estimates"))
+    return sums.join(_day_medians(daily, "month"), "month").orderBy("month")
 
 
 def integrity_checks(rides: DataFrame) -> DataFrame:

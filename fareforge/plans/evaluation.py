@@ -247,20 +247,22 @@ RESULTS = f"""{FM}, tf AS (SELECT CategoryID, number, TrialNumber, Phase, count(
 tb AS (SELECT CategoryID, TrialNumber FROM (SELECT CategoryID, TrialNumber, row_number() OVER (
   PARTITION BY CategoryID ORDER BY avg(RMSE), TrialNumber) AS k FROM tf WHERE Phase = 'trial' GROUP BY 1, 2) WHERE k = 1),
 rf AS (
-  SELECT CategoryID, ModelName AS Algorithm, AlgorithmGroup, 'default' AS ModelVariant, CAST(FeatureCount AS INTEGER) AS FeatureCount,
-         CAST(NULL AS BIGINT) AS TrialNumber, FoldName, TrainRows, EvaluationRows, TrainStart, TrainEnd, EvaluationStart, EvaluationEnd,
+  SELECT CategoryID, 'final_features_' || lower(CategoryID) AS DatasetName, ModelName AS Algorithm, AlgorithmGroup, 'default' AS ModelVariant,
+         CAST(FeatureCount AS INTEGER) AS FeatureCount, CAST(NULL AS INTEGER) AS NumBoostRound, CAST(NULL AS BIGINT) AS TrialNumber,
+         'fold_metrics.csv' AS SourceFile, FoldName, TrainRows, EvaluationRows, TrainStart, TrainEnd, EvaluationStart, EvaluationEnd,
          MAE, RMSE, MAPE, R2 FROM fx
   UNION ALL
-  SELECT tf.CategoryID, 'ProductMean_Tuned', 'tuning', 'tuned', 1, tf.TrialNumber, split_name, train_n, EvaluationRows, train_start, train_end,
+  SELECT tf.CategoryID, 'final_features_' || lower(tf.CategoryID), 'ProductMean_Tuned', 'tuning', 'tuned', 1, CAST(100 AS INTEGER), tf.TrialNumber,
+         'tuning_fold_metrics.csv', split_name, train_n, EvaluationRows, train_start, train_end,
          evaluation_start, evaluation_end, MAE, RMSE, MAPE, R2
   FROM tf JOIN tb ON tf.CategoryID = tb.CategoryID AND tf.TrialNumber = tb.TrialNumber AND tf.Phase = 'trial'
   JOIN fw ON fw.number = tf.number JOIN cmn ON cmn.number = tf.number AND cmn.CategoryID = tf.CategoryID),
 rm AS (
-  SELECT CategoryID, Algorithm, AlgorithmGroup, ModelVariant, FeatureCount, TrialNumber, count(DISTINCT FoldName) AS FoldsAveraged,
+  SELECT CategoryID, DatasetName, Algorithm, AlgorithmGroup, ModelVariant, FeatureCount, NumBoostRound, TrialNumber, SourceFile, count(DISTINCT FoldName) AS FoldsAveraged,
          avg(TrainRows) AS TrainRows, avg(EvaluationRows) AS EvaluationRows, min(TrainStart) AS TrainStart, max(TrainEnd) AS TrainEnd,
          min(EvaluationStart) AS EvaluationStart, max(EvaluationEnd) AS EvaluationEnd,
          {', '.join(f'avg({m}) AS {m}' for m in METRICS)}, {', '.join(f'stddev_samp({m}) AS {m}Std' for m in METRICS)}
-  FROM rf GROUP BY 1, 2, 3, 4, 5, 6)"""
+  FROM rf GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9)"""
 
 
 def _result_folds(spark, sf_dir):
@@ -269,7 +271,10 @@ def _result_folds(spark, sf_dir):
     best = evaluate.trial_ranking(evaluate.metric_summary(trials, ["CategoryID", "TrialNumber"])).where("IsBestTrial")
     tuned = trials.join(best.select("CategoryID", "TrialNumber"), ["CategoryID", "TrialNumber"], "left_semi")
     tuned = tuned.withColumns({"ModelName": F.concat("ModelName", F.lit("_Tuned")), "ModelVariant": F.lit("tuned")})
-    both = plain.unionByName(tuned).withColumnRenamed("ModelName", "Algorithm")
+    told = F.col("ModelVariant") == "tuned"
+    both = plain.unionByName(tuned).withColumnRenamed("ModelName", "Algorithm").withColumns({
+        "DatasetName": F.concat(F.lit("final_features_"), F.lower("CategoryID")), "NumBoostRound": F.when(told, F.lit(100)),
+        "SourceFile": F.when(told, "tuning_fold_metrics.csv").otherwise("fold_metrics.csv")})
     return settle(both.select(*evaluate.RESULT_GROUPS, "FoldName", "TrainRows", "EvaluationRows", "TrainStart", "TrainEnd",
                               "EvaluationStart", "EvaluationEnd", *METRICS), "results")
 

@@ -114,21 +114,22 @@ def history_coverage(spark, sf_dir):
     return history.history_coverage(v.enriched(spark, sf_dir), names)
 
 
-def _metrics_sql(scope, table, count, mean):
+def _metrics_sql(scope, table, count, mean, valid):
     q = ", ".join(f"{big(f'trunc(quantile_cont({count}, {p}))')} AS prior_count_{n}" for n, p in (("p50", .5), ("p90", .9), ("p99", .99)))
     return f"""SELECT '{scope}' AS scope, (SELECT count(*) FROM vc) AS rows_scanned, count(*) AS unique_rows,
       (SELECT count(*) FROM vc) - count(*) AS collapsed_rows, count(DISTINCT UserID) AS unique_users,
-      {big(f'count(*) FILTER (WHERE {count} = 0)')} AS cold_start_rows, {big(f'count({mean})')} AS rows_with_mean, {q} FROM {table}"""
+      {big(f'count(*) FILTER (WHERE {count} = 0)')} AS cold_start_rows, {big(f'count({mean})')} AS rows_with_mean,
+      {big(f'count(*) FILTER (WHERE {valid})')} AS rows_with_valid_price, {q} FROM {table}"""
 
 
-@query("history_metrics", _metrics_sql("ride", "rh", "UserPriorRideCount", "UserPriorPaidPriceMean") + "\nUNION ALL "
-       + _metrics_sql("ride_category", "ch", "UserPriorCategoryRideCount", "UserPriorCategoryPriceMean"))
+@query("history_metrics", _metrics_sql("ride", "rh", "UserPriorRideCount", "UserPriorPaidPriceMean", "RidePrice > 0") + "\nUNION ALL "
+       + _metrics_sql("ride_category", "ch", "UserPriorCategoryRideCount", "UserPriorCategoryPriceMean", "Price IS NOT NULL"))
 def history_metrics(spark, sf_dir):
     raw = v.curated_layer(spark, sf_dir, HISTORY_COLUMNS)
     by_ride = history.user_history(history.ride_base(raw))
     by_category = history.user_category_history(history.category_base(raw))
-    one = history.history_metrics(raw, by_ride, *history.RIDE_HISTORY).withColumn("scope", F.lit("ride"))
-    two = history.history_metrics(raw, by_category, *history.CATEGORY_HISTORY).withColumn("scope", F.lit("ride_category"))
+    one = history.history_metrics(raw, by_ride, *history.RIDE_HISTORY, F.col("RidePrice") > 0).withColumn("scope", F.lit("ride"))
+    two = history.history_metrics(raw, by_category, *history.CATEGORY_HISTORY, F.col("Price").isNotNull()).withColumn("scope", F.lit("ride_category"))
     return one.unionByName(two)
 
 

@@ -22,6 +22,7 @@ vr AS (
          o_orderstatus AS "RideStatus",
          CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(1 AS BIGINT) END AS "ScheduledRide"
   FROM orders),
+vru AS (SELECT vr.*, "Updated" FROM vr LEFT JOIN (SELECT "RideID", max("Updated") AS "Updated" FROM ve GROUP BY 1) USING ("RideID")),
 vp AS (SELECT p_partkey AS "ProductID", p_type AS "CategoryID", p_name AS "ProductDescription" FROM part),
 vad AS (
   SELECT l_orderkey AS "RideID", CAST(l_linenumber AS BIGINT) AS "RideAddressTypeID", min(l_suppkey) AS "AddressID"

@@ -81,8 +81,9 @@ TOPPED = ["FareID", "LineNo", "SupplierID", "ProductID"]
 
 
 @query("topk_values", f"""
-SELECT "column", value, count, rank FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS INTEGER) AS rank FROM (
+SELECT "column", value, count, rank, unique_count, unique_ratio FROM (
+  SELECT *, count(*) OVER (PARTITION BY "column") AS unique_count,
+         """ + rnd('count(*) OVER (PARTITION BY "column") / sum(count) OVER (PARTITION BY "column")') + f""" AS unique_ratio, CAST(row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS INTEGER) AS rank FROM (
     {_stack(lambda c: f'SELECT {chr(39)}{c}{chr(39)} AS "column", CAST("{c}" AS VARCHAR) AS value, count(*) AS count FROM ve WHERE "{c}" IS NOT NULL GROUP BY 2', TOPPED)}))
 WHERE rank <= 10""")
 def topk_values(spark, sf_dir):
@@ -193,6 +194,11 @@ def target_histogram(spark, sf_dir):
     return target.target_histogram(v.clock(spark, sf_dir))
 
 
+@query("axis_limits", f"SELECT CategoryID, {rnd('quantile_cont(Price, 0.995)')} AS axis_limit FROM vk GROUP BY 1")
+def axis_limits(spark, sf_dir):
+    return target.axis_limits(v.clock(spark, sf_dir)).select("CategoryID", rounded(F.col("axis_limit")).alias("axis_limit"))
+
+
 @query("target_boxplot", f""", {QUARTILES}
 SELECT CategoryID, {rnd(f'min(Price) FILTER (WHERE NOT {_outside(1.5)})')} AS whisker_low, {rnd('any_value(q1)')} AS q1,
        {rnd('any_value(q2)')} AS median, {rnd('any_value(q3)')} AS q3,

@@ -16,12 +16,13 @@ def _cover(table, field, source):
 
 
 @query("temporal_coverage", "\nUNION ALL ".join([
-    _cover("ride", "Create", "vr"), _cover("ride", "Schedule", "vr"), _cover("rideestimative", "Create", "va"),
-    _cover("rideestimative", "Updated", "va"),
+    *[_cover("ride", f, "vru") for f in ("Create", "Schedule", "Updated")],
+    *[_cover("rideestimative", f, "va") for f in ("Create", "Schedule", "Updated")],
     "SELECT 'product', 'N/A', count(*), NULL, NULL, NULL, NULL FROM vp"]))
 def temporal_coverage(spark, sf_dir):
-    return (temporal.coverage(v.rides(spark, sf_dir), "ride", ["Create", "Schedule"])
-            .unionByName(temporal.coverage(v.analytical(spark, sf_dir), "rideestimative", ["Create", "Updated"]))
+    times = ["Create", "Schedule", "Updated"]
+    return (temporal.coverage(v.updated_rides(spark, sf_dir), "ride", times)
+            .unionByName(temporal.coverage(v.analytical(spark, sf_dir), "rideestimative", times))
             .unionByName(temporal.timeless_row(v.products(spark, sf_dir), "product")))
 
 
@@ -37,7 +38,7 @@ def calendar_gaps(spark, sf_dir):
 
 
 DAILY = """, dm0 AS (
-  SELECT CAST("Create" AS DATE) AS date, count(DISTINCT RideID) AS unique_rides, count(*) AS estimative_rows,
+  SELECT CAST("Create" AS DATE) AS date, count(DISTINCT RideID) AS unique_rides, count(DISTINCT RideEstimativeID) AS estimative_rows,
          avg(Price) AS mean_price, quantile_cont(Price, 0.5) AS median_price, quantile_cont(Price, 0.95) AS p95_price,
          dayname(min("Create")) AS weekday, strftime(min("Create"), '%Y-%m') AS month FROM va GROUP BY 1),
 dm AS (SELECT *, avg(unique_rides) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rides_ma_7,
@@ -47,7 +48,7 @@ dm AS (SELECT *, avg(unique_rides) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING
 
 def _daily(spark, sf_dir):
     # rides carry the date, so neither products nor other ride columns are read
-    dated = v.estimates(spark, sf_dir).select("RideID", "Price").join(
+    dated = v.estimates(spark, sf_dir).select("RideEstimativeID", "RideID", "Price").join(
         v.rides(spark, sf_dir).select("RideID", "Create"), "RideID", "left")
     return temporal.daily_metrics(dated)
 
@@ -91,24 +92,28 @@ def rolling_14(spark, sf_dir):
         "date", rounded(F.col("mean_price_ma_14")).alias("mean_price_ma_14"))
 
 
+DAY_LEVELS = ["mean_daily_rides", "mean_daily_price", "median_daily_rides", "mean_daily_estimates", "median_daily_price"]
+
+
 @query("weekday_seasonality", f"""{DAILY}
 SELECT CAST(n AS INTEGER) AS weekday_no, w.weekday, {rnd('avg(unique_rides)')} AS mean_daily_rides,
        {rnd('avg(mean_price)')} AS mean_daily_price, CASE WHEN count(date) > 0 THEN count(date) END AS observed_days,
-       {rnd('quantile_cont(unique_rides, 0.5)')} AS median_daily_rides
+       {rnd('quantile_cont(unique_rides, 0.5)')} AS median_daily_rides, {rnd('avg(estimative_rows)')} AS mean_daily_estimates,
+       {rnd('quantile_cont(mean_price, 0.5)')} AS median_daily_price
 FROM (SELECT unnest(range(7)) AS n, unnest(['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday']) AS weekday) w
 LEFT JOIN dm d ON d.weekday = w.weekday GROUP BY ALL""")
 def weekday_seasonality(spark, sf_dir):
     daily = _settled_daily(spark, sf_dir)
-    return _round_all(temporal.weekday_seasonality(daily), ["mean_daily_rides", "mean_daily_price", "median_daily_rides"])
+    return _round_all(temporal.weekday_seasonality(daily), DAY_LEVELS)
 
 
 @query("monthly_metrics", f"""{DAILY}
 SELECT month, count(*) AS active_days, {big('sum(unique_rides)')} AS total_rides, {rnd('avg(unique_rides)')} AS mean_daily_rides,
-       {rnd('avg(mean_price)')} AS mean_daily_price, {rnd('quantile_cont(unique_rides, 0.5)')} AS median_daily_rides
+       {rnd('avg(mean_price)')} AS mean_daily_price, {rnd('quantile_cont(unique_rides, 0.5)')} AS median_daily_rides,
+       {rnd('avg(estimative_rows)')} AS mean_daily_estimates, {rnd('quantile_cont(mean_price, 0.5)')} AS median_daily_price
 FROM dm GROUP BY 1""")
 def monthly_metrics(spark, sf_dir):
-    return _round_all(temporal.monthly_metrics(_settled_daily(spark, sf_dir)),
-                      ["mean_daily_rides", "mean_daily_price", "median_daily_rides"])
+    return _round_all(temporal.monthly_metrics(_settled_daily(spark, sf_dir)), DAY_LEVELS)
 
 
 C, S, U = ('epoch_us("Create")', 'epoch_us("Schedule")', 'epoch_us("Updated")')
@@ -121,10 +126,10 @@ RULES = {
 
 
 @query("integrity_checks", "\nUNION ALL ".join(
-    f"SELECT '{n}' AS rule, {big(f'count(*) FILTER (WHERE {r})')} AS violations, {pct(f'count(*) FILTER (WHERE {r})', 'count(*)')} AS pct FROM va"
+    f"SELECT '{n}' AS rule, {big(f'count(*) FILTER (WHERE {r})')} AS violations, {pct(f'count(*) FILTER (WHERE {r})', 'count(*)')} AS pct FROM vru"
     for n, r in RULES.items()))
 def integrity_checks(spark, sf_dir):
-    return temporal.integrity_checks(v.analytical(spark, sf_dir))
+    return temporal.integrity_checks(v.updated_rides(spark, sf_dir))
 
 
 @query("regime_comparison", f"""{RIDE_DAYS}
@@ -196,13 +201,16 @@ def temporal_features(spark, sf_dir):
 
 
 FEATURES = ["Hour", "DayOfWeekName", "Month", "Quarter", "IsHolidayBR", "DayPeriod"]
-ALL_FEATURES = [t + f for t in ("Create", "Schedule") for f in FEATURES]
+STAMPS = ("Create", "Schedule", "Updated")
+ALL_FEATURES = [t + f for t in STAMPS for f in FEATURES]
 CREATE_FEATURES = ["CreateHour", "CreateDayOfWeekName", "CreateIsHolidayBR", "CreateDayPeriod"]
-CAL = f", cal AS (SELECT RideID, CategoryID, {calendar_sql('Create')}, {calendar_sql('Schedule')} FROM vk)"
+CAL = f""", vk3 AS (SELECT *, "Create" + to_minutes(CAST(RideID % 3000 AS INTEGER)) AS "Updated" FROM vk),
+cal AS (SELECT RideID, CategoryID, {', '.join(map(calendar_sql, STAMPS))} FROM vk3)"""
 
 
 def _calendar(spark, sf_dir):
-    return calendar.add_temporal_features(v.clock(spark, sf_dir), ("Create", "Schedule"))
+    later = F.expr("timestampadd(MINUTE, RideID % 3000, Create)")
+    return calendar.add_temporal_features(v.clock(spark, sf_dir).withColumn("Updated", later), STAMPS)
 
 
 @query("feature_distribution", CAL + """
@@ -227,3 +235,13 @@ def top5_hours(spark, sf_dir):
     dist = history.feature_distribution(_calendar(spark, sf_dir), ["CreateHour"])
     return (dist.select(F.col("value").cast("int").alias("hour"), "count", "pct")
             .orderBy(F.desc("count"), "hour").limit(5))
+
+
+@query("calendar_shares", f"""
+SELECT {pct('count(*) FILTER (WHERE isodow("Create") = 7)', 'count(*)')} AS sunday_pct,
+       {pct(f"""count(*) FILTER (WHERE {_holiday('"Create"')})""", 'count(*)')} AS holiday_pct FROM vk""")
+def calendar_shares(spark, sf_dir):
+    """Shares of rides created on Sundays and on holidays, from the distributions."""
+    found = history.feature_distribution(_calendar(spark, sf_dir), ["CreateDayOfWeekName", "CreateIsHolidayBR"])
+    of = lambda feature, value: F.coalesce(F.max(F.when((F.col("feature") == feature) & (F.col("value") == value), F.col("pct"))), F.lit(0.0))
+    return found.agg(of("CreateDayOfWeekName", "domingo").alias("sunday_pct"), of("CreateIsHolidayBR", "true").alias("holiday_pct"))

@@ -57,6 +57,12 @@ def rides(spark, sf_dir) -> DataFrame:
         F.when(c("o_orderpriority") == "1-URGENT", F.lit(1).cast("bigint")).alias("ScheduledRide"))
 
 
+def updated_rides(spark, sf_dir) -> DataFrame:
+    """Rides with the last update among their estimates."""
+    last = estimates(spark, sf_dir).groupBy("RideID").agg(F.max("Updated").alias("Updated"))
+    return rides(spark, sf_dir).join(last, "RideID", "left")
+
+
 def products(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("ProductID"), F.col("p_type").alias("CategoryID"),
