@@ -49,8 +49,9 @@ def group_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[st
     upto = near.withColumn("_to", F.col("_start") + F.sum("_c").over(within))
     found = upto.where((F.col("_k") < F.col("_to")) & (F.col("_k") >= F.col("_to") - F.col("_c"))).select(
         *keys, "_i", "_k", F.col("_v").alias("_x"))
-    read = _with(asked, found, [*keys, "_i", "_k"], "left").withColumn("_x", F.when(F.col("_k") < 0, F.col("_prev")).when(
-        F.col("_k") >= F.col("_inside"), F.col("_next")).otherwise(F.col("_x")))
+    off = (F.col("_k") < -1) | (F.col("_k") > F.col("_inside"))
+    read = _with(asked, found, [*keys, "_i", "_k"], "left").withColumn("_x", F.when(off, F.raise_error(F.lit("rank outside its bracket")).cast("double"))
+        .when(F.col("_k") < 0, F.col("_prev")).when(F.col("_k") >= F.col("_inside"), F.col("_next")).otherwise(F.col("_x")))
     low, high = F.floor("_at"), F.ceil("_at")
     picked = read.groupBy(*keys, "_i", "_at").agg(
         F.max(F.when(F.col("_k") + F.col("_below") == low, F.col("_x"))).alias("_a"),

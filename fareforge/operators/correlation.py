@@ -1,6 +1,6 @@
 """Pairwise Pearson correlation and what follows from it."""
-from itertools import combinations
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,19 +10,41 @@ from ..functions.scalar import count_if, label, pct, rounded, rows
 from .profiling import column_cardinality, value_counts
 
 
+def comoments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column pair the rows where both are present, with their sums and products about the columns' means.
+
+    Tasks add up matrices over blocks of rows: with nulls as zeros, products of the values with the values, and of values
+    and squares with the masks of what is present, hold every pair at once. A task sends one row per pair.
+    """
+    means = df.agg(*[F.avg(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))).alias(c) for c in columns]).first()
+    shift = np.array([means[c] or 0.0 for c in columns])
+    upper = np.triu_indices(len(columns), 1)
+    fields = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+    def run(batches):
+        total = np.zeros((6, len(columns), len(columns)))
+        for b in batches:
+            x = b.to_numpy(dtype=float, na_value=np.nan) - shift
+            here = (~np.isnan(x)).astype(float)
+            x = np.where(here > 0, x, 0.0)
+            total += np.stack([here.T @ here, x.T @ here, here.T @ x, (x * x).T @ here, here.T @ (x * x), x.T @ x])
+        yield pd.DataFrame(dict(zip([f.split()[0] for f in fields.split(", ")], [*upper, *[m[upper] for m in total]]))).astype({"i": "int32", "j": "int32"})
+
+    partial = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInPandas(run, fields)
+    return partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+
 def correlation_long(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
-    """All column pairs in one pass: (feature_left, feature_right, corr, corr_raw).
+    """All column pairs in one pass of sums: (feature_left, feature_right, corr, corr_raw).
 
-    Each pair uses the rows where both columns are present. A row is unrolled into its column pairs and meets
-    one small aggregate per pair before the shuffle, so only one record per task and pair is sent. One wide
-    aggregate over all pairs would outgrow the size up to which the JVM compiles generated code.
+    Each pair uses the rows where both columns are present; a pair without spread on a side has no correlation.
     """
-    pairs = F.array(*[
-        F.struct(F.lit(a).alias("feature_left"), F.lit(b).alias("feature_right"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in combinations(columns, 2)])
-    long = df.select(F.explode(pairs).alias("_p")).select("_p.*")
-    out = long.groupBy("feature_left", "feature_right").agg(F.corr("x", "y").alias("corr_raw"))
+    n = F.col("n")
+    var = lambda s, q: F.col(q) - F.col(s) * F.col(s) / n
+    spread = lambda s, q: F.when(var(s, q) > 1e-13 * F.col(q), var(s, q))
+    raw = F.when(n > 1, (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(spread("sx", "sxx") * spread("sy", "syy")))
+    names = F.array(*map(F.lit, columns))
+    out = comoments(df, columns).select(names[F.col("i")].alias("feature_left"), names[F.col("j")].alias("feature_right"), raw.alias("corr_raw"))
     return out.withColumn("corr", rounded(F.col("corr_raw"), digits))
 
 
