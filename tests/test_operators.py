@@ -199,10 +199,10 @@ def test_metrics(spark):
 
 
 def test_null_group_keys_survive(spark):
-    cols = "CategoryID string, Algorithm string, AlgorithmGroup string, ModelVariant string, FeatureCount int, TrialNumber bigint, " \
-           "FoldName string, TrainRows bigint, EvaluationRows bigint, TrainStart date, TrainEnd date, EvaluationStart date, EvaluationEnd date, " \
+    cols = "CategoryID string, DatasetName string, Algorithm string, AlgorithmGroup string, ModelVariant string, FeatureCount int, " \
+           "NumBoostRound int, TrialNumber bigint, SourceFile string, FoldName string, TrainRows bigint, EvaluationRows bigint, TrainStart date, TrainEnd date, EvaluationStart date, EvaluationEnd date, " \
            "MAE double, RMSE double, MAPE double, R2 double"
-    line = lambda f, t: ("A", "m", "g", "v", 1, t, f, 1, 1, None, None, None, None, 1.0, 1.0, 1.0, 1.0)
+    line = lambda f, t: ("A", "d", "m", "g", "v", 1, None, t, "s", f, 1, 1, None, None, None, None, 1.0, 1.0, 1.0, 1.0)
     df = spark.createDataFrame([line("f1", None), line("f2", None), line("f1", 3)], cols)
     assert evaluate.results_table(df).where("RowType = 'mean'").count() == 2
 
