@@ -85,7 +85,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
         (remainder(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = usable.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / 2.0**32
-    texts = usable.join(share, "lang").where(draw < F.col("share"))
+    texts = usable.join(F.broadcast(share), "lang").where(draw < F.col("share"))  # one row per language
 
     def spectra(batches):
         for b in batches:

@@ -5,6 +5,7 @@ writes an index beside it: a minimal perfect hash from keys to slots, and per sl
 fingerprint of the key that tells strangers apart. A key costs a few hash probes and one range read, whatever the size.
 """
 import io
+import json
 import re
 import zlib
 
@@ -25,6 +26,8 @@ LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(rf"[{LATIN} \t\n\x0b\x0c\r!-~]*")
 PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[!-/:-@\[-`{{-~]+")
 WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
+#: What such a tokenizer must give like the cuts above; one that does not is given whole texts.
+PROBE = "It's 3 Ünïted-Straße WORDS,  don't\n(x)12% éÀ"
 ROOMY = 2.0
 MANIFEST = "part int, name string, has_null boolean, first long, last long, docs long, ids long"
 
@@ -126,12 +129,22 @@ class _Kept(dict):
         return value
 
 
+def cuts_like_here(tokenizer) -> bool:
+    """Whether a tokenizer lower-cases, drops white space and cuts before signs and digits, by its own description."""
+    described = json.loads(tokenizer.to_str())
+    steps = {s["type"] for s in (described.get("normalizer") or {}).get("normalizers", [])}
+    cuts = [c for c in (described.get("pre_tokenizer") or {}).get("pretokenizers", []) if c["type"] == "Split"]
+    removes = [c["pattern"].get("Regex", "") for c in cuts if c["behavior"] == "Removed" and c["invert"]]
+    return "Lowercase" in steps and len(removes) == 1 and removes[0].endswith("|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+
+
 class Encoder:
     """Ids of whole texts from the ids of their words, and those from the ids of their pieces.
 
     The tokenizer drops white space and never joins across it, and it lower-cases and cuts words, digits and signs apart
     before it looks for ids. Words of Latin letters, digits and ASCII signs are cut the same way here, so that each
-    distinct piece is encoded once per worker; words with any other character go to the tokenizer whole.
+    distinct piece is encoded once per worker; words with any other character go to the tokenizer whole. A tokenizer whose
+    description or whose ids of a probe say that it works otherwise is given whole texts.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -142,7 +155,7 @@ class Encoder:
         kept = tokenizers.__dict__.setdefault("_kept_words", {})
         if tokenizer_path not in kept:
             kept[tokenizer_path] = self._memory(tokenizers.Tokenizer.from_file(tokenizer_path))
-        self.tokenizer, self.kind, self.words = kept[tokenizer_path]
+        self.tokenizer, self.kind, self.words, self.by_words = kept[tokenizer_path]
         self.width = self.kind.itemsize
 
     @staticmethod
@@ -161,10 +174,14 @@ class Encoder:
             parts = cut(text)
             return encode(text) if parts is None else b"".join(map(pieces.__getitem__, parts))
 
-        return tokenizer, kind, _Kept(word)
+        words = _Kept(word)
+        return tokenizer, kind, words, cuts_like_here(tokenizer) and b"".join(map(words.__getitem__, PROBE.split())) == encode(PROBE)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         end = np.array([END_ID], self.kind).tobytes()
+        if not self.by_words:
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(x.ids, self.kind).tobytes() + end for x in found]
         split = [t.split() if PLAIN.fullmatch(t) else WORD.findall(t) for t in texts]
         return [b"".join(map(self.words.__getitem__, ws)) + end for ws in split]
 

@@ -21,3 +21,18 @@ def test_blocks_are_bounded_and_whole(spark):
     assert {(r.u, r.v) for r in got} == want
     alone = jaccard.dealt(df, 2, 16)
     assert alone.count() == 400 and alone.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 40
+
+
+def test_a_tokenizer_that_cuts_otherwise_is_given_whole_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from fareforge.llm import token_store
+    texts = ["Mixed Case  text, it's 12 o'clock", "", "Ünï straße\n\tend", "<|endoftext|> x"]
+    for name, by_words in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        encoder = token_store.Encoder(path)
+        assert encoder.by_words == by_words
+        plain = Tokenizer.from_file(path)
+        want = [plain.encode(t, add_special_tokens=False).ids + [token_store.END_ID] for t in texts]
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.ids(texts)] == want
