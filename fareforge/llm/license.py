@@ -5,6 +5,9 @@ diagonal (its place in the text minus its place in the template); votes on one d
 and neighbouring diagonals are the same span with words put in or left out. A span counts where enough of its template
 was seen within about the template's length.
 """
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,14 +37,14 @@ def lower_words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), upper, lower), GAPS), "")
 
 
-def _templates() -> list[tuple[int, str, bool, list[str]]]:
-    every = [(label, True, p.split()) for label, p in BASE.items()] + [(label, False, p.split()) for label, p in NOTICES.items()]
+def _templates(notices: dict[str, str] = NOTICES) -> list[tuple[int, str, bool, list[str]]]:
+    every = [(label, True, p.split()) for label, p in BASE.items()] + [(label, False, p.split()) for label, p in notices.items()]
     return [(i, label, base, w) for i, (label, base, w) in enumerate(every)]
 
 
-def template_pairs(spark: SparkSession) -> DataFrame:
-    """(h, template, place): a fixed table of a few hundred rows; place -1 of template -1 stands for the text itself."""
-    rows = ", ".join(f"({i}, {p}, '{w[p]}', '{w[p + 1]}')" for i, _, _, w in _templates() for p in range(len(w) - 1))
+def template_pairs(spark: SparkSession, notices: dict[str, str] = NOTICES) -> DataFrame:
+    """(h, template, place): one row per neighbouring words of a template; place -1 of template -1 stands for the text itself."""
+    rows = ", ".join(f"({i}, {p}, '{w[p]}', '{w[p + 1]}')" for i, _, _, w in _templates(notices) for p in range(len(w) - 1))
     pairs = spark.sql(f"SELECT xxhash64(a, b) AS h, t AS template, p AS place FROM VALUES {rows} AS v(t, p, a, b)")
     return pairs.unionByName(spark.range(1).select(
         F.lit(0).cast("long").alias("h"), F.lit(WHOLE_TEXT).alias("template"), F.lit(WHOLE_TEXT).alias("place")))
@@ -59,31 +62,34 @@ def _events(text: Column) -> Column:
     return let(lower_words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), pairs(w).alias("events")))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row of docs.
 
-    Null, empty and one-word texts have no labels ('' and null places) and score 0. Rows that repeat an id are scanned
+    `notices` may be whole license texts by label, lower-case words with blanks between; which of a template's places were
+    seen is kept in words of 64 bits, as many as the longest template needs. Null, empty and one-word texts have no labels ('' and null places) and score 0. Rows that repeat an id are scanned
     each; other columns are ignored. An empty table gives an empty result. The score is the largest share of a template
     that a counted span shows, 1 for a base phrase.
     """
     each = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), _events(F.col("text")).alias("e"))
     events = each.select("doc_id", "row", "e.n_words", F.inline_outer("e.events"))
-    hits = events.join(F.broadcast(template_pairs(docs.sparkSession)), "h")
-    mask = F.expr("bit_or(shiftleft(1L, greatest(place, 0)))")
+    hits = events.join(F.broadcast(template_pairs(docs.sparkSession, notices)), "h")  # the templates' words, whatever the corpus
+    of = {i: (label, base, len(w) - 1) for i, label, base, w in _templates(notices)}
+    seen = [f"seen{k}" for k in range(-(-max(n for _, _, n in of.values()) // 64))]
+    bit = lambda k: F.expr(f"bit_or(if(greatest(place, 0) div 64 = {k}, shiftleft(1L, cast(greatest(place, 0) % 64 as int)), 0L))").alias(seen[k])
+    places = reduce(add, [F.bit_count(c) for c in seen])
     lines = hits.groupBy("doc_id", "row", "n_words", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        mask.alias("seen"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+        *map(bit, range(len(seen))), F.min("at").alias("lo"), F.max("at").alias("hi"))
     along = Window.partitionBy("row", "template").orderBy("diagonal")
     breaks = F.col("diagonal") - F.coalesce(F.lag("diagonal").over(along), F.lit(-10**9)) > DRIFT
     chained = lines.withColumn("chain", F.sum(breaks.cast("int")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    of = {i: (label, base, len(w) - 1) for i, label, base, w in _templates()}
     pick = lambda k: F.element_at(F.array(*[F.lit(v[k]) for v in of.values()]), F.greatest(F.col("template") + 1, F.lit(1)))
     known = F.col("template") >= 0
-    exact = known & pick(1) & (F.bit_count("seen") == pick(2))
+    exact = known & pick(1) & (places == pick(2))
     spans = chained.groupBy("doc_id", "row", "n_words", "template", "chain").agg(
-        F.expr("bit_or(seen)").alias("seen"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        *[F.bit_or(c).alias(c) for c in seen], F.min("lo").alias("lo"), F.max("hi").alias("hi"),
         F.count_if(exact).alias("n"), F.min(F.when(exact, F.col("diagonal"))).alias("first"),
         F.max(F.when(exact, F.col("diagonal"))).alias("last"))
-    share = F.bit_count("seen") / pick(2)
+    share = places / pick(2)
     tight = F.col("hi") - F.col("lo") + 2 <= LONGEST * (pick(2) + 1)
     judged = spans.withColumn("share", F.when(F.col("n") > 0, 1.0).when(
         known & ~pick(1) & tight & (share >= ENOUGH), share))
