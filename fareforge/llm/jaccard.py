@@ -32,7 +32,7 @@ SALTS, LEAST_BITS, BITS = (21, 22), 256, 2
 #: Up to so many nodes with a common prefix shingle are paired at once; rows of more frequent ones are dealt over tasks.
 SMALL, HOT = 24, 4096
 #: Rounds of so many proposals per row before the remaining open pairs are listed in full.
-ROUNDS, PROPOSALS = 3, 4
+ROUNDS, PROPOSALS = 1, 4
 #: Rows of a block of a run, about; a task meets two blocks at a time and sends pairs on in parts of about that many.
 BLOCK, PART = 1024, 1 << 20
 
@@ -397,20 +397,9 @@ def _join(docs: DataFrame) -> DataFrame:
         each = pairs.select("u", "v", "shared", F.explode(F.array("u", "v")).alias("node"))
         return each.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= most).select("u", "v").distinct()
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        return verified(pairs, docs, nodes)
-
-    def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
-        part = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
-        return pairs.join(part("u"), "u", "left").join(part("v"), "v", "left").where(
-            F.coalesce("_u", "u") != F.coalesce("_v", "v")).drop("_u", "_v")
-
-    # one candidate per node first: most clusters are whole then, and pairs inside them need no look
-    tried = materialize(best(candidates), "tried")
-    links = checked(tried)
-    known = materialize(components(links), "components")
-    rest = materialize(apart(candidates.join(tried, ["u", "v"], "left_anti"), known).select("u", "v"), "tried")
-    tried, links = tried.unionByName(rest), links.unionByName(checked(rest))
+    # bitmaps leave few candidates that are no links, so all of them are verified at once
+    tried = candidates.select("u", "v")
+    links = verified(tried, docs, nodes)
     crowd = materialize(found.where("pos >= 0").select("token", F.col("u").alias("node"), "n", "pos"), "crowd")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(LEAST[1] / LEAST[0]))).cast("int")
 
@@ -437,7 +426,7 @@ def _join(docs: DataFrame) -> DataFrame:
         if proposed.isEmpty():
             turns, grown = turns[-1:], False
             continue
-        new = checked(proposed)
+        new = verified(proposed, docs, nodes)
         grown = not new.isEmpty()
         tried, links = tried.unionByName(proposed), links.unionByName(new)
     reps = nodes.select("node", "rep")
