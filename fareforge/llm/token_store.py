@@ -6,8 +6,10 @@ fingerprint of the key that tells strangers apart. A key costs a few hash probes
 """
 import io
 import json
+import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -17,17 +19,18 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import materialize
 from .files import RangeReader, attempt_name, open_store
+from .wordwise import Recent, byte_of_sign, per_worker
 
 END_ID = 2
-#: Words, and pieces of words, kept with their ids per worker; past that a memory is emptied, which changes no result.
-REMEMBERED, LONGEST_REMEMBERED = 700_000, 48
+#: Pieces, and words of odd texts, kept with their ids per worker, in each of two generations; others are encoded again.
+PIECES_REMEMBERED, WORDS_REMEMBERED = 700_000, 700_000
 #: How the tokenizer cuts lower-case text, limited to characters that its normaliser leaves alone.
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(rf"[{LATIN} \t\n\x0b\x0c\r!-~]*")
-PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[!-/:-@\[-`{{-~]+")
+PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~]+")
 WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 #: What such a tokenizer must give like the cuts above; one that does not is given whole texts.
-PROBE = "It's 3 Ünïted-Straße WORDS,  don't\n(x)12% éÀ"
+PROBE, ODD = "It's 3 Ünïted-Straße WORDS,  don't\n(x)12% éÀ", " \u201cquoted\u201d e\u0301 \u0130 <|x "
 ROOMY = 2.0
 MANIFEST = "part int, name string, has_null boolean, first long, last long, docs long, ids long"
 
@@ -113,77 +116,74 @@ class ShardIndex:
         return out
 
 
-class _Kept(dict):
-    """Values by key; one that is not there is made and, unless its key is very long, kept."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key: str) -> bytes:
-        if len(self) > REMEMBERED:
-            self.clear()
-        value = self.make(key)
-        if len(key) <= LONGEST_REMEMBERED:
-            self[key] = value
-        return value
-
-
 def cuts_like_here(tokenizer) -> bool:
-    """Whether a tokenizer lower-cases, drops white space and cuts before signs and digits, by its own description."""
-    described = json.loads(tokenizer.to_str())
-    steps = {s["type"] for s in (described.get("normalizer") or {}).get("normalizers", [])}
-    cuts = [c for c in (described.get("pre_tokenizer") or {}).get("pretokenizers", []) if c["type"] == "Split"]
-    removes = [c["pattern"].get("Regex", "") for c in cuts if c["behavior"] == "Removed" and c["invert"]]
-    return "Lowercase" in steps and len(removes) == 1 and removes[0].endswith("|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+    """Whether a tokenizer lower-cases, drops white space, cuts before signs and digits and gives each cut to a byte-level BPE,
+    by its own description, without the long one of its vocabulary."""
+    steps, cuts = (json.loads(x.__getstate__()) if x else {} for x in (tokenizer.normalizer, tokenizer.pre_tokenizer))
+    steps, cuts = {s["type"] for s in steps.get("normalizers", [])}, cuts.get("pretokenizers", [])
+    if [c["type"] for c in cuts] != ["Split", "ByteLevel"] or tokenizer.truncation or tokenizer.padding:
+        return False
+    split, level = cuts
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    return (all(a.startswith("<|") and WORD.fullmatch(a) for a in added) and "Lowercase" in steps and split["behavior"] == "Removed"
+            and split["invert"] and split["pattern"].get("Regex", "").endswith("|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+            and not level["add_prefix_space"] and not level.get("use_regex", True)
+            and type(tokenizer.model).__name__ == "BPE" and not tokenizer.model.dropout)
 
 
 class Encoder:
-    """Ids of whole texts from the ids of their words, and those from the ids of their pieces.
+    """Ids of whole texts from the ids of their pieces.
 
     The tokenizer drops white space and never joins across it, and it lower-cases and cuts words, digits and signs apart
-    before it looks for ids. Words of Latin letters, digits and ASCII signs are cut the same way here, so that each
-    distinct piece is encoded once per worker; words with any other character go to the tokenizer whole. A tokenizer whose
-    description or whose ids of a probe say that it works otherwise is given whole texts.
+    before its model looks for ids. Texts of Latin letters, digits and ASCII signs are cut the same way here, and the model
+    is asked for each piece that a worker does not remember. Other texts go word by word: their words of such characters
+    are cut too, words with any other character go to the tokenizer whole. A tokenizer whose description or whose ids of a
+    probe say that it works otherwise is given whole texts.
     """
 
     def __init__(self, tokenizer_path: str):
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
-        # workers serve many tasks: what one has encoded is kept beside the library for the next
-        kept = tokenizers.__dict__.setdefault("_kept_words", {})
-        if tokenizer_path not in kept:
-            kept[tokenizer_path] = self._memory(tokenizers.Tokenizer.from_file(tokenizer_path))
-        self.tokenizer, self.kind, self.words, self.by_words = kept[tokenizer_path]
+        self.tokenizer = tokenizers.Tokenizer.from_file(tokenizer_path)
+        self.model = self.tokenizer.model
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.width = self.kind.itemsize
+        self.sign = {b: ord(c) for c, b in byte_of_sign().items()}
+        self.pieces, self.words = Recent(self._piece, PIECES_REMEMBERED), Recent(self._word, WORDS_REMEMBERED)
+        self.by_words = cuts_like_here(self.tokenizer) and all(self._text(t) == self._whole(t) for t in (PROBE, PROBE + ODD))
 
-    @staticmethod
-    def _memory(tokenizer):
-        kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+    @classmethod
+    def shared(cls, tokenizer_path: str) -> "Encoder":
+        """Workers serve many tasks: what one has encoded is kept for the next."""
+        return per_worker(("pieces", tokenizer_path), lambda: cls(tokenizer_path))
 
-        def encode(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-        pieces = _Kept(encode)
+    def _piece(self, piece: str) -> bytes:
+        signs = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.sign)
+        return array(self.kind.char, [t.id for t in self.model.tokenize(signs)]).tobytes()
 
-        def cut(text: str) -> list[str] | None:
-            return PIECE.findall(text.lower()) if PLAIN.fullmatch(text) and "<|" not in text else None
+    def _cut(self, text: str) -> bytes | None:
+        """Ids of a text that is cut here; None if it has other characters or may have special tokens."""
+        if not PLAIN.fullmatch(text) or "<|" in text:
+            return None
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text.lower())))
 
-        def word(text: str) -> bytes:
-            parts = cut(text)
-            return encode(text) if parts is None else b"".join(map(pieces.__getitem__, parts))
+    def _word(self, word: str) -> bytes:
+        found = self._cut(word)
+        return self._whole(word) if found is None else found
 
-        words = _Kept(word)
-        return tokenizer, kind, words, cuts_like_here(tokenizer) and b"".join(map(words.__getitem__, PROBE.split())) == encode(PROBE)
+    def _text(self, text: str) -> bytes:
+        found = self._cut(text)
+        return b"".join(map(self.words.__getitem__, WORD.findall(text))) if found is None else found
 
     def ids(self, texts: list[str]) -> list[bytes]:
         end = np.array([END_ID], self.kind).tobytes()
         if not self.by_words:
             found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(x.ids, self.kind).tobytes() + end for x in found]
-        split = [t.split() if PLAIN.fullmatch(t) else WORD.findall(t) for t in texts]
-        return [b"".join(map(self.words.__getitem__, ws)) + end for ws in split]
+        return [self._text(t) + end for t in texts]
 
 
 class _Repeats:
@@ -215,7 +215,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, folder: str | None = None)
     def write(batches):
         fs, root = open_store(folder)
         fs.create_dir(root, recursive=True)
-        encoder, repeats, name, out = Encoder(tokenizer_path), _Repeats(), attempt_name("shard"), None
+        encoder, repeats, name, out = Encoder.shared(tokenizer_path), _Repeats(), attempt_name("shard"), None
         keys, lengths, edge = [], [], []
         for batch in batches:
             if not len(batch):
