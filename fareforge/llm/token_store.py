@@ -23,7 +23,7 @@ from .wordwise import Recent, byte_of_sign, per_worker
 
 END_ID = 2
 #: Pieces, and words of odd texts, kept with their ids per worker, in each of two generations; others are encoded again.
-PIECES_REMEMBERED, WORDS_REMEMBERED = 700_000, 700_000
+PIECES_REMEMBERED, WORDS_REMEMBERED = 120_000, 40_000
 #: How the tokenizer cuts lower-case text, limited to characters that its normaliser leaves alone.
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(rf"[{LATIN} \t\n\x0b\x0c\r!-~]*")
