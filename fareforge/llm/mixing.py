@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.running import running_before
-from .common import BLANKS, materialize, only_result_stays
+from .common import BLANKS, materialize
 
 #: The weights repeat over the sources in code-point order, null last.
 WEIGHTS = (5, 2, 1)
@@ -49,13 +49,17 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES) -
         .otherwise(0.0).alias("target"))
 
 
+def queue_key(doc_id: Column, size: Column, seed: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(seed), doc_id.cast("string"), size.cast("string")))
+
+
 def mix_order(docs: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed: str = "mix") -> DataFrame:
     """The rows of docs once per possible sending, with source_size, target, pass and finish.
 
     `docs` has doc_id, source, size and the row number _row. The order inside a source is that of a salted digest of id and size; its first
     digits split a source, however large, into buckets for the running total.
     """
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"), F.col("size").cast("string")))
+    key = queue_key(F.col("doc_id"), F.col("size"), seed)
     named = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
     shuffled = docs.withColumns({"_key": key, "_source": named})
     queued = running_before(shuffled, ["_source"], ["_key", "doc_id", "size", "_row"], {"_sent": F.col("size")},
@@ -76,7 +80,13 @@ def cut_at_budget(order: DataFrame, budget: int) -> DataFrame:
     ranges = [F.floor(F.col("finish") * w) for w in RANGES]
     done = running_before(order.withColumn("_all", F.lit(1)), ["_all"], ["finish", "_key", "doc_id", "_row", "pass"],
                           {"_before": F.col("size")}, ranges)
-    return done.where(F.col("_before") + F.col("size") <= budget).drop("_all", "_before", "_key")
+    return done.where(F.col("_before") + F.col("size") <= budget).drop("_all", "_before")
+
+
+def sendings(sized: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed: str = "mix") -> DataFrame:
+    """What is sent of rows (doc_id, source, size, _row) until all their words are paid for."""
+    budget = sized.agg(F.sum("size").alias("words")).first().words or 0
+    return cut_at_budget(mix_order(sized, weights, most, seed), budget)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed: str = "mix") -> DataFrame:
@@ -85,29 +95,30 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed: str = "
     Null and blank texts have size 0 and nothing is taken from them; a source without words has target 0. Rows that
     repeat an id are documents of their own. Other columns are ignored. An empty table gives an empty result.
     """
-    return _mixed(docs.withColumn("_row", F.monotonically_increasing_id()), weights, most, seed).drop("_row")
-
-
-def _mixed(numbered: DataFrame, weights, most: int, seed: str) -> DataFrame:
-    """The result of mix with the row number of its rows."""
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     sized = materialize(numbered.select("doc_id", "source", word_count(F.col("text")).alias("size"), "_row"), "sizes")
-    budget = sized.agg(F.sum("size").alias("words")).first().words or 0
-    chosen = cut_at_budget(mix_order(sized, weights, most, seed), budget)
-    taken = chosen.groupBy("_row").agg(F.sum("size").alias("taken"))
+    taken = sendings(sized, weights, most, seed).groupBy("_row").agg(F.sum("size").alias("taken"))
     targets = source_targets(sized, weights, most).withColumnRenamed("source", "_of")
     return (sized.join(targets, F.col("source").eqNullSafe(F.col("_of")), "left").join(taken, "_row", "left")
-            .select("_row", "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
 
 def mixed_rows(docs: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, seed: str = "mix") -> DataFrame:
     """The rows of docs as the mix sends them: whole, in no order, those that the mix takes twice twice.
 
     The columns are those of docs. Rows that share an id, and rows without one, are each taken as often as the mix takes
-    that row. The input is written once with a row number, by which the takes come back to the rows.
+    that row. The input is written once with sizes and row numbers. A source sends in one order, pass after pass, so what
+    the mix takes of a pass ends with one row; a table of these rows, one row per source, tells every other row by its own
+    place how often it is sent, and the texts stay where they are.
     """
-    numbered = materialize(docs.select(F.struct("*").alias("given"), F.monotonically_increasing_id().alias("_row")), "numbered")
-    named = numbered.select(*[F.col(f"given.{c}").alias(c) for c in ("doc_id", "text", "source")], "_row")
-    takes = only_result_stays(docs.sparkSession, lambda: _mixed(named, weights, most, seed).where("taken > 0").select(
-        "_row", F.expr("taken div size").alias("_times")), "takes")
-    times = F.expr("explode(sequence(1L, _times))")
-    return numbered.join(takes, "_row").select("given", times.alias("_pass")).select("given.*")
+    numbered = materialize(docs.select(F.struct("*").alias("given"), word_count(F.col("text")).alias("_size"),
+                                       F.monotonically_increasing_id().alias("_row")), "numbered")
+    sized = numbered.select("given.doc_id", "given.source", F.col("_size").alias("size"), "_row")
+    ends = sendings(sized, weights, most, seed).groupBy("source", "pass").agg(
+        F.max(F.struct("_key", "doc_id", "size", "_row")).alias("end"))
+    ends = materialize(ends.groupBy(F.col("source").alias("_of")).agg(F.collect_list("end").alias("_ends")), "ends")
+    doc_id = F.col("given.doc_id")
+    place = F.struct(queue_key(doc_id, F.col("_size"), seed).alias("_key"), doc_id.alias("doc_id"), F.col("_size").alias("size"), "_row")
+    sent = numbered.where("_size > 0").join(ends, F.col("given.source").eqNullSafe(F.col("_of"))).withColumn("_place", place)
+    times = F.explode(F.filter("_ends", lambda end: F.col("_place") <= end))
+    return sent.select("given", times.alias("_pass")).select("given.*")

@@ -40,3 +40,22 @@ def test_given_columns_may_have_the_names_of_own_ones(spark, odd):
         assert got.columns == named.columns
         rows = got.collect()
         assert rows and {tuple(r) for r in rows} <= {tuple(r) for r in named.collect()}
+
+
+def test_mix_leaves_texts_where_they_are(spark):
+    rows = [(None if i % 7 == 0 else i // 2, f"word {i % 5} " * (1 + i % 4), [None, "a", "b", "b", "b"][i % 5]) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        sent = mixing.mixed_rows(docs)
+        got = collections.Counter()
+        for r in sent.collect():
+            got[r.doc_id, len(r.text.split())] += len(r.text.split())
+        assert "hashpartitioning" not in sent._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    takes = collections.Counter()
+    for r in mixing.mix(docs).collect():
+        takes[r.doc_id, r.size] += r.taken
+    assert got == +takes
