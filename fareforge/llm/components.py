@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import last_layer, materialize, release
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
@@ -10,22 +10,32 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
 
     Large stars hang larger neighbours on the smallest one of a node, small stars do so for the smaller neighbours; both
     keep what is connected, and the table ends as stars in a number of rounds logarithmic in its size. Smallest neighbours
-    are aggregated before they are joined back from a written table, so a node with very many links can be split.
+    are aggregated before they are joined back from a written table, so a node with very many links can be split. The
+    tables of a round are released when it ends.
     """
+    layers = []
+
+    def written(table: DataFrame, label: str) -> DataFrame:
+        out = materialize(table, label)
+        layers.append(last_layer())
+        return out
+
     def smallest(pairs: DataFrame, label: str) -> DataFrame:
-        return materialize(pairs.groupBy("u").agg(F.min("v").alias("m")), label)
+        return written(pairs.groupBy("u").agg(F.min("v").alias("m")), label)
 
-    edges = materialize(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    edges = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    digest = _digest(edges)
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = smallest(both, "large").withColumn("m", F.least("u", "m"))
-        large = materialize(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+        large = written(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
         low = smallest(large, "small")
         hung = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = materialize(hung.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
-        same = _digest(small) == _digest(edges)
-        edges = small
-        if same:
+        small = written(hung.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
+        before, digest, edges = digest, _digest(small), small
+        release(links.sparkSession, *layers[:-1])
+        del layers[:-1]
+        if digest == before:
             break
     else:
         raise RuntimeError("components did not settle")
