@@ -379,8 +379,9 @@ def _join(docs: DataFrame) -> DataFrame:
     described = materialize(describe(docs), "described")
     rows = described.where("cell = -1")
     counts = np.zeros(1 << CELL_BITS, np.int64)
-    cells = described.where("cell >= 0").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    counts[cells["cell"].to_numpy(np.int64)] = cells["n"]
+    with arrow_rows(spark, 20_000):  # as columns: rows of so many cells would take a hundred MB of the driver
+        cells = described.where("cell >= 0").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     nodes = materialize(rows.where("node is not null and doc_id is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
     shingled = materialize(prefixes(docs, counts), "prefixes")
