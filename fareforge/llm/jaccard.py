@@ -26,7 +26,8 @@ from .token_store import mixed
 #: Similarity as a fraction of whole numbers: links have LEAST[1] * shared >= LEAST[0] * union.
 LEAST = (75, 100)
 #: Cells of the table of shingle counts that the first order sorts by; one number per cell goes to the driver and back.
-CELL_BITS = 18
+#: Tasks write their counts in rows of CELL_ROW cells.
+CELL_BITS, CELL_ROW = 18, 1 << 12
 #: Salts of the further orders. A node's bitmap has a power of two of bits, at least this many and BITS per shingle.
 SALTS, LEAST_BITS, BITS = (21, 22), 256, 2
 #: Up to so many nodes with a common prefix shingle are paired at once; rows of more frequent ones are dealt over tasks.
@@ -88,7 +89,8 @@ def arrow_rows(spark, rows: int):
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, bits) per row of docs, and (cell, n) rows that count shingles per cell with a null node."""
+    """(doc_id, n, node, bits) per row of docs with cell -1, and rows with null ids that count shingles: bits of such a row
+    has the counts of CELL_ROW cells, cell says which."""
     def run(batches):
         cells = np.zeros(1 << CELL_BITS, np.int64)
         for b in batches:
@@ -101,13 +103,30 @@ def describe(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "n": [len(s) for s in sets],
                                 "node": pd.array([node_of(s) if len(s) else None for s in sets], "Int64"),
                                 "bits": [bitmap(s) if len(s) else None for s in sets], "cell": -1})
-        used = np.flatnonzero(cells)
-        yield pd.DataFrame({"doc_id": pd.array([None] * len(used), "Int64"), "n": cells[used],
-                            "node": pd.array([None] * len(used), "Int64"), "bits": None, "cell": used})
+        counts = cells.reshape(-1, CELL_ROW)
+        used = np.flatnonzero(counts.any(axis=1))
+        yield pd.DataFrame({"doc_id": pd.array([None] * len(used), "Int64"), "n": 0, "node": pd.array([None] * len(used), "Int64"),
+                            "bits": [counts[k].tobytes() for k in used], "cell": used})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, node long, bits binary, cell int")
 
 
+def cell_counts(described: DataFrame) -> np.ndarray:
+    """Shingles per cell. Tasks add up the rows of the same cells, the driver gets one row for each."""
+    def run(batches):
+        sums = {}
+        for b in batches:
+            for cell, packed in zip(b["cell"], b["bits"]):
+                sums[cell] = sums.get(cell, 0) + np.frombuffer(packed, np.int64)
+        yield pd.DataFrame({"cell": list(sums), "bits": [x.tobytes() for x in sums.values()]})
+
+    counts = np.zeros(((1 << CELL_BITS) // CELL_ROW, CELL_ROW), np.int64)
+    rows = described.where("cell >= 0").select("cell", "bits").repartition("cell").mapInPandas(run, "cell int, bits binary")
+    for r in rows.toArrow().to_pylist():
+        counts[r["cell"]] = np.frombuffer(r["bits"], np.int64)
+    return counts.reshape(-1)
+
+
 def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     """(token, salt, node, n, pos): prefix shingles in the order of (count of the cell, shingle)."""
     counts = counts.astype(np.uint32)
@@ -378,10 +397,7 @@ def _join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     described = materialize(describe(docs), "described")
     rows = described.where("cell = -1")
-    counts = np.zeros(1 << CELL_BITS, np.int64)
-    with arrow_rows(spark, 20_000):  # as columns: rows of so many cells would take a hundred MB of the driver
-        cells = described.where("cell >= 0").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    counts = cell_counts(described)
     nodes = materialize(rows.where("node is not null and doc_id is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
     shingled = materialize(prefixes(docs, counts), "prefixes")

@@ -1,0 +1,19 @@
+"""The table of shingle counts travels in few rows, whatever number of shingles a task has seen."""
+import numpy as np
+
+from fareforge.llm import jaccard
+from fareforge.llm.shingles import shingle_sets
+
+
+def test_counts_come_in_blocks_and_are_whole(spark):
+    texts = [" ".join(f"w{(i * 7919 + k) % 9973}" for k in range(300)) for i in range(40)] + [None, "", " ", "one two"] + [
+        " ".join(f"v{k}" for k in range(5000))] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).cache()
+    described = jaccard.describe(docs).cache()
+    assert described.where("cell >= 0").count() <= 3 * (1 << jaccard.CELL_BITS) // 4096
+    want = np.zeros(1 << jaccard.CELL_BITS, np.int64)
+    for s in shingle_sets([t or "" for t in texts]):
+        np.add.at(want, (s >> np.uint64(64 - jaccard.CELL_BITS)).astype(np.int64), 1)
+    assert (jaccard.cell_counts(described) == want).all() and want.sum() > 10_000
+    assert described.where("cell = -1").count() == len(texts)
+    assert not jaccard.cell_counts(jaccard.describe(docs.where("doc_id < 0"))).any()
