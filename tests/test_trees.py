@@ -75,7 +75,7 @@ def prepared(spark):
     return modeling.fit_preprocessing(df, modeling.FeatureSet(["x"], ["flag"]), scale=False).transform(df).select("RideEstimativeID", "Price", "features").cache()
 
 
-@pytest.mark.parametrize("build,most", [(lambda d: modeling.boosted_trees(d, rounds=40), 1.0)])
+@pytest.mark.parametrize("build,most", [(lambda d: modeling.random_forest(d, trees=10), 1.0), (lambda d: modeling.boosted_trees(d, rounds=40), 1.0)])
 def test_fits_cost_tasks_not_width(spark, prepared, build, most):
     """A wide vocabulary is learnt, the model saved and loaded, and no Spark job is run per level or round."""
     track = spark.sparkContext.statusTracker()
